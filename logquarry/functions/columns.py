@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +18,6 @@ def strip(column: Column) -> Column:
     return F.trim(column, F.lit(WHITESPACE))
 
 
-def rstrip(column: Column) -> Column:
-    return F.rtrim(column, F.lit(WHITESPACE))
-
-
 def parse_utc(column: Column, fmt: str | None = None) -> Column:
     """Text to UTC time; whatever does not parse is NULL. One `fmt` accepts that format only."""
     parsed = F.try_to_timestamp(column, F.lit(fmt)) if fmt else F.try_to_timestamp(column)
@@ -80,11 +77,11 @@ def cyclic_calendar_features(column: Column) -> dict[str, Column]:
 
 
 def classify_service(column: Column, rules=SERVICE_RULES, other: str = OTHER_SERVICE) -> Column:
-    """First service whose prefix list matches the trimmed event name."""
-    name = strip(F.coalesce(column, F.lit("")))
+    """First service with a prefix of the event name, white space in front ignored."""
+    name = F.ltrim(F.coalesce(column, F.lit("")), F.lit(WHITESPACE))
     result = None
     for service, prefixes in rules:
-        matches = name.rlike("^(" + "|".join(re.escape(p) for p in prefixes) + ")")
+        matches = reduce(or_, [name.startswith(prefix) for prefix in prefixes])
         result = F.when(matches, service) if result is None else result.when(matches, service)
     return result.otherwise(other)
 

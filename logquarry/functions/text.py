@@ -11,8 +11,9 @@ from pyspark.sql.types import StringType
 
 from logquarry.fixed_values import (
     CONTEXT_REPLACEMENTS, DEFAULT_INTENT, FAQ_RULES, GENERIC_PHRASES, HIDDEN_SOURCE_TERMS, INTENT_RULES,
+    WHITESPACE,
 )
-from logquarry.functions.columns import rstrip, strip
+from logquarry.functions.columns import strip
 
 
 def _latin_folding() -> dict[str, str]:
@@ -26,7 +27,7 @@ def _latin_folding() -> dict[str, str]:
 
 
 LATIN_FOLDING = _latin_folding()
-LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 @F.pandas_udf(StringType())
@@ -40,17 +41,21 @@ def _fold_any_script(texts: pd.Series) -> pd.Series:
     return texts.map(fold)
 
 
+def _without_accents(column: Column) -> Column:
+    return F.translate(column, "".join(LATIN_FOLDING), "".join(LATIN_FOLDING.values()))
+
+
 def fold_latin(column: Column) -> Column:
     """Drop accents, lower-case, collapse white space: exact for ASCII and accented Latin letters."""
-    plain = F.translate(column, "".join(LATIN_FOLDING), "".join(LATIN_FOLDING.values()))
-    return strip(F.regexp_replace(F.lower(plain), r"[\s\x0b\x1c-\x1f]+", " "))
+    return strip(F.regexp_replace(F.lower(_without_accents(column)), r"[\s\x0b\x1c-\x1f]+", " "))
 
 
 def fold_text(column: Column) -> Column:
     """As `fold_latin` for every script: only texts with other characters are sent to Python."""
-    simple = column.rlike("^[\\x00-\\x7f" + "".join(LATIN_FOLDING) + "]*$")
-    other = _fold_any_script(F.when(~simple, column))
-    return F.when(simple, fold_latin(column)).otherwise(other)
+    plain = _without_accents(column)
+    only_ascii_left = F.octet_length(plain) == F.char_length(plain)
+    other = _fold_any_script(F.when(~only_ascii_left, column))
+    return F.when(only_ascii_left, fold_latin(column)).otherwise(other)
 
 
 def contains_any(column: Column, terms) -> Column:
@@ -97,5 +102,5 @@ def clean_answer_text(column: Column, phrases=GENERIC_PHRASES) -> Column:
     text = column
     for phrase in phrases:
         text = F.replace(text, F.lit(phrase), F.lit(""))
-    lines = F.split(strip(text), LINE_ENDS)
-    return F.array_join(F.filter(F.transform(lines, rstrip), lambda line: line != ""), "\n")
+    lines = F.transform(F.split(strip(text), LINE_END), lambda line: F.rtrim(line, F.lit(WHITESPACE)))
+    return F.array_join(F.filter(lines, lambda line: line != ""), "\n")

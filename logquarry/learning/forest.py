@@ -8,6 +8,7 @@ from math import ceil, log, log2, sqrt
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -175,8 +176,10 @@ def fit_isolation_forest(
     grown = samples.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     forest = IsolationForest(grown.toPandas().sort_values(["tree", "node"], ignore_index=True), size)
     if contamination is not None:
-        scores = train.select(forest.score_column(features).alias("score"))
+        # One double per row, read by several passes; a lost copy is scored again from the training table.
+        scores = train.select(forest.score_column(features).alias("score")).persist(StorageLevel.MEMORY_AND_DISK)
         forest.threshold = exact_quantiles(scores, ["score"], 1.0 - contamination)["score"]
+        scores.unpersist()
         forest.contamination = contamination
     return forest
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,20 +45,68 @@ def full_outer_join_domains(parts: list[DataFrame], on: str = KEY) -> DataFrame:
     return reduce(lambda a, b: a.join(b, on, "full_outer"), parts)
 
 
-def _total(column: str | Column) -> Column:
-    """Sum in which a group of NULLs counts as 0."""
-    return F.coalesce(F.sum(column), F.lit(0))
+@dataclass
+class Measures:
+    """What one mart adds to a row of the feature table: sums (NULL counts as 0) and means per minute."""
 
+    mart: DataFrame
+    sums: dict[str, Column] = field(default_factory=dict)
+    means: dict[str, Column] = field(default_factory=dict)
 
-def _cost_aggregates(cost: DataFrame) -> list[Column]:
-    columns = [_total("cost").alias("total_cost"), _total("requests").alias("total_requests_cost")]
+
+def _roll_up(parts: list[Measures]) -> DataFrame:
+    """One row per minute of any part, holding every part's sums and means.
+
+    The parts are stacked, each with its own columns, and grouped once: an outer join of per-part groupings
+    without a join or a sort. Where a part has no row for a minute its columns stay NULL, as in the join.
+    """
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            part.mart.where(F.col(KEY).isNotNull()).select(
+                KEY,
+                *[F.coalesce(column, F.lit(0)).alias(name) for name, column in part.sums.items()],
+                *[column.alias(name) for name, column in part.means.items()],
+            )
+            for part in parts
+        ],
+    )
+    columns = []
+    for part in parts:
+        columns += [F.sum(f"`{name}`").alias(name) for name in part.sums]
+        columns += [F.avg(f"`{name}`").alias(name) for name in part.means]
+    return rows.groupBy(KEY).agg(*columns)
+
+
+def cost_measures(cost: DataFrame, services: list[str] = ()) -> Measures:
+    """Totals, and with `services` the requests and cost of each as own columns."""
+    sums = {"total_cost": F.col("cost"), "total_requests_cost": F.col("requests")}
     if "unique_events" in cost.columns:
-        columns.append(_total("unique_events").alias("unique_events_cost"))
-    return columns
+        sums["unique_events_cost"] = F.col("unique_events")
+    for value in ("requests", "cost"):
+        for service in services:
+            sums[f"{value}_service_{service}"] = F.when(_service() == service, F.col(value))
+    return Measures(cost, sums)
+
+
+def performance_measures(performance: DataFrame) -> Measures:
+    sums = {"total_requests_perf": F.col("requests"), "total_unique_users": F.col("unique_users")}
+    if "unique_resources" in performance.columns:
+        sums["total_unique_resources"] = F.col("unique_resources")
+    means = {c: F.col(c) for c in ("requests_growth_pct", "rolling_requests_3") if c in performance.columns}
+    return Measures(performance, sums, means)
+
+
+def security_measures(security: DataFrame) -> Measures:
+    sums = {"total_requests_security": F.col("requests")}
+    if "rare_events_count" in security.columns:
+        sums["rare_events_count"] = F.col("rare_events_count")
+    means = {c: F.col(c) for c in ("rare_events_ratio_pct",) if c in security.columns}
+    return Measures(security, sums, means)
 
 
 def cost_totals(cost: DataFrame) -> DataFrame:
-    return cost.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(*_cost_aggregates(cost))
+    return _roll_up([cost_measures(cost)])
 
 
 def _service() -> Column:
@@ -94,35 +143,12 @@ def pivot_cost(cost: DataFrame, services: list[str] | None = SERVICES) -> DataFr
     return _pivot(cost, "cost", "cost_service_", services)
 
 
-def cost_features(cost: DataFrame, services: list[str] | None = SERVICES) -> DataFrame:
-    """Totals and both pivots in one aggregation: one shuffle instead of three and no joins."""
-    columns = _cost_aggregates(cost)
-    if "service" in cost.columns:
-        services = discover_services(cost) if services is None else services
-        for value in ("requests", "cost"):
-            columns += [
-                _total(F.when(_service() == s, F.col(value))).alias(f"{value}_service_{s}") for s in services
-            ]
-    return cost.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(*columns)
-
-
 def performance_rollup(performance: DataFrame) -> DataFrame:
-    columns = [_total("requests").alias("total_requests_perf"), _total("unique_users").alias("total_unique_users")]
-    if "unique_resources" in performance.columns:
-        columns.append(_total("unique_resources").alias("total_unique_resources"))
-    for name in ("requests_growth_pct", "rolling_requests_3"):
-        if name in performance.columns:
-            columns.append(F.avg(name).alias(name))
-    return performance.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(*columns)
+    return _roll_up([performance_measures(performance)])
 
 
 def security_rollup(security: DataFrame) -> DataFrame:
-    columns = [_total("requests").alias("total_requests_security")]
-    if "rare_events_count" in security.columns:
-        columns.append(_total("rare_events_count").alias("rare_events_count"))
-    if "rare_events_ratio_pct" in security.columns:
-        columns.append(F.avg("rare_events_ratio_pct").alias("rare_events_ratio_pct"))
-    return security.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(*columns)
+    return _roll_up([security_measures(security)])
 
 
 def mode_per_group(df: DataFrame, column: str, key: str = KEY, default: str = "unknown") -> DataFrame:
@@ -139,13 +165,6 @@ def mode_per_group(df: DataFrame, column: str, key: str = KEY, default: str = "u
     return counts.groupBy(key).agg(F.coalesce(best["v"], F.lit(default)).alias(column))
 
 
-def security_features(security: DataFrame) -> DataFrame:
-    rollup = security_rollup(security)
-    if "dominant_event" in security.columns:
-        rollup = left_equi_join(rollup, mode_per_group(security, "dominant_event"))
-    return rollup
-
-
 def with_ratio_features(df: DataFrame) -> DataFrame:
     """Derived ratios, each only where both of its columns exist."""
     ratios = [
@@ -169,7 +188,12 @@ def feature_store(
     cost, performance, security = (
         first_valid_timestamp(normalize_names(mart, lower=False)) for mart in (cost, performance, security)
     )
-    joined = full_outer_join_domains(
-        [cost_features(cost, services), performance_rollup(performance), security_features(security)]
-    )
+    if "service" in cost.columns:
+        services = discover_services(cost) if services is None else services
+    else:
+        services = []
+    parts = [cost_measures(cost, services), performance_measures(performance), security_measures(security)]
+    joined = _roll_up(parts)
+    if "dominant_event" in security.columns:
+        joined = left_equi_join(joined, mode_per_group(security, "dominant_event"))
     return with_ratio_features(joined.withColumns(cyclic_calendar_features(F.col(KEY))))

@@ -8,6 +8,7 @@ rows per question. So the number of (question, vector) pairs never becomes a num
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +28,8 @@ QUESTION_BLOCK = 256
 # Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
+# Up to this many asked domains the corpus is filtered to them before it is packed.
+MAX_PRUNED_DOMAINS = 1000
 
 
 def embed_texts(
@@ -121,11 +124,15 @@ def _best(question_ids, questions, ids, vectors, k):
     return [np.concatenate(part) for part in zip(*out)]
 
 
+def vector_bytes(vector: str) -> Column:
+    return F.sum(F.size(vector).cast("bigint") * 4)
+
+
 def knn_candidates(
     corpus: DataFrame, questions: DataFrame, keys: list[str], ident: str = "id", vector: str = "embedding",
-    question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES,
+    question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
 ) -> DataFrame:
-    """(keys, question_id, id, score): for each question row, at least its `n` nearest vectors with equal keys.
+    """(keys, question_id, id, score, n): for each question row, at least its `n` nearest vectors with equal keys.
 
     `questions` holds (keys, question_id, q, n). Each block pair gives its n best, so the result is a superset
     that the caller ranks. Small question sets are broadcast (their size is measured first) and the corpus is
@@ -135,8 +142,9 @@ def knn_candidates(
     questions = questions.withColumn("n", F.col("n").cast("int"))
     packed_questions = _pack(questions, "question_id", question_vector, [*keys, "n"], "q", QUESTION_BLOCK)
     packed_corpus = _pack(corpus, ident, vector, keys, "c", CORPUS_BLOCK)
-    size = questions.agg(F.sum(F.size(question_vector).cast("bigint") * 4)).first()[0] or 0
-    if size <= broadcast_bytes:
+    if question_bytes is None:
+        question_bytes = questions.agg(vector_bytes(question_vector)).first()[0] or 0
+    if question_bytes <= broadcast_bytes:
         pairs = packed_corpus.join(F.broadcast(packed_questions), keys)
     else:
         salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(SALTS)))
@@ -145,7 +153,7 @@ def knn_candidates(
     columns = [*keys, "n", "q_ids", "q_vectors", "c_ids", "c_vectors"]
     pairs = pairs.select(*columns)
     types = dict(pairs.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["question_id bigint", "id bigint", "score double"])
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["question_id bigint", "id bigint", "score double", "n int"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,11 +165,13 @@ def knn_candidates(
                 c = np.asarray(column["c_vectors"][i].values).astype(np.float64).reshape(len(ids), -1)
                 if q.shape[1] != c.shape[1]:
                     raise ValueError(f"Question vectors have {q.shape[1]} numbers, corpus vectors {c.shape[1]}")
-                found = _best(q_ids, q, ids, c, column["n"][i].as_py())
+                n = column["n"][i].as_py()
+                found = _best(q_ids, q, ids, c, n)
                 repeated = [pa.array([column[k][i].as_py()] * len(found[0]), type=column[k].type) for k in keys]
+                limits = pa.array(np.full(len(found[0]), n, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [*repeated, pa.array(found[0]), pa.array(found[1]), pa.array(found[2])],
-                    names=[*keys, "question_id", "id", "score"],
+                    [*repeated, *[pa.array(part) for part in found], limits],
+                    names=[*keys, "question_id", "id", "score", "n"],
                 )
 
     return pairs.mapInArrow(run, schema)
@@ -186,19 +196,39 @@ def knn_filtered(corpus: DataFrame, questions: DataFrame, domain: str, k: int =
     return knn_global(corpus.where(F.col("domain") == domain), questions, k, **options)
 
 
-def knn_routed(corpus: DataFrame, routes: DataFrame, **options) -> DataFrame:
+@dataclass
+class RouteFacts:
+    """Sizes of a set of routes, measured once: bytes of vectors, hits asked for in all and at most, domains."""
+
+    question_bytes: int
+    hits: int
+    most: int
+    domains: list[str]
+
+    @classmethod
+    def measure(cls, routes: DataFrame) -> RouteFacts:
+        sizes = routes.agg(vector_bytes("q"), F.sum(F.col("n").cast("bigint")), F.max("n")).first()
+        domains = routes.select("domain").distinct().limit(MAX_PRUNED_DOMAINS + 1).collect()
+        return cls(sizes[0] or 0, sizes[1] or 0, sizes[2] or 0, [row[0] for row in domains])
+
+
+def knn_routed(corpus: DataFrame, routes: DataFrame, facts: RouteFacts | None = None, **options) -> DataFrame:
     """Search each (question_id, q, domain, n) route for its n nearest vectors of that domain.
 
     Domain `*` stands for the whole corpus. Result: (question_id, domain, rank, id, score), ranked per route.
     """
-    everywhere = corpus.withColumn("_key", F.explode(F.array(F.col("domain"), F.lit(ANY))))
-    routes = routes.withColumn("_key", F.col("domain"))
-    wanted = routes.select("_key").distinct()
-    # The key list of the questions is at most domains + 1 long; it keeps unasked domains out of the blocks.
-    everywhere = everywhere.join(F.broadcast(wanted), "_key", "left_semi")
-    candidates = knn_candidates(everywhere, routes, ["_key"], **options)
-    limits = routes.select("question_id", "_key", "n").distinct()
-    best = ranked(candidates.join(limits, ["question_id", "_key"]), ["question_id", "_key"], F.col("n"))
+    facts = facts or RouteFacts.measure(routes)
+    most, asked = facts.most, facts.domains
+    if ANY in asked:
+        keyed = corpus.withColumn("_key", F.explode(F.array(F.col("domain"), F.lit(ANY))))
+    else:
+        keyed = corpus.withColumn("_key", F.col("domain"))
+    if len(asked) <= MAX_PRUNED_DOMAINS:
+        # On a corpus partitioned by domain this reads the asked folders only.
+        keyed = keyed.where(F.col("_key").isin(asked))
+    candidates = knn_candidates(keyed, routes.withColumn("_key", F.col("domain")), ["_key"], question_bytes=facts.question_bytes, **options)
+    # The constant bound lets Spark cut each task's rows before the shuffle; n is the route's own bound.
+    best = ranked(candidates, ["question_id", "_key"], most).where(F.col("rank") <= F.col("n"))
     return best.select("question_id", F.col("_key").alias("domain"), "rank", "id", "score")
 
 

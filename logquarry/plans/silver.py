@@ -36,8 +36,8 @@ def project_silver(df: DataFrame) -> DataFrame:
 def clean_logs(raw: DataFrame, time_format: str | None = None) -> DataFrame:
     """Distinct rows with a name and a valid time, user ids hashed, addresses masked.
 
-    Whole rows are compared, so the one shuffle carries every raw column; the time test runs again after it
-    only on what is left.
+    Whole rows are compared, so the one shuffle carries every raw column. Spark moves the tests on name and
+    time in front of it, and drops copies inside each map task.
     """
     df = drop_null_critical(normalize_names(dedup_full_row(raw)))
     timestamp = F.col("timestamp")
