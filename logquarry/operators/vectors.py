@@ -18,7 +18,7 @@ from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from logquarry.fixed_values import SEED, VECTOR_DIM
 
@@ -50,7 +50,7 @@ def embed_texts(
         unit = Normalizer(inputCol="_counts", outputCol="_unit").transform(counted)
         return unit.withColumn(out, vector_to_array("_unit", "float32")).drop("_text", "_terms", "_counts", "_unit")
 
-    schema = StructType(df.schema.fields).add(out, "array<float>")
+    schema = StructType([*df.schema.fields, StructField(out, ArrayType(FloatType()))])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
