@@ -1,8 +1,8 @@
 """Embedding hook and vector top-k, exact and approximate.
 
 Exact search is a blocked product. Corpus and questions are packed into blocks of vectors per routing key
-(domain or cell), blocks with the same key meet in a join, and each pair of blocks yields only its k best
-rows per question. So the number of (question, vector) pairs never becomes a number of rows.
+(domain or cell), blocks with the same key meet in a join, and each task keeps only the k best rows per
+question over all its blocks. So the number of (question, vector) pairs never becomes a number of rows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ QUESTION_BLOCK = 256
 # Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
+# Numbers a task holds for open question blocks before it hands on what it has found and starts anew.
+KEPT_SLOTS = 32 * 1024 * 1024
+# Pairs measured exactly in one step.
+PAIRS_AT_ONCE = 65_536
 # Up to this many asked domains the corpus is filtered to them before it is packed.
 MAX_PRUNED_DOMAINS = 1000
 
@@ -65,8 +69,23 @@ def embed_texts(
     return df.mapInPandas(run, schema)
 
 
-def _pack(df: DataFrame, ident: str, vector: str, keys: list[str], prefix: str, size: int) -> DataFrame:
-    """Blocks of up to `size` vectors with equal `keys`, made within each partition: no shuffle."""
+def _without_spare_copies(ids: np.ndarray, vectors: np.ndarray, n: int) -> np.ndarray:
+    """Positions to keep: of equal vectors the n lowest ids. A further copy has n others in front of it for
+    every question, so no top-n holds it; without this step a much copied vector would tie with itself."""
+    rows = np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
+    _, group = np.unique(rows, return_inverse=True)
+    order = np.lexsort((ids, group))
+    starts = np.searchsorted(group[order], group[order])
+    return np.sort(order[np.arange(len(order)) - starts < n])
+
+
+def _pack(
+    df: DataFrame, ident: str, vector: str, keys: list[str], prefix: str, size: int, copies: int | None = None
+) -> DataFrame:
+    """Blocks of up to `size` vectors with equal `keys`, made within each partition: no shuffle.
+
+    With `copies`, of equal vectors in a batch only as many as that are packed (see above).
+    """
     rows = df.where(F.col(vector).isNotNull()).select(
         *keys, F.col(ident).cast("bigint").alias("ident"), F.col(vector).cast("array<float>").alias("vector")
     )
@@ -88,16 +107,21 @@ def _pack(df: DataFrame, ident: str, vector: str, keys: list[str], prefix: str,
                 same = marks.eq(marks.shift()) | (marks.isna() & marks.shift().isna())
                 starts = np.flatnonzero(~same.all(axis=1).to_numpy())
             ends = [*starts[1:], table.num_rows]
-            ids = table.column("ident").combine_chunks()
-            vectors = table.column("vector").combine_chunks()
+            ids = np.asarray(table.column("ident").combine_chunks())
+            flat = table.column("vector").combine_chunks()
+            if flat.null_count or len(set(np.diff(flat.offsets))) > 1:
+                raise ValueError("Vectors of one batch differ in length")
+            vectors = np.asarray(flat.flatten()).reshape(len(ids), -1)
             for start, end in zip(starts, ends):
-                for low in range(start, end, size):
-                    high = min(low + size, end)
-                    flat = vectors.slice(low, high - low).flatten()
-                    columns = [table.column(k).slice(low, 1).combine_chunks() for k in keys]
+                taken = np.arange(start, end)
+                if copies is not None:
+                    taken = taken[_without_spare_copies(ids[taken], vectors[taken], copies)]
+                for low in range(0, len(taken), size):
+                    block = taken[low : low + size]
+                    columns = [table.column(k).slice(start, 1).combine_chunks() for k in keys]
                     columns += [
-                        pa.array([ids.slice(low, high - low)], type=pa.list_(pa.int64())),
-                        pa.array([flat], type=pa.list_(pa.float32())),
+                        pa.array([ids[block]], type=pa.list_(pa.int64())),
+                        pa.array([vectors[block].ravel()], type=pa.list_(pa.float32())),
                     ]
                     yield pa.RecordBatch.from_arrays(
                         columns, names=[*keys, f"{prefix}_ids", f"{prefix}_vectors"]
@@ -106,22 +130,44 @@ def _pack(df: DataFrame, ident: str, vector: str, keys: list[str], prefix: str,
     return rows.mapInArrow(run, schema)
 
 
-def _best(question_ids, questions, ids, vectors, k):
-    """The k nearest vectors of each question by squared distance, ties by id; distances summed in double."""
-    dim = questions.shape[1]
-    products = questions @ vectors.T
-    rough = (questions**2).sum(1)[:, None] + (vectors**2).sum(1)[None, :] - 2.0 * products
-    out = []
-    for row in range(len(question_ids)):
-        near = np.arange(len(ids))
-        if len(ids) > k:
-            # Keep everything the product form cannot tell apart from the k-th, then measure exactly.
-            limit = np.partition(rough[row], k - 1)[k - 1]
-            near = np.flatnonzero(rough[row] <= limit + 1e-9 * (1.0 + abs(limit) + dim))
-        exact = ((vectors[near] - questions[row]) ** 2).sum(axis=1)
-        first = np.lexsort((ids[near], exact))[:k]
-        out.append((np.full(len(first), question_ids[row]), ids[near][first], exact[first]))
-    return [np.concatenate(part) for part in zip(*out)]
+class _Nearest:
+    """The n nearest vectors so far of each question of one block: squared distances and ids, sorted, ties by id."""
+
+    def __init__(self, question_ids: np.ndarray, questions: np.ndarray, n: int):
+        self.question_ids, self.questions, self.n = question_ids, questions, n
+        self.norms = (questions**2).sum(1)[:, None]
+        self.distance = np.full((len(questions), n), np.inf)
+        self.ids = np.full((len(questions), n), np.iinfo(np.int64).max)
+
+    def see(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray) -> None:
+        """Take in a block of corpus vectors."""
+        rough = self.norms + norms[None, :] - 2.0 * (self.questions @ vectors.T)
+        limit = self.distance[:, -1]
+        if len(ids) > self.n and np.isinf(limit).any():
+            limit = np.minimum(limit, np.partition(rough, self.n - 1, axis=1)[:, self.n - 1])
+        # The product form errs in the last digits: keep all it cannot tell from the limit, then measure exactly.
+        slack = 1e-9 * (1.0 + self.norms[:, 0] + norms.max(initial=0.0))
+        rows, columns = np.nonzero(rough <= (limit + slack)[:, None])
+        for start in range(0, len(rows), PAIRS_AT_ONCE):
+            part = slice(start, start + PAIRS_AT_ONCE)
+            self._merge(rows[part], ids[columns[part]], self._exact(rows[part], vectors, columns[part]))
+
+    def _exact(self, rows, vectors, columns):
+        return ((vectors[columns] - self.questions[rows]) ** 2).sum(axis=1)
+
+    def _merge(self, rows, ids, distance) -> None:
+        touched, group = np.unique(rows, return_inverse=True)
+        group = np.concatenate([group, np.repeat(np.arange(len(touched)), self.n)])
+        distance = np.concatenate([distance, self.distance[touched].ravel()])
+        ids = np.concatenate([ids, self.ids[touched].ravel()])
+        order = np.lexsort((ids, distance, group))
+        first = np.searchsorted(group[order], np.arange(len(touched)))
+        best = order[first[:, None] + np.arange(self.n)]
+        self.distance[touched], self.ids[touched] = distance[best], ids[best]
+
+    def found(self) -> list[np.ndarray]:
+        rows, places = np.nonzero(np.isfinite(self.distance))
+        return [self.question_ids[rows], self.ids[rows, places], self.distance[rows, places]]
 
 
 def vector_bytes(vector: str) -> Column:
@@ -131,20 +177,21 @@ def vector_bytes(vector: str) -> Column:
 def knn_candidates(
     corpus: DataFrame, questions: DataFrame, keys: list[str], ident: str = "id", vector: str = "embedding",
     question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """(keys, question_id, id, score, n): for each question row, at least its `n` nearest vectors with equal keys.
 
-    `questions` holds (keys, question_id, q, n). Each block pair gives its n best, so the result is a superset
-    that the caller ranks. Small question sets are broadcast (their size is measured first) and the corpus is
+    `questions` holds (keys, question_id, q, n). Each task gives its n best per question, so the result is a
+    superset that the caller ranks. Small question sets are broadcast (their size is measured first) and the corpus is
     not shuffled; large ones meet the corpus in a shuffle join spread over salts, so that one hot key is
     shared by many tasks.
     """
     questions = questions.withColumn("n", F.col("n").cast("int"))
     packed_questions = _pack(questions, "question_id", question_vector, [*keys, "n"], "q", QUESTION_BLOCK)
-    packed_corpus = _pack(corpus, ident, vector, keys, "c", CORPUS_BLOCK)
-    if question_bytes is None:
-        question_bytes = questions.agg(vector_bytes(question_vector)).first()[0] or 0
-    if question_bytes <= broadcast_bytes:
+    if question_bytes is None or most is None:
+        question_bytes, most = questions.agg(vector_bytes(question_vector), F.max("n")).first()
+    packed_corpus = _pack(corpus, ident, vector, keys, "c", CORPUS_BLOCK, copies=most or 0)
+    if (question_bytes or 0) <= broadcast_bytes:
         pairs = packed_corpus.join(F.broadcast(packed_questions), keys)
     else:
         salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(SALTS)))
@@ -155,24 +202,38 @@ def knn_candidates(
     types = dict(pairs.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["question_id bigint", "id bigint", "score double", "n int"])
 
+    names = [*keys, "question_id", "id", "score", "n"]
+
+    def emit(kept: dict) -> Iterator[pa.RecordBatch]:
+        for (values, _), nearest in kept.items():
+            found = nearest.found()
+            repeated = [pa.array([v.as_py()] * len(found[0]), type=v.type) for v in values]
+            limits = pa.array(np.full(len(found[0]), nearest.n, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*repeated, *[pa.array(p) for p in found], limits], names=names)
+        kept.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[tuple, _Nearest] = {}
+        slots = 0
         for batch in batches:
             column = {name: batch.column(batch.schema.get_field_index(name)) for name in columns}
             for i in range(batch.num_rows):
-                q_ids = np.asarray(column["q_ids"][i].values)
-                ids = np.asarray(column["c_ids"][i].values)
-                q = np.asarray(column["q_vectors"][i].values).astype(np.float64).reshape(len(q_ids), -1)
-                c = np.asarray(column["c_vectors"][i].values).astype(np.float64).reshape(len(ids), -1)
-                if q.shape[1] != c.shape[1]:
-                    raise ValueError(f"Question vectors have {q.shape[1]} numbers, corpus vectors {c.shape[1]}")
+                q_ids, ids = np.asarray(column["q_ids"][i].values), np.asarray(column["c_ids"][i].values)
                 n = column["n"][i].as_py()
-                found = _best(q_ids, q, ids, c, n)
-                repeated = [pa.array([column[k][i].as_py()] * len(found[0]), type=column[k].type) for k in keys]
-                limits = pa.array(np.full(len(found[0]), n, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*repeated, *[pa.array(part) for part in found], limits],
-                    names=[*keys, "question_id", "id", "score", "n"],
-                )
+                block = (tuple(column[k][i] for k in keys), (n, q_ids.tobytes()))
+                if block not in kept:
+                    if slots > KEPT_SLOTS:
+                        yield from emit(kept)
+                        slots = 0
+                    q = np.asarray(column["q_vectors"][i].values).astype(np.float64).reshape(len(q_ids), -1)
+                    kept[block] = _Nearest(q_ids.copy(), q, n)
+                    slots += q.size + 2 * n * len(q_ids)
+                c = np.asarray(column["c_vectors"][i].values).astype(np.float64).reshape(len(ids), -1)
+                dim = kept[block].questions.shape[1]
+                if c.shape[1] != dim:
+                    raise ValueError(f"Question vectors have {dim} numbers, corpus vectors {c.shape[1]}")
+                kept[block].see(ids, c, (c**2).sum(1))
+        yield from emit(kept)
 
     return pairs.mapInArrow(run, schema)
 
@@ -226,7 +287,9 @@ def knn_routed(corpus: DataFrame, routes: DataFrame, facts: RouteFacts | None =
     if len(asked) <= MAX_PRUNED_DOMAINS:
         # On a corpus partitioned by domain this reads the asked folders only.
         keyed = keyed.where(F.col("_key").isin(asked))
-    candidates = knn_candidates(keyed, routes.withColumn("_key", F.col("domain")), ["_key"], question_bytes=facts.question_bytes, **options)
+    candidates = knn_candidates(
+        keyed, routes.withColumn("_key", F.col("domain")), ["_key"], question_bytes=facts.question_bytes, most=most, **options
+    )
     # The constant bound lets Spark cut each task's rows before the shuffle; n is the route's own bound.
     best = ranked(candidates, ["question_id", "_key"], most).where(F.col("rank") <= F.col("n"))
     return best.select("question_id", F.col("_key").alias("domain"), "rank", "id", "score")
