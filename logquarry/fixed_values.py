@@ -263,3 +263,4 @@ DATASET_QUESTIONS = {
         "Quais períodos tiveram maior risco estatístico?",
     ],
 }
+NO_QUESTIONS = "- Não há perguntas documentadas para este dataset."

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from logquarry.functions.names import split_columns_by_dtype
 from logquarry.operators.ranking import exact_quantiles
 
+EPSILON = sys.float_info.epsilon
 # Categories become model size; far more of them than this would be an identifier, not a category.
 MAX_CATEGORIES = 100_000
 
@@ -30,14 +33,25 @@ def impute_median(df: DataFrame, medians: dict[str, float]) -> DataFrame:
 
 
 def fit_scales(imputed: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """(mean, population deviation) per column in one aggregation; a constant column gets deviation 1."""
+    """(mean, population deviation) per column in one aggregation; a constant column gets deviation 1.
+
+    Constant includes columns whose spread is within the rounding of doubles, such as a ratio that is the same
+    everywhere: dividing by that spread would blow rounding noise up to unit size.
+    """
     row = imputed.agg(
         *[
-            F.struct(F.avg(f"`{c}`").alias("mean"), F.stddev_pop(f"`{c}`").alias("deviation")).alias(c)
+            F.struct(
+                F.avg(f"`{c}`").alias("mean"), F.stddev_pop(f"`{c}`").alias("deviation"), F.count(f"`{c}`").alias("n")
+            ).alias(c)
             for c in columns
         ]
     ).first()
-    return {c: (row[c]["mean"], row[c]["deviation"] or 1.0) for c in columns}
+    scales = {}
+    for name in columns:
+        n, mean, variance = row[name]["n"], row[name]["mean"], row[name]["deviation"] ** 2
+        constant = variance <= n * EPSILON * variance + (n * mean * EPSILON) ** 2
+        scales[name] = (mean, 1.0 if constant else row[name]["deviation"])
+    return scales
 
 
 def standard_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:

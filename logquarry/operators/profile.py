@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.fixed_values import COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS
+from logquarry.fixed_values import (
+    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS,
+)
 
 DICTIONARY_SCHEMA = "dataset STRING, column STRING, description STRING"
 
@@ -52,43 +54,46 @@ def data_dictionary(
     return dictionary_lookup(profile_columns(datasets), description_table(spark, descriptions), default)
 
 
+def _per_dataset(texts: dict[str, str], default: str) -> Column:
+    chosen = F.lit(default)
+    for name, text in texts.items():
+        chosen = F.when(F.col("dataset") == name, text).otherwise(chosen)
+    return chosen
+
+
 def render_documents(
-    profile: DataFrame, generated_at: str, purposes=DATASET_PURPOSES, questions=DATASET_QUESTIONS
+    profile: DataFrame, generated_at: str, purposes=DATASET_PURPOSES, questions=DATASET_QUESTIONS,
+    facts: dict[str, dict[str, object]] | None = None,
 ) -> DataFrame:
-    """One Markdown document per dataset. A group is one dataset's column list, bounded by its schema."""
-    purpose = F.lit("")
-    asked = F.lit("- Não há perguntas documentadas para este dataset.")
-    for name, text in purposes.items():
-        purpose = F.when(F.col("dataset") == name, text).otherwise(purpose)
-    for name, texts in questions.items():
-        asked = F.when(F.col("dataset") == name, "\n".join(f"- {t}" for t in texts)).otherwise(asked)
+    """One Markdown document per dataset; `facts` adds lines such as source and destination to its general section.
+
+    A group is one dataset's column list, bounded by its schema.
+    """
+    purpose = _per_dataset(purposes, "")
+    asked = _per_dataset(
+        {name: "\n".join(f"- {text}" for text in texts) for name, texts in questions.items()}, NO_QUESTIONS
+    )
+    extra = _per_dataset(
+        {name: "".join(f"\n- **{k}:** {v}" for k, v in known.items()) for name, known in (facts or {}).items()}, ""
+    )
     columns = F.array_sort(F.collect_list(F.struct("position", "column", "description")))
     grouped = profile.groupBy("dataset", "n_rows", "n_columns").agg(columns.alias("columns"))
-    blank = F.lit("")
-    return grouped.select(
-        "dataset",
-        F.array_join(
-            F.array(
-                F.concat(F.lit("# Documentação do Dataset "), F.initcap("dataset")), blank,
-                F.lit("## 1. Para que serve"), blank, purpose, blank,
-                F.lit("## 2. O que este dataset deve responder"), blank, asked, blank,
-                F.lit("## 3. Informações gerais"), blank,
-                F.concat(F.lit("- **Quantidade de linhas:** "), F.col("n_rows").cast("string")),
-                F.concat(F.lit("- **Quantidade de colunas:** "), F.col("n_columns").cast("string")),
-                F.lit(f"- **Data de geração:** {generated_at}"), blank,
-                F.lit("## 4. Colunas geradas"), blank,
-                F.array_join(
-                    F.transform("columns", lambda c: F.concat(F.lit("- **"), c["column"], F.lit("**"))), "\n"
-                ), blank,
-                F.lit("## 5. Descrição das colunas"), blank,
-                F.array_join(
-                    F.transform(
-                        "columns",
-                        lambda c: F.concat(F.lit("### "), c["column"], F.lit("\n\n"), c["description"], F.lit("\n")),
-                    ),
-                    "\n",
-                ),
-            ),
-            "\n",
-        ).alias("document"),
+    names = F.transform("columns", lambda c: F.concat(F.lit("- **"), c["column"], F.lit("**")))
+    described = F.transform(
+        "columns", lambda c: F.concat(F.lit("### "), c["column"], F.lit("\n\n"), c["description"], F.lit("\n"))
+    )
+    general = F.concat(
+        F.lit("- **Quantidade de linhas:** "), F.col("n_rows").cast("string"),
+        F.lit("\n- **Quantidade de colunas:** "), F.col("n_columns").cast("string"),
+        F.lit(f"\n- **Data de geração:** {generated_at}"), extra,
     )
+    parts = [
+        ("# Documentação do Dataset ", F.initcap("dataset")),
+        ("## 1. Para que serve\n\n", purpose),
+        ("## 2. O que este dataset deve responder\n\n", asked),
+        ("## 3. Informações gerais\n\n", general),
+        ("## 4. Colunas geradas\n\n", F.array_join(names, "\n")),
+        ("## 5. Descrição das colunas\n\n", F.array_join(described, "\n")),
+    ]
+    document = F.concat_ws("\n\n", *[F.concat(F.lit(heading), body) for heading, body in parts])
+    return grouped.select("dataset", document.alias("document"))

@@ -134,7 +134,11 @@ def temporal_split(
     """
     keys = [column, *tie_breakers]
     times = {k for k, t in df.dtypes if t in ("timestamp", "timestamp_ntz", "date")}
-    as_number = {k: F.unix_micros(F.col(k).cast("timestamp")) if k in times else F.col(k) for k in keys}
+    # Rows without a time come last.
+    as_number = {
+        k: F.coalesce(F.unix_micros(F.col(k).cast("timestamp")), F.lit(2**63 - 1)) if k in times else F.col(k)
+        for k in keys
+    }
     numbers = df.select(*[as_number[k].alias(k) for k in keys])
     n = numbers.count()
     if n == 0:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import (
-    CLEANED_COLUMNS, CLEANED_OPTIONAL_COLUMNS, CRITICAL_COLUMNS, USER_ID_COLUMNS,
+    CLEANED_COLUMNS, CLEANED_OPTIONAL_COLUMNS, CRITICAL_COLUMNS, DEFAULT_DESCRIPTIONS, USER_ID_COLUMNS,
 )
 from logquarry.functions.columns import calendar_parts, hash_user, mask_ip, parse_utc
 from logquarry.functions.names import canonical_event_resource, drop_null, normalize_names, select_present
 from logquarry.operators.marts import dedup_full_row
-from logquarry.sources.logs import scan_parquet
-from logquarry.sources.sinks import write_partitioned
+from logquarry.operators.profile import data_dictionary, render_documents
+from logquarry.sources.logs import null_tokens_to_null, scan_parquet
+from logquarry.sources.sinks import write_document, write_partitioned
 
 
 def drop_null_critical(df: DataFrame, columns=CRITICAL_COLUMNS) -> DataFrame:
@@ -46,7 +47,16 @@ def clean_logs(raw: DataFrame, time_format: str | None = None) -> DataFrame:
     return project_silver(canonical_event_resource(with_masked_ip(with_user_hash(df))))
 
 
-def bronze_to_silver(spark, bronze: str, silver: str, dt: str, time_format: str | None = None) -> None:
-    """Clean day `dt` of the landed table and replace that day of the cleaned table."""
+def bronze_to_silver(
+    spark: SparkSession, bronze: str, silver: str, documents: str, dt: str, generated_at: str,
+    time_format: str | None = None,
+) -> None:
+    """Clean day `dt` of the landed table, replace that day of the cleaned table, and describe it."""
     raw = scan_parquet(spark, bronze).where(F.col("dt") == dt).drop("dt")
-    write_partitioned(clean_logs(raw, time_format), silver, dt)
+    write_partitioned(clean_logs(null_tokens_to_null(raw), time_format), silver, dt)
+    stored = scan_parquet(spark, silver).where(F.col("dt") == dt).drop("dt")
+    facts = {
+        "silver": {"Origem": f"{bronze}/dt={dt}", "Destino": f"{silver}/dt={dt}", "Linhas originais": raw.count()}
+    }
+    profile = data_dictionary(spark, {"silver": stored}, default=DEFAULT_DESCRIPTIONS["silver"])
+    write_document(render_documents(profile, generated_at, facts=facts), f"{documents}/dt={dt}")

@@ -19,6 +19,8 @@ MART_SCHEMAS = {
 
 def null_tokens_to_null(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     """Every string cell that is one of `tokens` becomes NULL."""
+    if not tokens:
+        return df
     return df.select(
         *[
             F.when(F.col(f"`{name}`").isin(tokens), None).otherwise(F.col(f"`{name}`")).alias(name)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logquarry.fixed_values import COLUMN_DESCRIPTIONS, DEFAULT_DESCRIPTIONS
+from logquarry.fixed_values import (
+    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS,
+)
 from logquarry.operators import features, labels, marts, metrics, profile, ranking
 from queries.inputs import WIDE, marts_sql, prepared, raw_logs, silver, table, wide_performance, wide_security
 from queries.inputs import marts as all_marts
@@ -330,7 +332,29 @@ def _(spark, sf):
     return profile.data_dictionary(spark, _dictionary_inputs(spark, sf))
 
 
-@query("data_dictionary_documents")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _chosen(texts: dict[str, str], default: str) -> str:
+    cases = " ".join(f"WHEN {_quoted(name)} THEN {_quoted(text)}" for name, text in texts.items())
+    return f"CASE dataset {cases} ELSE {_quoted(default)} END"
+
+
+_ASKED = {name: "\n".join(f"- {q}" for q in asked) for name, asked in DATASET_QUESTIONS.items()}
+DOCUMENTS = f"""WITH profile AS ({_dictionary_sql()})
+SELECT dataset, array_to_string([
+  '# Documentação do Dataset '||upper(dataset[1])||dataset[2:], '', '## 1. Para que serve', '',
+  {_chosen(DATASET_PURPOSES, '')}, '', '## 2. O que este dataset deve responder', '',
+  {_chosen(_ASKED, NO_QUESTIONS)}, '', '## 3. Informações gerais', '',
+  '- **Quantidade de linhas:** '||any_value(n_rows), '- **Quantidade de colunas:** '||any_value(n_columns),
+  '- **Data de geração:** 2024-02-01 00:00:00', '', '## 4. Colunas geradas', '',
+  string_agg('- **'||"column"||'**', chr(10) ORDER BY position), '', '## 5. Descrição das colunas', '',
+  string_agg('### '||"column"||chr(10)||chr(10)||description||chr(10), chr(10) ORDER BY position)], chr(10)) AS document
+FROM profile GROUP BY dataset"""
+
+
+@query("data_dictionary_documents", DOCUMENTS)
 def _(spark, sf):
     return profile.render_documents(profile.data_dictionary(spark, _dictionary_inputs(spark, sf)), "2024-02-01 00:00:00")
 

@@ -115,22 +115,29 @@ _RUNS = " UNION ALL ".join(
 )
 
 
-@query(
-    "run_summary",
-    f"""WITH cells AS ({_RUNS}) SELECT model, round((tp + tn) / (tn + fp + fn + tp), 10) AS accuracy,
-        round(tp / (tp + fp), 10) AS precision, round(tp / (tp + fn), 10) AS recall, round(2 * tp / (2 * tp + fp + fn), 10) AS f1
-    FROM cells""",
-)
-def _(spark, sf):
-    path = shared_dir(spark, "queries/run_summary")
+RANKED = f"""WITH cells AS ({_RUNS}) SELECT model, round((tp + tn) / (tn + fp + fn + tp), 10) AS accuracy,
+  round(tp / (tp + fp), 10) AS precision, round(tp / (tp + fn), 10) AS recall, round(2 * tp / (2 * tp + fp + fn), 10) AS f1
+FROM cells ORDER BY f1 DESC, model"""
+
+
+def _runs(spark, sf):
     runs = reduce(
         DataFrame.unionByName,
         [metrics.binary_metrics(truth(spark, sf, n)).withColumn("model", F.lit(f"n_chars_{n}")) for n in LIMITS],
     )
-    names = ["accuracy", "precision", "recall", "f1"]
-    sinks.write_run_summary(runs.select("model", *[F.round(c, 10).alias(c) for c in names]), path)
-    schema = "model STRING, " + ", ".join(f"{c} DOUBLE" for c in names)
-    return sinks.rank_models(spark.read.schema(schema).option("header", True).csv(path))
+    return runs.select("model", *[F.round(c, 10).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@query("rank_models", RANKED)
+def _(spark, sf):
+    return sinks.rank_models(_runs(spark, sf))
+
+
+@query("run_summary", RANKED)
+def _(spark, sf):
+    path, runs = shared_dir(spark, "queries/run_summary"), _runs(spark, sf)
+    sinks.write_run_summary(runs, path)
+    return sinks.rank_models(spark.read.schema(runs.schema).option("header", True).csv(path))
 
 
 @query("report_json", f"WITH {COUNTS}, {REPORT}")

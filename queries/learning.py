@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from logquarry.learning import forest, models, preprocess
 from logquarry.learning.experiment import run_experiment
-from logquarry.operators import labels
+from logquarry.operators import labels, ranking
 from logquarry.session import shared_dir
+from queries.aggregates import features_sql
 from queries.inputs import RAW_LOGS, marts, raw_logs, table
 from queries.registry import query
 
@@ -97,11 +98,30 @@ def _(spark, sf):
     return events.select("event_id", *[slots[i].alias(f"c{i}") for i in range(3)])
 
 
-@query("preprocessor")
+NUMERIC = [
+    "total_cost", "total_requests_cost", "requests_service_ec2", "requests_service_iam", "requests_service_other_services",
+    "requests_service_s3", "cost_service_ec2", "cost_service_iam", "cost_service_other_services", "cost_service_s3",
+    "total_requests_perf", "total_unique_users", "total_requests_security", "year", "month", "day", "hour", "day_of_week",
+    "is_weekend", "hour_sin", "hour_cos", "avg_cost_per_request", "security_to_perf_ratio",
+]
+
+
+def _scaled(name: str) -> str:
+    x = f"CAST({name} AS DOUBLE)"
+    spread = f"(SELECT CASE WHEN stddev_pop({x}) <= 1e-12 * abs(avg({x})) THEN 1 ELSE stddev_pop({x}) END FROM features)"
+    return f"round(({x} - (SELECT avg({x}) FROM features)) / {spread}, 5) + 0.0 AS {name}"
+
+
+@query(
+    "preprocessor",
+    f"""WITH {features_sql('hour')} SELECT "timestamp", {', '.join(map(_scaled, NUMERIC))} FROM features""",
+)
 def _(spark, sf):
     rows = stored_dataset(spark, sf, "preprocessor")
-    fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
-    return fitted.transform(rows).select(KEY, vector_to_array("features").alias("features"))
+    fitted = preprocess.fit_preprocessor(rows, NUMERIC)
+    vector = vector_to_array("features")
+    scaled = [(F.round(vector[i], 5) + F.lit(0.0)).alias(name) for i, name in enumerate(NUMERIC)]
+    return fitted.transform(rows).select(KEY, *scaled)
 
 
 def _supervised(name):
@@ -119,6 +139,30 @@ query("random_forest")(_supervised("random_forest"))
 query("gradient_boosting")(_supervised("hist_gradient_boosting"))
 
 
+@query("predict_supervised")
+def _(spark, sf):
+    """Trained on the older rows, scored on the newer ones."""
+    rows = ranking.temporal_split(stored_dataset(spark, sf, "predict_supervised"), KEY)
+    train, test = rows.where("is_train").drop("is_train"), rows.where("NOT is_train").drop("is_train")
+    model = models.fit_supervised(
+        "logistic_regression", preprocess.fit_preprocessor(train, feature_names(train)), train, LABEL
+    )
+    return models.predict_supervised(model, test)
+
+
+@query("save_load_model", f"""WITH {features_sql('hour')} SELECT "timestamp", true AS same FROM features""")
+def _(spark, sf):
+    """A saved and loaded model gives the predictions of the fitted one."""
+    rows = stored_dataset(spark, sf, "save_load_model")
+    fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
+    model = models.fit_supervised("logistic_regression", fitted, rows, LABEL)
+    path = shared_dir(spark, "queries/save_load_model_files")
+    models.save_supervised(spark, path, "logistic_regression", model, feature_names(rows))
+    before = models.predict_supervised(model, rows).select(KEY, F.struct("prediction", "score").alias("before"))
+    after = models.score_dispatch(spark, path, rows).select(KEY, F.struct("prediction", "score").alias("after"))
+    return before.join(after, KEY).select(KEY, (F.col("before") == F.col("after")).alias("same"))
+
+
 def fitted_forest(spark, sf, name):
     rows = stored_dataset(spark, sf, name)
     fitted = preprocess.fit_preprocessor(rows, feature_names(rows))

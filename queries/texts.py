@@ -98,7 +98,7 @@ def _(spark, sf):
 @query("intent_domain_route", f"WITH {ASKED}, {ROUTES} SELECT question_id, intent, domain FROM asked JOIN routes USING (intent)")
 def _(spark, sf):
     asked = routing.with_intent(questions(spark, sf)).select("question_id", "intent")
-    return routing.intent_domain_route(asked, routing.route_table(spark))
+    return routing.intent_domain_route(asked)
 
 
 MARKER = """((intent = 'identity' AND contains(text, '## Quem e o assistente'))

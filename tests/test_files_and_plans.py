@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from logquarry.plans.bronze import csv_to_bronze
 from logquarry.plans.gold import build_marts, silver_to_gold
 from logquarry.plans.silver import bronze_to_silver, clean_logs
 from logquarry.sources import sinks, snapshots
@@ -84,20 +85,31 @@ def test_export_round_trip(spark, tmp_path):
     assert rows(scan_auto(spark, path, MART_SCHEMAS["cost"])) == rows(mart)
 
 
-def test_bronze_to_gold(spark, sf_dir, tmp_path):
-    bronze, silver, gold = (str(tmp_path / x) for x in ("bronze", "silver", "gold"))
+def document(spark, path):
+    return "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).select("value").collect())
+
+
+def test_file_to_gold(spark, sf_dir, tmp_path):
+    source, bronze, silver, gold, notes = (str(tmp_path / x) for x in ("in.csv", "bronze", "silver", "gold", "notes"))
     raw = raw_logs(spark, sf_dir)
-    sinks.write_bronze_raw(raw, bronze, "2024-02-01")
-    bronze_to_silver(spark, bronze, silver, "2024-02-01")
-    stored = silver_to_gold(spark, silver, gold, "2024-02-01", "2024-02-01 00:00:00")
+    raw.write.option("header", True).option("escape", '"').option("nullValue", "NaN").csv(source)
+    day, when = "2024-02-01", "2024-02-01 00:00:00"
+    csv_to_bronze(spark, source, bronze, f"{notes}/bronze", day, when)
+    landed = spark.read.parquet(bronze).drop("dt")
+    assert landed.count() == raw.count() and landed.where("eventname = 'NaN'").count() > 0
+    bronze_to_silver(spark, bronze, silver, f"{notes}/silver", day, when)
+    stored = silver_to_gold(spark, silver, gold, day, when)
     expected = build_marts(clean_logs(raw))
     for domain, mart in stored.items():
         assert sorted(rows(mart)) == sorted(rows(expected[domain]))
-    exported = scan_auto(spark, f"{gold}/csv/cost/dt=2024-02-01/part-*.csv", MART_SCHEMAS["cost"])
+    exported = scan_auto(spark, f"{gold}/csv/cost/dt={day}/part-*.csv", MART_SCHEMAS["cost"])
     assert exported.count() == expected["cost"].count()
-    text = "\n".join(r[0] for r in spark.read.text(f"{gold}/documents/dt=2024-02-01/dataset=cost").select("value").collect())
+    text = document(spark, f"{gold}/documents/dt={day}/dataset=cost")
     assert "# Documentação do Dataset Cost" in text and f"- **Quantidade de linhas:** {stored['cost'].count()}" in text
     assert "### service" in text and "Serviço inferido a partir do nome do evento." in text
+    text = document(spark, f"{notes}/silver/dt={day}")
+    assert f"- **Linhas originais:** {raw.count()}" in text and f"- **Destino:** {silver}/dt={day}" in text
+    assert "- **sourceipaddress**" in document(spark, f"{notes}/bronze/dt={day}")
 
 
 @pytest.mark.parametrize("build", [stream_cost, stream_performance])

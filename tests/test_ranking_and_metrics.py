@@ -45,6 +45,13 @@ def test_temporal_split_of_one_row_keeps_it_for_training(spark):
     assert rows(ranking.temporal_split(df))[0][1] is True
 
 
+def test_rows_without_a_time_come_last(spark):
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k) for k in range(9)] + [None]
+    df = spark.createDataFrame([(t,) for t in times], "timestamp timestamp_ntz")
+    found = rows(ranking.temporal_split(df))
+    assert {t for t, is_train in found if is_train} == set(times[:8]) and (None, False) in found
+
+
 def test_temporal_split_with_hot_time(spark):
     """A third of all rows share the time at the cut; the tie-breaker cuts inside them."""
     df = spark.range(3000).select(

@@ -64,9 +64,9 @@ def test_intents(spark, question, intent):
 def test_every_intent_has_its_domains(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(["gold", "pipeline", "custo", "quem e voce"])], "question_id int, question string")
     asked = routing.with_intent(df)
-    routed = routing.intent_domain_route(asked, routing.route_table(spark))
+    routed = routing.intent_domain_route(asked)
     assert dict(rows(routed.groupBy("question_id").count())) == {0: 3, 1: 5, 3: 1}
-    assert [r["question_id"] for r in routing.without_route(asked, routing.route_table(spark)).collect()] == [2]
+    assert [r["question_id"] for r in routing.without_route(asked).collect()] == [2]
 
 
 def test_faq_needs_every_group_of_terms(spark):
