@@ -47,15 +47,16 @@ def full_outer_join_domains(parts: list[DataFrame], on: str = KEY) -> DataFrame:
 
 @dataclass
 class Measures:
-    """What one mart adds to a row of the feature table: sums (NULL counts as 0) and means per minute."""
+    """What one mart adds to a row of the feature table: sums (NULL counts as 0), means and maxima per minute."""
 
     mart: DataFrame
     sums: dict[str, Column] = field(default_factory=dict)
     means: dict[str, Column] = field(default_factory=dict)
+    maxima: dict[str, Column] = field(default_factory=dict)
 
 
 def _roll_up(parts: list[Measures]) -> DataFrame:
-    """One row per minute of any part, holding every part's sums and means.
+    """One row per minute of any part, holding every part's columns.
 
     The parts are stacked, each with its own columns, and grouped once: an outer join of per-part groupings
     without a join or a sort. Where a part has no row for a minute its columns stay NULL, as in the join.
@@ -66,7 +67,7 @@ def _roll_up(parts: list[Measures]) -> DataFrame:
             part.mart.where(F.col(KEY).isNotNull()).select(
                 KEY,
                 *[F.coalesce(column, F.lit(0)).alias(name) for name, column in part.sums.items()],
-                *[column.alias(name) for name, column in part.means.items()],
+                *[column.alias(name) for name, column in {**part.means, **part.maxima}.items()],
             )
             for part in parts
         ],
@@ -75,6 +76,7 @@ def _roll_up(parts: list[Measures]) -> DataFrame:
     for part in parts:
         columns += [F.sum(f"`{name}`").alias(name) for name in part.sums]
         columns += [F.avg(f"`{name}`").alias(name) for name in part.means]
+        columns += [F.max(f"`{name}`").alias(name) for name in part.maxima]
     return rows.groupBy(KEY).agg(*columns)
 
 
@@ -181,19 +183,32 @@ def with_ratio_features(df: DataFrame) -> DataFrame:
     )
 
 
-def feature_store(
+def with_parsed_time(mart: DataFrame) -> DataFrame:
+    return first_valid_timestamp(normalize_names(mart, lower=False))
+
+
+def mart_measures(
     cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES
-) -> DataFrame:
-    """One row per minute seen in any mart: totals, pivots, calendar and ratios."""
-    cost, performance, security = (
-        first_valid_timestamp(normalize_names(mart, lower=False)) for mart in (cost, performance, security)
-    )
+) -> list[Measures]:
+    """The measures of the three marts, in the column order of the feature table."""
     if "service" in cost.columns:
         services = discover_services(cost) if services is None else services
     else:
         services = []
-    parts = [cost_measures(cost, services), performance_measures(performance), security_measures(security)]
+    return [cost_measures(cost, services), performance_measures(performance), security_measures(security)]
+
+
+def assemble_features(parts: list[Measures], security: DataFrame) -> DataFrame:
+    """Roll the measures up and add dominant event, calendar and ratios."""
     joined = _roll_up(parts)
     if "dominant_event" in security.columns:
         joined = left_equi_join(joined, mode_per_group(security, "dominant_event"))
     return with_ratio_features(joined.withColumns(cyclic_calendar_features(F.col(KEY))))
+
+
+def feature_store(
+    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES
+) -> DataFrame:
+    """One row per minute seen in any mart: totals, pivots, calendar and ratios."""
+    cost, performance, security = (with_parsed_time(mart) for mart in (cost, performance, security))
+    return assemble_features(mart_measures(cost, performance, security, services), security)

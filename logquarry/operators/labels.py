@@ -9,8 +9,8 @@ from logquarry.fixed_values import (
     LEAKAGE_COLUMNS, PERFORMANCE_ALERT_WORDS, RARE_EVENTS_THRESHOLD, RISK_ALERT_WORDS, SERVICES,
 )
 from logquarry.functions.columns import normalize_boolean
-from logquarry.functions.names import drop_all_null_signal, drop_leakage_columns, normalize_names
-from logquarry.operators.features import KEY, feature_store, first_valid_timestamp, left_equi_join
+from logquarry.functions.names import drop_all_null_signal, drop_leakage_columns
+from logquarry.operators.features import KEY, assemble_features, left_equi_join, mart_measures, with_parsed_time
 
 
 def _either(flags: list[Column]) -> Column:
@@ -58,9 +58,7 @@ def weak_labels(performance: DataFrame, security: DataFrame) -> DataFrame:
     Keys and flags come from one grouping of the two marts' flag rows: the union of keys, the per-key maxima
     and the join of both are the same shuffle.
     """
-    performance, security = (
-        first_valid_timestamp(normalize_names(mart, lower=False)) for mart in (performance, security)
-    )
+    performance, security = with_parsed_time(performance), with_parsed_time(security)
     none = F.lit(0)
     flags = performance.select(
         KEY, performance_alert(performance).alias("perf_anomaly"), none.alias("sec_anomaly")
@@ -83,8 +81,16 @@ def modeling_dataset(
     cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES,
     leakage=LEAKAGE_COLUMNS,
 ) -> DataFrame:
-    """Features with label, without leaking columns and rows that carry no signal."""
-    labelled = attach_label(
-        feature_store(cost, performance, security, services), weak_labels(performance, security)
-    )
+    """Features with label, without leaking columns and rows that carry no signal.
+
+    The flags are maxima of the same per-minute grouping that makes the features: every labelled minute is a
+    feature row, so joining `weak_labels` to `feature_store` gives the same table at the cost of a join.
+    """
+    cost, performance, security = (with_parsed_time(mart) for mart in (cost, performance, security))
+    of_cost, of_performance, of_security = mart_measures(cost, performance, security, services)
+    of_performance.maxima["perf_anomaly"] = performance_alert(performance)
+    of_security.maxima["sec_anomaly"] = security_alert(security)
+    rows = assemble_features([of_cost, of_performance, of_security], security)
+    label = F.coalesce(F.greatest("perf_anomaly", "sec_anomaly"), F.lit(0)).cast("int")
+    labelled = rows.withColumn("is_anomaly", label).drop("perf_anomaly", "sec_anomaly")
     return drop_all_null_signal(drop_leakage_columns(labelled, leakage))

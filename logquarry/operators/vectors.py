@@ -27,7 +27,6 @@ CORPUS_BLOCK = 1024
 QUESTION_BLOCK = 256
 # Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 # Numbers a task holds for open question blocks before it hands on what it has found and starts anew.
 KEPT_SLOTS = 32 * 1024 * 1024
 # Pairs measured exactly in one step.
@@ -194,9 +193,12 @@ def knn_candidates(
     if (question_bytes or 0) <= broadcast_bytes:
         pairs = packed_corpus.join(F.broadcast(packed_questions), keys)
     else:
-        salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(SALTS)))
-        copies = packed_questions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        pairs = salted.hint("shuffle_hash").join(copies, [*keys, "salt"])
+        # As many salts as shuffle partitions: the blocks of one hot key meet the questions in all of them. A merge
+        # join, because it spills where a hash table of blocks would have to fit in memory.
+        salts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(salts)).cast("int"))
+        copies = packed_questions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        pairs = salted.join(copies.hint("merge"), [*keys, "salt"])
     columns = [*keys, "n", "q_ids", "q_vectors", "c_ids", "c_vectors"]
     pairs = pairs.select(*columns)
     types = dict(pairs.dtypes)

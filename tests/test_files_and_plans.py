@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from logquarry.plans.bronze import csv_to_bronze
+from logquarry.plans.corpus import corpus_texts, layer_documents
 from logquarry.plans.gold import build_marts, silver_to_gold
 from logquarry.plans.silver import bronze_to_silver, clean_logs
+from logquarry.plans.training import predict_from_marts, train_from_marts
 from logquarry.sources import sinks, snapshots
 from logquarry.sources.logs import MART_SCHEMAS, scan_auto
 from logquarry.streaming.marts import stream_cost, stream_performance
@@ -86,7 +88,7 @@ def test_export_round_trip(spark, tmp_path):
 
 
 def document(spark, path):
-    return "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).select("value").collect())
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).select("value").collect())
 
 
 def test_file_to_gold(spark, sf_dir, tmp_path):
@@ -111,6 +113,31 @@ def test_file_to_gold(spark, sf_dir, tmp_path):
     assert f"- **Linhas originais:** {raw.count()}" in text and f"- **Destino:** {silver}/dt={day}" in text
     assert "- **sourceipaddress**" in document(spark, f"{notes}/bronze/dt={day}")
 
+    patterns = {
+        "documentation_bronze": f"{notes}/bronze/dt=*/dataset=bronze",
+        "documentation_silver": f"{notes}/silver/dt=*/dataset=silver",
+        "documentation_gold_cost": f"{gold}/documents/dt=*/dataset=cost",
+        "documentation_gold_security": f"{gold}/documents/dt=*/dataset=missing",
+    }
+    documents = layer_documents(spark, patterns)
+    assert {r["domain"] for r in documents.collect()} == set(list(patterns)[:3])
+    texts = corpus_texts(stored, documents, "P", n=10).collect()
+    assert sum(t["domain"] == "cost" for t in texts) == 10
+    sections = [t["text"] for t in texts if t["domain"] == "documentation_gold_cost"]
+    assert any(t.endswith("### service\n\nServiço inferido a partir do nome do evento.") for t in sections)
+    assert all(t.startswith("Fonte: ") and "\nCamada/documentacao: documentation_gold_cost\n\n" in t for t in sections)
+
+    fewer = {"random_forest": {"trees": 5}, "isolation_forest": {"trees": 20}}
+    models = str(tmp_path / "models")
+    result = train_from_marts(
+        spark, [str(tmp_path / "none"), gold], models, options=fewer, supervised=("random_forest",)
+    )
+    assert result.summary.count() == 2
+    predictions = predict_from_marts(spark, [gold], f"{models}/isolation_forest", str(tmp_path / "predictions"))
+    assert predictions.count() == stored["performance"].count()
+    written = spark.read.option("header", True).csv(str(tmp_path / "predictions"))
+    assert written.columns == ["timestamp", "prediction", "score"] and written.count() == predictions.count()
+
 
 @pytest.mark.parametrize("build", [stream_cost, stream_performance])
 def test_streamed_marts_equal_batch_marts(spark, tmp_path, build):

@@ -138,6 +138,8 @@ def test_present_marts_label_only_by_risk(spark):
         minute(0): 0, minute(1): 0, minute(2): 1, minute(3): 0,
     }
     assert not set(dataset.columns) & {"risk_level", "requests_zscore", "sec_anomaly"}
+    joined = labels.attach_label(features.feature_store(cost, performance, security), labels.weak_labels(performance, security))
+    assert sorted(rows(dataset.select(*joined.columns)), key=str) == sorted(rows(joined), key=str)
 
 
 def test_hot_minute_and_hot_user(spark):
