@@ -13,7 +13,7 @@ def doubles(spark, values):
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
 
 
-@pytest.mark.parametrize("small", [10**9, 0])
+@pytest.mark.parametrize("small", [10**9, 500, 0])
 @pytest.mark.parametrize("probability", [0.0, 0.1, 0.5, 0.77, 0.99, 1.0])
 def test_exact_quantiles(spark, monkeypatch, small, probability):
     monkeypatch.setattr(ranking, "SMALL", small)
@@ -26,6 +26,17 @@ def test_exact_quantiles(spark, monkeypatch, small, probability):
     assert found["k"] == np.quantile(np.arange(len(values)) % 7, probability)
 
 
+def test_bracket_narrows_over_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SMALL", 50)
+    rounds = []
+    narrow = ranking._narrow
+    monkeypatch.setattr(ranking, "_narrow", lambda *a: rounds.append(narrow(*a)) or rounds[-1])
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x"))
+    assert ranking.exact_quantiles(df, ["x"], 0.25)["x"] == 24999.75
+    inside = [b["x"].inside for b in rounds]
+    assert len(inside) >= 2 and inside == sorted(inside, reverse=True) and inside[-1] <= 50
+
+
 def test_quantile_survives_a_useless_bracket(spark, monkeypatch):
     monkeypatch.setattr(ranking, "SMALL", 0)
     df = doubles(spark, [1.0] * 500 + [2.0] * 3 + [1.0] * 500)
