@@ -84,6 +84,15 @@ def _(spark, sf):
     return vectors.knn_approx(vectors.assign_cells(texts, centres), question_vectors(spark, sf), centres, PROBES, TOP)
 
 
+@query("knn_approx_all_cells", _ranked_sql(""))
+def _(spark, sf):
+    """With every cell probed the approximate search is the exact one."""
+    texts = corpus(spark, sf)
+    centres = vectors.fit_cells(texts, CELLS)
+    indexed = vectors.assign_cells(texts, centres)
+    return rounded(vectors.knn_approx(indexed, question_vectors(spark, sf), centres, CELLS, TOP))
+
+
 @query("knn_approx_kept_share")
 def _(spark, sf):
     texts = corpus(spark, sf)
@@ -97,6 +106,14 @@ def _(spark, sf):
     return embedded.select("doc_id", F.size("embedding").alias("dim"), "embedding")
 
 
+@query("embed_texts_length", "SELECT doc_id, 256 AS dim, 1.0::DOUBLE AS length FROM documents")
+def _(spark, sf):
+    """Every default embedding has unit length."""
+    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"), dim=256)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return embedded.select("doc_id", F.size("embedding").alias("dim"), F.round(F.sqrt(squares), 5).alias("length"))
+
+
 HITS = f"""{ASKED}, {CORPUS}, {QUESTION_VECTORS}, {ROUTES},
 sized AS (SELECT *, count(*) OVER (PARTITION BY intent) AS m FROM routes),
 wanted AS (
