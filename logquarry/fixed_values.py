@@ -170,10 +170,6 @@ HIT_LIST_HEADER = "=== Documentos Recuperados ==="
 CHUNK_CHARS = 3000
 CORPUS_TAIL = 1500
 VECTOR_DIM = 768
-LAYER_DOMAINS = [
-    "documentation_bronze", "documentation_silver", "documentation_gold_cost",
-    "documentation_gold_performance", "documentation_gold_security",
-]
 
 # --- Fixed values: data dictionary -------------------------------------------------------
 

@@ -31,9 +31,9 @@ def hash_user(column: Column) -> Column:
 
 def mask_ip(column: Column) -> Column:
     """`a.b.***.***` for four dotted parts, `***` for anything else, NULL for NULL."""
-    parts = F.split(column, "[.]")
-    masked = F.concat(F.element_at(parts, 1), F.lit("."), F.element_at(parts, 2), F.lit(".***.***"))
-    return F.when(column.isNull(), None).when(F.size(parts) == 4, masked).otherwise(F.lit("***"))
+    dots = F.length(column) - F.length(F.replace(column, F.lit("."), F.lit("")))
+    masked = F.concat(F.substring_index(column, ".", 2), F.lit(".***.***"))
+    return F.when(column.isNull(), None).when(dots == 3, masked).otherwise(F.lit("***"))
 
 
 def fill_unknown(column: Column) -> Column:

@@ -71,7 +71,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
         )
         .where(F.col("score").isNotNull())
     )
-    ranked = with_running_totals(by_score, "score", {"negatives_below": "negatives"})
+    scores = df.select(F.col(score).alias("score"))
+    ranked = with_running_totals(by_score, "score", {"negatives_below": "negatives"}, bounds_of=scores)
     whole = "decimal(38,0)"
     twice = F.col("positives").cast("decimal(19,0)") * (2 * F.col("negatives_below") + F.col("negatives")).cast(
         "decimal(19,0)"

@@ -195,16 +195,22 @@ def temporal_split(
     raise ValueError(f"Rows are tied on {keys} at the cut; add a tie-breaker that tells them apart")
 
 
-def with_running_totals(df: DataFrame, order: str, sums: dict[str, str], buckets: int | None = None) -> DataFrame:
+def with_running_totals(
+    df: DataFrame, order: str, sums: dict[str, str], buckets: int | None = None, bounds_of: DataFrame | None = None
+) -> DataFrame:
     """Add, for each `sums[name]`, column `name`: the total of that column over all rows with a smaller `order`.
 
     `order` must be numeric and unique, e.g. after grouping by it. Rows are cut into value ranges at constant
-    bounds, ranges are totalled, and each range is scanned on its own: no task sees more than one range.
+    bounds, ranges are totalled, and each range is scanned on its own: no task sees more than one range. The
+    bounds are quantiles of `order` in `bounds_of` (default `df`), e.g. the rows before they were grouped.
     """
     session = df.sparkSession
     buckets = buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_order", F.col(order).cast("double"))
-    bounds = keyed.approxQuantile("_order", [i / buckets for i in range(1, buckets)], 1e-3) if buckets > 1 else []
+    bounds = []
+    if buckets > 1:
+        source = keyed.select("_order") if bounds_of is None else bounds_of.select(F.col(order).cast("double").alias("_order"))
+        bounds = source.approxQuantile("_order", [i / buckets for i in range(1, buckets)], 1e-3)
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     if len(splits) > 2:
         cutter = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="skip")

@@ -106,8 +106,12 @@ NUMERIC = [
 ]
 
 
+# The feature text above rounds these two for its own comparison; scaling starts from the full value.
+FULL = {"hour_sin": "sin(2 * pi() * hour / 24)", "hour_cos": "cos(2 * pi() * hour / 24)"}
+
+
 def _scaled(name: str) -> str:
-    x = f"CAST({name} AS DOUBLE)"
+    x = f"CAST({FULL.get(name, name)} AS DOUBLE)"
     spread = f"(SELECT CASE WHEN stddev_pop({x}) <= 1e-12 * abs(avg({x})) THEN 1 ELSE stddev_pop({x}) END FROM features)"
     return f"round(({x} - (SELECT avg({x}) FROM features)) / {spread}, 5) + 0.0 AS {name}"
 
