@@ -163,7 +163,9 @@ GENERIC_PHRASES = [
     "Não é necessário tomar medidas de emergência ou alarmes.",
     "Nao e necessario tomar medidas de emergencia ou alarmes.",
 ]
+CONTEXT_RECORD = "Registro {rank}: dominio={domain}\n{text}\n"
 HIT_LIST_HEADER = "=== Documentos Recuperados ==="
+HIT_LIST_ENTRY = "- id={id} domain={domain} distancia_vetorial={score}\n  texto={text}"
 
 # --- Fixed values: corpus ----------------------------------------------------------------
 
@@ -171,6 +173,22 @@ CHUNK_CHARS = 3000
 CORPUS_TAIL = 1500
 VECTOR_DIM = 768
 
+SENTENCES = {
+    "cost": (
+        "No dia {date} as {hora_completa}, o servico {service} recebeu {requests} requisicoes, com um custo "
+        "estimado de ${cost}."
+    ),
+    "performance": (
+        "Em {date} as {hora_completa}, o sistema processou {requests} eventos de {unique_users} usuarios unicos."
+    ),
+    "security": (
+        "Alerta de seguranca: Em {date} as {hora_completa}, o usuario {user_hash} gerou {requests} requisicoes. "
+        "Nivel de risco: {risk_level}. Acesso fora do horario normal: {is_off_hours}."
+    ),
+}
+LAYER_CHUNK = "Fonte: {source}\nCamada/documentacao: {domain}\n\n{chunk}"
+PROJECT_CHUNK = "Fonte: {source}\nDocumentacao: {label}\n\n{chunk}"
+
 # --- Fixed values: data dictionary -------------------------------------------------------
 
 COLUMN_DESCRIPTIONS = {
@@ -259,4 +277,13 @@ DATASET_QUESTIONS = {
         "Quais períodos tiveram maior risco estatístico?",
     ],
 }
+DOCUMENT_OUTLINE = [
+    "# Documentação do Dataset {title}",
+    "## 1. Para que serve\n\n{purpose}",
+    "## 2. O que este dataset deve responder\n\n{questions}",
+    "## 3. Informações gerais\n\n- **Quantidade de linhas:** {n_rows}\n- **Quantidade de colunas:** {n_columns}\n"
+    "- **Data de geração:** {generated_at}{facts}",
+    "## 4. Colunas geradas\n\n{columns}",
+    "## 5. Descrição das colunas\n\n{descriptions}",
+]
 NO_QUESTIONS = "- Não há perguntas documentadas para este dataset."

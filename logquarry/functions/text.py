@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from string import Formatter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,15 +32,28 @@ LATIN_FOLDING = _latin_folding()
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
+def _combining_marks() -> dict[int, None]:
+    return dict.fromkeys(code for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code)))
+
+
+COMBINING_MARKS = _combining_marks()
+
+
 @F.pandas_udf(StringType())
 def _fold_any_script(texts: pd.Series) -> pd.Series:
-    def fold(text):
-        if text is None:
-            return None
-        letters = (c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-        return " ".join("".join(letters).lower().split())
-
-    return texts.map(fold)
+    plain = texts.str.normalize("NFKD").str.translate(COMBINING_MARKS)
+    return plain.str.lower().str.split().str.join(" ")
+
+
+def fill(template: str, **columns: Column) -> Column:
+    """The template with each `{name}` replaced by the text of that column."""
+    parts = []
+    for text, name, _, _ in Formatter().parse(template):
+        if text:
+            parts.append(F.lit(text))
+        if name:
+            parts.append(columns[name].cast("string"))
+    return F.concat(*parts)
 
 
 def _without_accents(column: Column) -> Column:

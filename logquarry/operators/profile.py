@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import (
-    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS,
+    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, DOCUMENT_OUTLINE, NO_QUESTIONS,
 )
+from logquarry.functions.text import fill
 
 DICTIONARY_SCHEMA = "dataset STRING, column STRING, description STRING"
 
@@ -63,7 +64,7 @@ def _per_dataset(texts: dict[str, str], default: str) -> Column:
 
 def render_documents(
     profile: DataFrame, generated_at: str, purposes=DATASET_PURPOSES, questions=DATASET_QUESTIONS,
-    facts: dict[str, dict[str, object]] | None = None,
+    facts: dict[str, dict[str, object]] | None = None, outline=DOCUMENT_OUTLINE,
 ) -> DataFrame:
     """One Markdown document per dataset; `facts` adds lines such as source and destination to its general section.
 
@@ -82,18 +83,10 @@ def render_documents(
     described = F.transform(
         "columns", lambda c: F.concat(F.lit("### "), c["column"], F.lit("\n\n"), c["description"], F.lit("\n"))
     )
-    general = F.concat(
-        F.lit("- **Quantidade de linhas:** "), F.col("n_rows").cast("string"),
-        F.lit("\n- **Quantidade de colunas:** "), F.col("n_columns").cast("string"),
-        F.lit(f"\n- **Data de geração:** {generated_at}"), extra,
+    document = fill(
+        "\n\n".join(outline),
+        title=F.initcap("dataset"), purpose=purpose, questions=asked, n_rows=F.col("n_rows"),
+        n_columns=F.col("n_columns"), generated_at=F.lit(generated_at), facts=extra,
+        columns=F.array_join(names, "\n"), descriptions=F.array_join(described, "\n"),
     )
-    parts = [
-        ("# Documentação do Dataset ", F.initcap("dataset")),
-        ("## 1. Para que serve\n\n", purpose),
-        ("## 2. O que este dataset deve responder\n\n", asked),
-        ("## 3. Informações gerais\n\n", general),
-        ("## 4. Colunas geradas\n\n", F.array_join(names, "\n")),
-        ("## 5. Descrição das colunas\n\n", F.array_join(described, "\n")),
-    ]
-    document = F.concat_ws("\n\n", *[F.concat(F.lit(heading), body) for heading, body in parts])
     return grouped.select("dataset", document.alias("document"))
