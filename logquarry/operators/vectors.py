@@ -27,6 +27,8 @@ CORPUS_BLOCK = 1024
 QUESTION_BLOCK = 256
 # Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Tasks that share one hot key in the shuffle join; each costs one more copy of the question blocks.
+SALTS = 128
 # Numbers a task holds for open question blocks before it hands on what it has found and starts anew.
 KEPT_SLOTS = 32 * 1024 * 1024
 # Pairs measured exactly in one step.
@@ -176,7 +178,7 @@ def vector_bytes(vector: str) -> Column:
 def knn_candidates(
     corpus: DataFrame, questions: DataFrame, keys: list[str], ident: str = "id", vector: str = "embedding",
     question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
-    most: int | None = None,
+    most: int | None = None, salts: int = SALTS,
 ) -> DataFrame:
     """(keys, question_id, id, score, n): for each question row, at least its `n` nearest vectors with equal keys.
 
@@ -193,9 +195,8 @@ def knn_candidates(
     if (question_bytes or 0) <= broadcast_bytes:
         pairs = packed_corpus.join(F.broadcast(packed_questions), keys)
     else:
-        # As many salts as shuffle partitions: the blocks of one hot key meet the questions in all of them. A merge
-        # join, because it spills where a hash table of blocks would have to fit in memory.
-        salts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Every salt holds a copy of the question blocks and its share of each key's corpus blocks. A merge join,
+        # because it spills where a hash table of blocks would have to fit in memory.
         salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(salts)).cast("int"))
         copies = packed_questions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         pairs = salted.join(copies.hint("merge"), [*keys, "salt"])

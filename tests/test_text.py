@@ -169,7 +169,10 @@ def test_chunks_follow_the_rule(spark, texts, limit):
 
 def test_long_text_without_line_breaks(spark):
     text = "z" * 1_000_000
-    assert [len(c) for c in spark_chunks(spark, [text], 3000)[0]] == [3000] * 333 + [1000]
+    wide = "𝐂" * 10_000
+    found = spark_chunks(spark, [text, wide], 3000)
+    assert [len(c) for c in found[0]] == [3000] * 333 + [1000]
+    assert [len(c) for c in found[1]] == [3000, 3000, 3000, 1000]
 
 
 def test_unknown_domain_has_no_sentences(spark):
