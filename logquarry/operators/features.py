@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.fixed_values import SERVICES
 from logquarry.functions.columns import cyclic_calendar_features, guarded_ratio, parse_utc
 from logquarry.functions.names import normalize_names
 
@@ -21,11 +20,10 @@ def first_valid_timestamp(
 ) -> DataFrame:
     """Parse the first candidate column that holds at least one valid time (one aggregate decides).
 
-    A candidate that already has a time type is taken without looking at the data.
+    A single candidate that already has a time type is taken without looking at the data.
     """
     present = [c for c in candidates if c in df.columns]
-    types = dict(df.dtypes)
-    if present and types[present[0]] in ("timestamp", "timestamp_ntz", "date"):
+    if len(present) == 1 and dict(df.dtypes)[present[0]] in ("timestamp", "timestamp_ntz", "date"):
         return df.withColumn(out, F.col(present[0]).cast("timestamp_ntz"))
     if present:
         valid = df.agg(*[F.count(parse_utc(F.col(c), fmt)).alias(c) for c in present]).first()
@@ -136,12 +134,16 @@ def _pivot(cost: DataFrame, value: str, prefix: str, services: list[str] | None)
     return pivoted.na.fill(0, named)
 
 
-def pivot_requests(cost: DataFrame, services: list[str] | None = SERVICES) -> DataFrame:
-    """One column of summed requests per service. `services=None` reads the names from the data first."""
+def pivot_requests(cost: DataFrame, services: list[str] | None = None) -> DataFrame:
+    """One column of summed requests per service.
+
+    The services are read from the data first. Naming them saves that job and keeps the columns the same over
+    runs; services that are not named get no column.
+    """
     return _pivot(cost, "requests", "requests_service_", services)
 
 
-def pivot_cost(cost: DataFrame, services: list[str] | None = SERVICES) -> DataFrame:
+def pivot_cost(cost: DataFrame, services: list[str] | None = None) -> DataFrame:
     return _pivot(cost, "cost", "cost_service_", services)
 
 
@@ -188,7 +190,7 @@ def with_parsed_time(mart: DataFrame) -> DataFrame:
 
 
 def mart_measures(
-    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES
+    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = None
 ) -> list[Measures]:
     """The measures of the three marts, in the column order of the feature table."""
     if "service" in cost.columns:
@@ -207,8 +209,8 @@ def assemble_features(parts: list[Measures], security: DataFrame) -> DataFrame:
 
 
 def feature_store(
-    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES
+    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = None
 ) -> DataFrame:
-    """One row per minute seen in any mart: totals, pivots, calendar and ratios."""
+    """One row per minute seen in any mart: totals, pivots (see `pivot_requests`), calendar and ratios."""
     cost, performance, security = (with_parsed_time(mart) for mart in (cost, performance, security))
     return assemble_features(mart_measures(cost, performance, security, services), security)

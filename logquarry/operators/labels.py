@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import (
-    LEAKAGE_COLUMNS, PERFORMANCE_ALERT_WORDS, RARE_EVENTS_THRESHOLD, RISK_ALERT_WORDS, SERVICES,
+    LEAKAGE_COLUMNS, PERFORMANCE_ALERT_WORDS, RARE_EVENTS_THRESHOLD, RISK_ALERT_WORDS,
 )
 from logquarry.functions.columns import normalize_boolean
 from logquarry.functions.names import drop_all_null_signal, drop_leakage_columns
@@ -78,7 +78,7 @@ def attach_label(features: DataFrame, labels: DataFrame, label: str = "is_anomal
 
 
 def modeling_dataset(
-    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = SERVICES,
+    cost: DataFrame, performance: DataFrame, security: DataFrame, services: list[str] | None = None,
     leakage=LEAKAGE_COLUMNS,
 ) -> DataFrame:
     """Features with label, without leaking columns and rows that carry no signal.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logquarry.learning.experiment import Experiment, run_experiment
-from logquarry.learning.models import score_dispatch
+from logquarry.learning.models import read_metadata, score_dispatch
 from logquarry.operators.features import feature_store
 from logquarry.operators.labels import modeling_dataset
 from logquarry.sources.logs import MART_SCHEMAS, scan_parquet
@@ -13,6 +13,7 @@ from logquarry.sources.sinks import write_predictions
 from logquarry.sources.snapshots import first_available_source, latest_snapshot, matching_paths
 
 DOMAINS = ["cost", "performance", "security"]
+PREFIX = "requests_service_"
 
 
 def load_mart(spark: SparkSession, domain: str, bases: list[str]) -> DataFrame:
@@ -29,8 +30,13 @@ def train_from_marts(spark: SparkSession, bases: list[str], out: str, **options)
 
 
 def predict_from_marts(spark: SparkSession, bases: list[str], model_path: str, out: str) -> DataFrame:
-    """Score every minute of the newest marts with a saved model and write (timestamp, prediction, score)."""
+    """Score every minute of the newest marts with a saved model and write (timestamp, prediction, score).
+
+    The services are those the model was trained on, whichever of them occur now.
+    """
     cost, performance, security = (load_mart(spark, domain, bases) for domain in DOMAINS)
-    predictions = score_dispatch(spark, model_path, feature_store(cost, performance, security))
+    trained_on = read_metadata(spark, model_path)["feature_columns"]
+    services = [c.removeprefix(PREFIX) for c in trained_on if c.startswith(PREFIX)]
+    predictions = score_dispatch(spark, model_path, feature_store(cost, performance, security, services))
     write_predictions(predictions, out)
     return predictions

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import (
-    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS,
+    COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS, SERVICES,
 )
 from logquarry.operators import features, labels, marts, metrics, profile, ranking
 from queries.inputs import WIDE, marts_sql, prepared, raw_logs, silver, table, wide_performance, wide_security
@@ -62,12 +62,12 @@ def _pivot_sql(value: str, cast: str) -> str:
 
 @query("pivot_requests", _pivot_sql("requests", "CAST({x} AS BIGINT)"))
 def _(spark, sf):
-    return features.pivot_requests(marts.mart_cost(prepared(spark, sf)))
+    return features.pivot_requests(marts.mart_cost(prepared(spark, sf)), SERVICES)
 
 
 @query("pivot_cost", _pivot_sql("cost", "round({x}, 8)"))
 def _(spark, sf):
-    pivoted = features.pivot_cost(marts.mart_cost(prepared(spark, sf)))
+    pivoted = features.pivot_cost(marts.mart_cost(prepared(spark, sf)), SERVICES)
     return pivoted.withColumns({c: F.round(c, 8) for c in pivoted.columns if c != "timestamp"})
 
 
@@ -182,7 +182,7 @@ def round_features(df):
 @query("feature_store", f"WITH {features_sql('minute')} SELECT * FROM features")
 def _(spark, sf):
     made = all_marts(spark, sf)
-    return round_features(features.feature_store(made["cost"], made["performance"], made["security"]))
+    return round_features(features.feature_store(made["cost"], made["performance"], made["security"], SERVICES))
 
 
 MODELING = """, flags AS (SELECT "timestamp", max(CASE WHEN risk_level = 'alto' THEN 1 ELSE 0 END) AS is_anomaly
@@ -193,7 +193,7 @@ SELECT features.*, coalesce(is_anomaly, 0) AS is_anomaly FROM features LEFT JOIN
 @query("modeling_dataset", f"WITH {features_sql('hour')} {MODELING}")
 def _(spark, sf):
     made = all_marts(spark, sf, "hour")
-    return round_features(labels.modeling_dataset(made["cost"], made["performance"], made["security"]))
+    return round_features(labels.modeling_dataset(made["cost"], made["performance"], made["security"], SERVICES))
 
 
 # --- joins and set operations ------------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from logquarry.fixed_values import SERVICES
 from logquarry.learning import forest, models, preprocess
 from logquarry.learning.experiment import run_experiment
 from logquarry.operators import labels, ranking
@@ -24,7 +25,7 @@ FEWER = {
 
 def dataset(spark, sf):
     made = marts(spark, sf, "hour")
-    return labels.modeling_dataset(made["cost"], made["performance"], made["security"])
+    return labels.modeling_dataset(made["cost"], made["performance"], made["security"], SERVICES)
 
 
 def stored_dataset(spark, sf, name: str):
