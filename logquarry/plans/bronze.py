@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from logquarry.operators.profile import data_dictionary, render_documents
-from logquarry.sources.logs import scan_log_csv, scan_parquet
+from logquarry.sources.logs import scan_log_csv
 from logquarry.sources.sinks import write_bronze_raw, write_document
+from logquarry.sources.snapshots import read_day
 
 
 def csv_to_bronze(
@@ -18,7 +18,7 @@ def csv_to_bronze(
     Cells are kept as written; missing-value texts are only read as NULL when the day is cleaned.
     """
     write_bronze_raw(scan_log_csv(spark, source, null_tokens=(), **csv_options), bronze, dt)
-    landed = scan_parquet(spark, bronze).where(F.col("dt") == dt).drop("dt")
+    landed = read_day(spark, bronze, dt)
     facts = {"bronze": {"Arquivo de origem": source, "Destino": f"{bronze}/dt={dt}"}}
     profile = data_dictionary(spark, {"bronze": landed})
     write_document(render_documents(profile, generated_at, facts=facts), f"{documents}/dt={dt}")

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logquarry.operators.marts import count_events, marts_from_counts, prepare_events
 from logquarry.operators.profile import data_dictionary, render_documents
-from logquarry.sources.logs import scan_parquet
 from logquarry.sources.sinks import export_csv, write_document, write_partitioned
-from logquarry.sources.snapshots import expected_or_last_snapshot
+from logquarry.sources.snapshots import read_day, read_expected_or_last_day
 
 
 def build_marts(cleaned: DataFrame, grain: str = "minute") -> dict[str, DataFrame]:
@@ -23,20 +22,15 @@ def silver_to_gold(
     Events are counted once into `gold/event_counts`; the marts, their text exports and the documents only read
     that small table and the marts themselves.
     """
-    cleaned = expected_or_last_snapshot(scan_parquet(spark, silver), dt)
+    cleaned = read_expected_or_last_day(spark, silver, dt)
     counts = count_events(prepare_events(cleaned))
     write_partitioned(counts, f"{gold}/event_counts", dt)
-    marts = marts_from_counts(_day(spark, f"{gold}/event_counts", dt))
+    marts = marts_from_counts(read_day(spark, f"{gold}/event_counts", dt))
     stored = {}
     for domain, mart in marts.items():
         write_partitioned(mart, f"{gold}/{domain}", dt)
-        stored[domain] = _day(spark, f"{gold}/{domain}", dt)
+        stored[domain] = read_day(spark, f"{gold}/{domain}", dt)
         if csv:
             export_csv(stored[domain], f"{gold}/csv/{domain}/dt={dt}")
     write_document(render_documents(data_dictionary(spark, stored), generated_at), f"{gold}/documents/dt={dt}")
     return stored
-
-
-def _day(spark: SparkSession, path: str, dt: str) -> DataFrame:
-    df = scan_parquet(spark, path)
-    return df.where(df["dt"] == dt).drop("dt")

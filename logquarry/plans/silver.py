@@ -12,8 +12,9 @@ from logquarry.functions.columns import calendar_parts, hash_user, mask_ip, pars
 from logquarry.functions.names import canonical_event_resource, drop_null, normalize_names, select_present
 from logquarry.operators.marts import dedup_full_row
 from logquarry.operators.profile import data_dictionary, render_documents
-from logquarry.sources.logs import null_tokens_to_null, scan_parquet
+from logquarry.sources.logs import null_tokens_to_null
 from logquarry.sources.sinks import write_document, write_partitioned
+from logquarry.sources.snapshots import read_day
 
 
 def drop_null_critical(df: DataFrame, columns=CRITICAL_COLUMNS) -> DataFrame:
@@ -52,9 +53,9 @@ def bronze_to_silver(
     time_format: str | None = None,
 ) -> None:
     """Clean day `dt` of the landed table, replace that day of the cleaned table, and describe it."""
-    raw = scan_parquet(spark, bronze).where(F.col("dt") == dt).drop("dt")
+    raw = read_day(spark, bronze, dt)
     write_partitioned(clean_logs(null_tokens_to_null(raw), time_format), silver, dt)
-    stored = scan_parquet(spark, silver).where(F.col("dt") == dt).drop("dt")
+    stored = read_day(spark, silver, dt)
     facts = {
         "silver": {"Origem": f"{bronze}/dt={dt}", "Destino": f"{silver}/dt={dt}", "Linhas originais": raw.count()}
     }

@@ -8,9 +8,9 @@ from logquarry.learning.experiment import Experiment, run_experiment
 from logquarry.learning.models import read_metadata, score_dispatch
 from logquarry.operators.features import feature_store
 from logquarry.operators.labels import modeling_dataset
-from logquarry.sources.logs import MART_SCHEMAS, scan_parquet
+from logquarry.sources.logs import MART_SCHEMAS
 from logquarry.sources.sinks import write_predictions
-from logquarry.sources.snapshots import first_available_source, latest_snapshot, matching_paths
+from logquarry.sources.snapshots import first_available_source, matching_paths, read_expected_or_last_day
 
 DOMAINS = ["cost", "performance", "security"]
 PREFIX = "requests_service_"
@@ -20,7 +20,7 @@ def load_mart(spark: SparkSession, domain: str, bases: list[str]) -> DataFrame:
     """Newest day of a mart from the first base that has it: a table partitioned by `dt`, or one file per day."""
     for base in bases:
         if matching_paths(spark, f"{base}/{domain}/dt=*/part-*.parquet"):
-            return latest_snapshot(scan_parquet(spark, f"{base}/{domain}")).drop("dt")
+            return read_expected_or_last_day(spark, f"{base}/{domain}")
     return first_available_source(spark, domain, domain, bases, MART_SCHEMAS[domain])
 
 

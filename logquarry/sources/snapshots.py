@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.sources.logs import scan_auto
+from logquarry.sources.logs import scan_auto, scan_parquet
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -56,10 +56,31 @@ def first_available_source(
     )
 
 
+def stored_days(spark: SparkSession, path: str) -> list[str]:
+    """Days of a table partitioned by `dt`, oldest first: a listing of folders, no file is opened."""
+    return [p.rsplit("dt=", 1)[1] for p in matching_paths(spark, f"{path}/dt=*")]
+
+
+def read_day(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """Rows of one day of a table partitioned by `dt`; the day has to be there."""
+    if day not in stored_days(spark, path):
+        raise FileNotFoundError(f"No day {day} below {path}")
+    return scan_parquet(spark, path).where(F.col("dt") == day).drop("dt")
+
+
+def read_expected_or_last_day(spark: SparkSession, path: str, as_of: str | None = None) -> DataFrame:
+    """Rows of day `as_of`, or of the newest day if that one is not there or not named."""
+    days = stored_days(spark, path)
+    if not days:
+        raise FileNotFoundError(f"No dt=... folders below {path}")
+    return read_day(spark, path, as_of if as_of in days else days[-1])
+
+
 def latest_snapshot(df: DataFrame, column: str = "dt") -> DataFrame:
     """Rows of the newest snapshot of a table that carries its date in `column`.
 
-    The maximum is a scalar subquery; on a table partitioned by `column` it prunes partitions at run time.
+    The maximum is a scalar subquery; on a table partitioned by `column` it prunes partitions at run time. For a
+    stored table `read_expected_or_last_day` finds the day by listing folders instead.
     """
     return df.where(F.col(column) == df.agg(F.max(column)).scalar())
 

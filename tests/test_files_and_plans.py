@@ -62,6 +62,19 @@ def test_snapshot_filters_prune_partitions(spark, tmp_path):
     assert {str(r["dt"]) for r in snapshots.expected_or_last_snapshot(df, "2023-05-05").collect()} == {"2024-01-03"}
 
 
+def test_stored_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_expected_or_last_day(spark, path)
+    for day, n in (("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)):
+        sinks.write_partitioned(spark.range(n), path, day)
+    days = ("2024-01-02", "2023-05-05", None)
+    assert [snapshots.read_expected_or_last_day(spark, path, day).count() for day in days] == [2, 3, 3]
+    assert snapshots.read_day(spark, path, "2024-01-01").columns == ["id"]
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_day(spark, path, "2023-05-05")
+
+
 def test_rerun_replaces_its_day_only(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_partitioned(spark.range(5), path, "2024-01-01")
