@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from logquarry.operators import routing, textify, vectors
 from logquarry.plans import answering
+from logquarry.plans import corpus as corpus_plan
+from logquarry.session import shared_dir
 from queries.inputs import (
-    ASKED, CORPUS, DISTANCE, QUESTION_VECTORS, ROUTES, corpus, question_vectors, questions_with_vectors, table,
+    ASKED, CORPUS, DISTANCE, QUESTION_VECTORS, ROUTES, corpus, marts, question_vectors, questions,
+    questions_with_vectors, table,
 )
 from queries.registry import query
-from queries.texts import ANSWERS, FAQ, MARKER
+from queries.texts import ANSWERS, FAQ, MARKER, layer_documents
 
 TOP = 5
 PAIRS = f"pairs AS (SELECT v.question_id, c.id, c.domain, {DISTANCE} AS d FROM corpus c CROSS JOIN question_vectors v)"
@@ -193,3 +196,12 @@ def _(spark, sf):
 def _(spark, sf):
     answered = answering.batch_retrieve(questions_with_vectors(spark, sf), corpus(spark, sf), ANSWERS, top_k=TOP)
     return answered.withColumn("n_sources", F.size("sources")).drop("sources")
+
+
+@query("answer_questions")
+def _(spark, sf):
+    """From raw logs and documents to answers: the corpus is built, embedded by the default and searched."""
+    path = shared_dir(spark, "queries/answer_questions")
+    corpus_plan.write_corpus(corpus_plan.build_corpus(marts(spark, sf), layer_documents(spark, sf), "Plataforma", dim=128), path)
+    answered = answering.batch_retrieve(questions(spark, sf), spark.read.parquet(path), ANSWERS, top_k=TOP, dim=128)
+    return answered.select("question_id", "intent", "status", "prompt", "answer", F.size("sources").alias("n_sources"))

@@ -167,7 +167,7 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", t.clean_answer_text(noisy).alias("text"))
 
 
-def _layer_documents(spark, sf):
+def layer_documents(spark, sf):
     """The generated headings text as documents of two layers and of the project."""
     part = F.col("doc_id") % 3
     domain = (
@@ -189,5 +189,5 @@ SELECT domain, 'Fonte: docs/'||doc_id||'.md'||chr(10)||CASE WHEN domain = 'docum
 
 @query("build_corpus", f"WITH RECURSIVE {CORPUS_TEXTS}")
 def _(spark, sf):
-    documents = _layer_documents(spark, sf)
+    documents = layer_documents(spark, sf)
     return corpus_plan.corpus_texts(marts(spark, sf), documents, "Plataforma").select("domain", "text")

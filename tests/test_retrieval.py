@@ -161,6 +161,18 @@ def test_batch_retrieve(spark):
     assert found[4]["sources"][2].asDict() == {"id": 5, "domain": "documentation_gold_cost", "score": 0.25, "text": "gold"}
 
 
+def test_questions_are_embedded_like_the_corpus(spark):
+    texts = spark.createDataFrame(
+        [(1, "cost", "custo do servico ec2"), (2, "cost", "outra coisa"), (3, "cost", "custo total do mes")],
+        "id long, domain string, text string",
+    )
+    found = answering.batch_retrieve(
+        spark.createDataFrame([(1, "custo do servico ec2")], "question_id long, question string"),
+        vectors.embed_texts(texts, dim=64), {}, top_k=2, dim=64,
+    ).first()
+    assert [s["id"] for s in found["sources"]] == [1, 3] and found["sources"][0]["score"] < 1e-9
+
+
 def test_top_k_belongs_to_the_question(spark):
     found = answering.batch_retrieve(ask(spark, ["oi", "custo"], 2), small_corpus(spark), {}).collect()
     assert {r["question_id"]: len(r["sources"]) for r in found} == {0: 2, 1: 1}
@@ -175,9 +187,9 @@ def test_hits_are_joined_by_shuffle_when_many(spark):
 
 def test_corpus_ids_are_stable_and_partitioned_by_domain(spark, sf_dir, tmp_path):
     from queries.inputs import marts
-    from queries.texts import _layer_documents
+    from queries.texts import layer_documents
 
-    build = lambda: corpus.build_corpus(marts(spark, sf_dir), _layer_documents(spark, sf_dir), "P", dim=16, n=20)
+    build = lambda: corpus.build_corpus(marts(spark, sf_dir), layer_documents(spark, sf_dir), "P", dim=16, n=20)
     first, second = ({(r["id"], r["domain"]) for r in build().collect()} for _ in range(2))
     assert first == second and len({i for i, _ in first}) == len(first) and min(first)[0] >= 0
     path = str(tmp_path / "corpus")
