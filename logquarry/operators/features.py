@@ -83,10 +83,7 @@ def cost_measures(cost: DataFrame, services: list[str] = ()) -> Measures:
     sums = {"total_cost": F.col("cost"), "total_requests_cost": F.col("requests")}
     if "unique_events" in cost.columns:
         sums["unique_events_cost"] = F.col("unique_events")
-    for value in ("requests", "cost"):
-        for service in services:
-            sums[f"{value}_service_{service}"] = F.when(_service() == service, F.col(value))
-    return Measures(cost, sums)
+    return Measures(cost, {**sums, **_service_sums("requests", services), **_service_sums("cost", services)})
 
 
 def performance_measures(performance: DataFrame) -> Measures:
@@ -121,17 +118,14 @@ def discover_services(cost: DataFrame) -> list[str]:
     return sorted(row[0] for row in found)
 
 
-def _pivot(cost: DataFrame, value: str, prefix: str, services: list[str] | None) -> DataFrame:
+def _service_sums(value: str, services: list[str]) -> dict[str, Column]:
+    return {f"{value}_service_{s}": F.when(_service() == s, F.col(value)) for s in services}
+
+
+def _pivot(cost: DataFrame, value: str, services: list[str] | None) -> DataFrame:
+    """One conditional sum per service in a single grouping; a service without rows in a minute counts 0."""
     services = discover_services(cost) if services is None else services
-    named = [f"{prefix}{s}" for s in services]
-    pivoted = (
-        cost.where(F.col(KEY).isNotNull())
-        .withColumn("service", F.concat(F.lit(prefix), _service()))
-        .groupBy(KEY)
-        .pivot("service", named)
-        .agg(F.sum(value))
-    )
-    return pivoted.na.fill(0, named)
+    return _roll_up([Measures(cost, _service_sums(value, services))])
 
 
 def pivot_requests(cost: DataFrame, services: list[str] | None = None) -> DataFrame:
@@ -140,11 +134,11 @@ def pivot_requests(cost: DataFrame, services: list[str] | None = None) -> DataFr
     The services are read from the data first. Naming them saves that job and keeps the columns the same over
     runs; services that are not named get no column.
     """
-    return _pivot(cost, "requests", "requests_service_", services)
+    return _pivot(cost, "requests", services)
 
 
 def pivot_cost(cost: DataFrame, services: list[str] | None = None) -> DataFrame:
-    return _pivot(cost, "cost", "cost_service_", services)
+    return _pivot(cost, "cost", services)
 
 
 def performance_rollup(performance: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from functools import cache
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -53,10 +54,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     Only where that setting is absent (single-machine tests) a temporary folder is used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="logquarry-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_dir(spark)
     return f"{base.rstrip('/')}/logquarry/{spark.sparkContext.applicationId}/{name}"
+
+
+@cache
+def _temporary_dir(spark: SparkSession) -> str:
+    base = tempfile.mkdtemp(prefix="logquarry-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(base)
+    return base
