@@ -91,102 +91,119 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, sample_text
     return LanguageModel(tuple(languages), table.astype(np.float32))
 
 
+def shares(scores: np.ndarray) -> np.ndarray:
+    """Posteriors of log scores, row by row."""
+    powers = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
 def text_evidence(text: Column, model: LanguageModel, docs: DataFrame) -> Column:
-    """Array of the whole text's log-likelihoods per language and OTHER, scaled to the evidence it holds; null if the
-    text has no trigram of letters."""
+    """Struct of a whole text's log-likelihoods per language and OTHER, scaled to the evidence it holds, and of the
+    posteriors they give alone; null arrays if the text has no trigram of letters."""
     shared = docs.sparkSession.sparkContext.broadcast(model.table)  # buckets x languages numbers
 
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters, table = letter_table(), shared.value
         for texts in batches:
-            out = []
+            scores, alone = [], []
             for value in texts:
                 found = grams(value, letters)
-                total = np.zeros(table.shape[1])
+                total = np.zeros((1, table.shape[1]))
                 for at in range(0, len(found), CHUNK):
                     total += table[found[at : at + CHUNK]].sum(axis=0, dtype=np.float64)
-                out.append(total / (len(found) + FULL_EVIDENCE) * FULL_EVIDENCE if len(found) else None)
-            yield pd.Series(out, dtype=object)
-
-    return F.pandas_udf(of, "array<double>")(text)
-
-
-def _with_shares(rows: DataFrame, scores: list[Column], names: list[str], tag: str) -> DataFrame:
-    """Add the posteriors of log scores as columns `names`, step by step so that no expression is repeated."""
-    logs = [f"_id_{tag}_log{i}" for i in range(len(scores))]
-    rows = rows.withColumns(dict(zip(logs, scores))).withColumn(f"_id_{tag}_top", F.greatest(*logs))
-    powers = {n: F.exp(F.col(c) - F.col(f"_id_{tag}_top")) for n, c in zip(logs, logs)}
-    rows = rows.withColumns(powers).withColumn(f"_id_{tag}_sum", sum((F.col(c) for c in logs[1:]), F.col(logs[0])))
-    return rows.withColumns({n: F.col(c) / F.col(f"_id_{tag}_sum") for n, c in zip(names, logs)})
-
-
-def _first_largest(names: list[str], classes: tuple[str, ...], top: str) -> Column:
-    chosen = F.lit(classes[-1])
-    for name, label in list(zip(names, classes))[-2::-1]:
-        chosen = F.when(F.col(name) == F.col(top), F.lit(label)).otherwise(chosen)
-    return chosen
+                total *= FULL_EVIDENCE / (len(found) + FULL_EVIDENCE)
+                scores.append(total[0] if len(found) else None)
+                alone.append(shares(total)[0] if len(found) else None)
+            yield pd.DataFrame({"log": pd.Series(scores, dtype=object), "alone": pd.Series(alone, dtype=object)})
+
+    return F.pandas_udf(of, "log array<double>, alone array<double>")(text)
+
+
+def _matrix(rows: pd.Series, width: int) -> np.ndarray:
+    """Arrays as rows of numbers; null ones as zeros."""
+    return np.array([np.zeros(width) if x is None else x for x in rows], dtype=np.float64).reshape(len(rows), width)
+
+
+def fused(classes: tuple[str, ...], base: list[float], reliability: dict[str, list[float]], levels: tuple[str, ...]):
+    """Function of a row's text evidence, declaration and the sums of its suffix, domain and host."""
+    log_said = {d: np.log(v) for d, v in reliability.items()}
+    first = np.array(base)
+
+    def of(log: pd.Series, alone: pd.Series, said: pd.Series, host: pd.Series, *sums: pd.Series) -> pd.DataFrame:
+        k = len(classes)
+        own = _matrix(alone, k) * host.notna().to_numpy()[:, None]
+        counted = (own.sum(axis=1) > 0).astype(np.float64)[:, None]
+        prior = np.broadcast_to(first, (len(log), k))
+        for count, total in zip(sums[::2], sums[1::2]):
+            n = count.fillna(0).to_numpy(dtype=np.float64)[:, None]
+            there = (n > 0) * counted
+            # The row itself is left out of what its host, domain and suffix say.
+            rest = np.maximum(_matrix(total, k) - own * there, 0)
+            prior = (rest + PRIOR_STRENGTH * prior) / (n - there + PRIOR_STRENGTH)
+        evidence = np.array([log_said.get(d, np.zeros(k)) for d in said]).reshape(len(log), k)
+        posterior = shares(_matrix(log, k) + evidence + np.log(prior))
+        letters = log.notna().to_numpy()
+        best, by_text = posterior.argmax(axis=1), _matrix(alone, k).argmax(axis=1)
+        score = posterior.max(axis=1)
+        names = np.array(classes, dtype=object)
+        return pd.DataFrame({
+            "language": np.where(letters, names[best], None), "score": score,
+            "by_text": np.where(letters, names[by_text], None),
+            "accepted": letters & (best < k - 1) & (score >= LEAST_POSTERIOR),
+        })
+
+    return F.pandas_udf(of, "language string, score double, by_text string, accepted boolean")
 
 
 def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Column, host: Column, domain: Column, suffix: Column) -> DataFrame:
     """`docs` with language, language_score, language_by_text and language_accepted (columns of these names are replaced).
 
     `declared`, `host`, `domain` and `suffix` may be null, which is no evidence. A row is accepted if its text has
-    letters, its best class is a language and that has a posterior of at least 0.5; else its language is null if it has
-    no letters. Null and empty texts are not accepted. A domain must determine its suffix, a host its domain.
+    letters, its best class is a language and that has a posterior of at least 0.5; without letters its language is
+    null. Null and empty texts are not accepted. A host must determine its domain, a domain its suffix.
     """
     classes = (*model.languages, OTHER)
     known = F.lower(F.split(declared.cast("string"), "[-_]")[0])
     said = F.when(known == "", None).when(known.isin(*model.languages), known).when(known.isNotNull(), F.lit(OTHER))
-    scored = docs.withColumn("_id_text", text_evidence(text, model, docs)).withColumns({"_id_said": said, "_id_host": host.cast("string"), "_id_domain": domain.cast("string"), "_id_suffix": suffix.cast("string")})
+    scored = docs.withColumns({
+        "_id_text": text_evidence(text, model, docs), "_id_said": said, "_id_host": host.cast("string"),
+        "_id_domain": domain.cast("string"), "_id_suffix": suffix.cast("string"),
+    })
     names = [f"_id_p{i}" for i in range(len(classes))]
-    scored = _with_shares(scored, [F.col("_id_text")[i] for i in range(len(classes))], names, "text")
+    seen = scored.where(F.col("_id_text.log").isNotNull())
+    # Sums of the texts' posteriors per host and declaration; all other levels are sums of these.
+    per_host = stored(
+        seen.groupBy("_id_host", "_id_domain", "_id_suffix", "_id_said").agg(
+            F.count(F.lit(1)).alias("_id_n"), *[F.sum(F.col("_id_text.alone")[i]).alias(n) for i, n in enumerate(names)]
+        ),
+        "language-hosts",
+    )
     sums = [F.sum(n).alias(n) for n in names]
-    seen = scored.where(F.col("_id_text").isNotNull())
-    # Sums per host and declaration; all other levels are sums of these.
-    per_host = stored(seen.groupBy("_id_host", "_id_domain", "_id_suffix", "_id_said").agg(F.count(F.lit(1)).alias("_id_n"), *sums), "language-hosts")
-
     overall = per_host.agg(*sums).first()
     total = [(overall[n] or 0.0) + 1 for n in names]
-    base = [t / sum(total) for t in total]
-    said_rows = {r["_id_said"]: r for r in per_host.where("_id_said IS NOT NULL").groupBy("_id_said").agg(*sums).collect()}
     # P(declaration | class): one number per declaration and class, smoothed by one declaration each.
-    per_class = [sum(r[n] for r in said_rows.values()) + len(classes) for n in names]
-    reliability = {d: [((said_rows[d][n] if d in said_rows else 0.0) + 1) / per_class[i] for i, n in enumerate(names)] for d in classes}
+    said_sums = {r["_id_said"]: r for r in per_host.where("_id_said IS NOT NULL").groupBy("_id_said").agg(*sums).collect()}
+    per_class = [sum(r[n] for r in said_sums.values()) + len(classes) for n in names]
+    reliability = {d: [((said_sums[d][n] if d in said_sums else 0.0) + 1) / per_class[i] for i, n in enumerate(names)] for d in classes}
+
+    levels = ("suffix", "domain", "host")
 
-    def level(key: str, tag: str) -> DataFrame:
-        renamed = [F.sum(n).alias(f"{n}_{tag}") for n in names]
-        return per_host.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("_id_n").alias(f"_id_n_{tag}"), *renamed)
+    def level(tag: str) -> DataFrame:
+        there = per_host.where(F.col(f"_id_{tag}").isNotNull()).groupBy(f"_id_{tag}").agg(F.sum("_id_n").alias(f"_id_n_{tag}"), *sums)
+        return there.select(f"_id_{tag}", f"_id_n_{tag}", F.array(*names).alias(f"_id_sum_{tag}"))
 
     hosts = per_host.select("_id_host", "_id_domain", "_id_suffix").where("_id_host IS NOT NULL").distinct()
-    hosts = hosts.join(level("_id_host", "host"), "_id_host").join(level("_id_domain", "domain"), "_id_domain", "left").join(level("_id_suffix", "suffix"), "_id_suffix", "left")
+    for tag in levels:
+        hosts = hosts.join(level(tag), f"_id_{tag}", "left")
     hosts = stored(hosts.drop("_id_domain", "_id_suffix"), "language-priors")
 
     joined = scored.join(small_side(hosts), "_id_host", "left")
-    own = F.col("_id_text").isNotNull() & F.col("_id_host").isNotNull()
-    scores = []
-    for i, name in enumerate(names):
-        prior = F.lit(base[i])
-        for tag in ("suffix", "domain", "host"):
-            count = F.coalesce(F.col(f"_id_n_{tag}"), F.lit(0))
-            rest = F.when(own & (count > 0), F.col(f"{name}_{tag}") - F.col(name)).otherwise(F.coalesce(F.col(f"{name}_{tag}"), F.lit(0.0)))
-            others = F.when(own & (count > 0), count - 1).otherwise(count)
-            prior = (F.greatest(rest, F.lit(0.0)) + PRIOR_STRENGTH * prior) / (others + PRIOR_STRENGTH)
-        evidence = F.lit(0.0)
-        for d in classes:
-            evidence = F.when(F.col("_id_said") == d, F.lit(float(np.log(reliability[d][i])))).otherwise(evidence)
-        scores.append(F.coalesce(F.col("_id_text")[i], F.lit(0.0)) + evidence + F.log(prior))
-    posteriors = [f"_id_q{i}" for i in range(len(classes))]
-    joined = _with_shares(joined, scores, posteriors, "all")
-    joined = joined.withColumns({"_id_best": F.greatest(*posteriors), "_id_best_text": F.greatest(*names)})
-    joined = joined.withColumn("_id_name", _first_largest(posteriors, classes, "_id_best"))
-    letters = F.col("_id_text").isNotNull()
-    added = {
-        "language": F.when(letters, F.col("_id_name")), "language_score": F.col("_id_best"),
-        "language_by_text": F.when(letters, _first_largest(names, classes, "_id_best_text")),
-        "language_accepted": letters & (F.col("_id_name") != OTHER) & (F.col("_id_best") >= LEAST_POSTERIOR),
-    }
-    kept = [c for c in docs.columns if c not in added]
-    return joined.select(*[F.col(f"`{c}`") for c in kept], *[v.alias(k) for k, v in added.items()])
+    fuse = fused(classes, [t / sum(total) for t in total], reliability, levels)
+    inputs = [c for tag in levels for c in (f"_id_n_{tag}", f"_id_sum_{tag}")]
+    joined = joined.withColumn("_id_found", fuse("_id_text.log", "_id_text.alone", "_id_said", "_id_host", *inputs))
+    added = {"language": "language", "language_score": "score", "language_by_text": "by_text", "language_accepted": "accepted"}
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    return joined.select(*kept, *[F.col(f"_id_found.{v}").alias(k) for k, v in added.items()])
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
