@@ -8,6 +8,7 @@ tried, and a position that leads nowhere is never entered again. Work grows line
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -110,7 +111,8 @@ class BytePairEncoder:
         self.shorter = {rank: self.prefix_token(token.decode("latin-1"), len(token) - 1) for token, rank in self.ranks.items()}
         self.together = Memo(self.stay_apart)
         self.pieces = Memo(self.encode_piece)
-        self.chunks = Memo(self.encode_long)
+        # Keyed without the space in front.
+        self.chunks = Memo(lambda chunk: self.encode_long(" " + chunk))
 
     def stay_apart(self, pair: tuple[int, int]) -> bool:
         """Whether the two tokens next to each other survive the merges.
@@ -181,6 +183,8 @@ class BytePairEncoder:
 
     def encode_long(self, text: str) -> tuple[int, ...]:
         """A text split by the pattern as a whole."""
+        if not text:
+            return ()
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
             return self.encode_piece(text)  # a run of letters is one match
         pieces = (self.split if self.beyond_plain(text) else self.plain_split)(text)
@@ -193,8 +197,7 @@ class BytePairEncoder:
         if self.odd_space(text):
             return [*self.encode_long(text)]
         first, *rest = text.split(" ")
-        pieces = [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
-        return [*chain.from_iterable(map(self.chunks.__getitem__, pieces))]
+        return [*self.encode_long(first), *chain.from_iterable(map(self.chunks.__getitem__, rest))]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -242,6 +245,7 @@ def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = Fal
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = BytePairEncoder(*shared.value)
+        gc.freeze()  # the vocabulary is not looked through for garbage again
         decimal = {i: str(i) for i in encoder.tokens}.__getitem__
         for batch in batches:
             columns: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if keep_ids else {})
