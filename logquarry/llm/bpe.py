@@ -8,7 +8,6 @@ tried, and a position that leads nowhere is never entered again. Work grows line
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -23,7 +22,7 @@ from public_tokenizers import PATTERN, path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Entries of each memo of a task; a full one is emptied, so memory is bounded and results are the same.
-MEMO = 400_000
+MEMO = 300_000
 # Longer runs are encoded anew each time.
 LONGEST_REMEMBERED = 64
 # Texts below this code point are split by a pattern of plain character ranges, which `re` runs faster.
@@ -199,6 +198,11 @@ class BytePairEncoder:
         first, *rest = text.split(" ")
         return [*self.encode_long(first), *chain.from_iterable(map(self.chunks.__getitem__, rest))]
 
+    def forget(self) -> None:
+        """Give the memos' space back at once: the worker's next task has an encoder of its own."""
+        for memo in (self.together, self.pieces, self.chunks):
+            memo.clear()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -217,6 +221,7 @@ def encoded(docs: DataFrame, text: str = "text", out: str = "ids", ranks: bytes
         encoder = BytePairEncoder(*shared.value)
         for texts in batches:
             yield pd.Series([encoder.encode(x) for x in texts], dtype=object)
+        encoder.forget()
 
     return docs.withColumn(out, F.pandas_udf(of, "array<int>")(F.col(text)))
 
@@ -245,7 +250,6 @@ def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = Fal
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = BytePairEncoder(*shared.value)
-        gc.freeze()  # the vocabulary is not looked through for garbage again
         decimal = {i: str(i) for i in encoder.tokens}.__getitem__
         for batch in batches:
             columns: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if keep_ids else {})
@@ -257,6 +261,7 @@ def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = Fal
                 if keep_ids:
                     columns["ids"].append(ids)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **columns})
+        encoder.forget()
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInPandas(of, schema)
