@@ -108,7 +108,6 @@ INTENT_DOMAINS = {
 }
 MART_INTENTS = ["security", "cost", "performance"]
 PROJECT_DOMAIN = "documentation_project"
-PROJECT_CANDIDATES = 20
 TOP_K = 5
 
 SECTION_MARKERS = {

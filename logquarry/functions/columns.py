@@ -18,9 +18,11 @@ def strip(column: Column) -> Column:
     return F.trim(column, F.lit(WHITESPACE))
 
 
-def parse_utc(column: Column, fmt: str | None = None) -> Column:
-    """Text to UTC time; whatever does not parse is NULL. One `fmt` accepts that format only."""
-    parsed = F.try_to_timestamp(column, F.lit(fmt)) if fmt else F.try_to_timestamp(column)
+def parse_utc(column: Column, fmt: str | list[str] | None = None) -> Column:
+    """Text to UTC time; whatever does not parse is NULL. One `fmt` accepts that format only, of several the first
+    that fits counts, and an empty one among them stands for ISO texts."""
+    formats = [fmt] if isinstance(fmt, str) or fmt is None else fmt
+    parsed = F.coalesce(*[F.try_to_timestamp(column, F.lit(f)) if f else F.try_to_timestamp(column) for f in formats])
     return parsed.cast("timestamp_ntz")
 
 
@@ -115,7 +117,7 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def float_text(column: Column) -> Column:
-    """Shortest decimal text of a double below 1e7: `4e-06`, `0.0001`, `12.5` (exponents under 1e-4)."""
+    """Shortest decimal text of a double: `4e-06`, `0.0001`, `12.5`, `10000000.0`, `1e+16` (exponents under 1e-4 and from 1e16)."""
     java = column.cast("string")
     mantissa = F.regexp_replace(F.regexp_extract(java, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
     exponent = F.lpad(F.regexp_extract(java, r"E-([0-9]+)$", 1), 2, "0")
@@ -123,8 +125,12 @@ def float_text(column: Column) -> Column:
     # Java turns to exponents below 1e-3 already: spell 1e-4 <= |x| < 1e-3 out.
     digits = F.regexp_replace(F.regexp_extract(java, r"^-?([0-9.]+)E", 1), r"\.0$|\.", "")
     spelled = F.concat(F.when(column < 0, "-").otherwise(""), F.lit("0.000"), digits)
+    # Java turns to exponents from 1e7 already; the decimal of its text has the same digits.
+    plain = F.regexp_replace(F.regexp_replace(java.cast("decimal(38,15)").cast("string"), "0+$", ""), r"\.$", ".0")
+    large = F.concat(mantissa, F.lit("e+"), F.regexp_extract(java, r"E([0-9]+)$", 1))
     return (
-        F.when(~java.contains("E-"), java)
+        F.when(~java.contains("E"), java)
+        .when(~java.contains("E-"), F.when(F.abs(column) < 1e16, plain).otherwise(large))
         .when(F.abs(column) < 1e-4, scientific)
         .otherwise(spelled)
     )

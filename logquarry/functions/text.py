@@ -46,13 +46,13 @@ def _fold_any_script(texts: pd.Series) -> pd.Series:
 
 
 def fill(template: str, **columns: Column) -> Column:
-    """The template with each `{name}` replaced by the text of that column."""
+    """The template with each `{name}` replaced by the text of that column; a missing value reads `nan`."""
     parts = []
     for text, name, _, _ in Formatter().parse(template):
         if text:
             parts.append(F.lit(text))
         if name:
-            parts.append(columns[name].cast("string"))
+            parts.append(F.coalesce(columns[name].cast("string"), F.lit("nan")))
     return F.concat(*parts)
 
 

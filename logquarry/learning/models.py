@@ -14,9 +14,6 @@ from logquarry.fixed_values import SEED, SUPERVISED_PROBLEM, UNSUPERVISED_PROBLE
 from logquarry.learning.forest import IsolationForest
 from logquarry.operators.features import KEY
 
-# Above this many training rows boosting holds rows out and stops when they no longer improve.
-EARLY_STOPPING_ROWS = 10_000
-
 
 def with_balanced_weight(train: DataFrame, label: str = "is_anomaly") -> tuple[DataFrame, float]:
     """Add `weight` = n / (classes * rows of the class); also the sum of weights, which is n."""
@@ -64,13 +61,18 @@ def with_validation_flag(train: DataFrame, key: str = KEY, share: int = 10, seed
 
 
 def fit_supervised(
-    name: str, preprocessor: PipelineModel, train: DataFrame, label: str = "is_anomaly", **options
+    name: str, preprocessor: PipelineModel, train: DataFrame, label: str = "is_anomaly",
+    validation_rows: int | None = None, **options,
 ) -> PipelineModel:
-    """Fit one of logistic_regression, random_forest, hist_gradient_boosting on preprocessed rows."""
+    """Fit one of logistic_regression, random_forest, hist_gradient_boosting on preprocessed rows.
+
+    With `validation_rows` boosting holds one row in so many out and stops when these no longer improve; without, it
+    trains on all rows for all rounds, whatever their number.
+    """
     prepared = preprocessor.transform(train)
     if name == "hist_gradient_boosting":
-        validation = "is_validation" if train.count() > EARLY_STOPPING_ROWS else None
-        prepared = with_validation_flag(prepared) if validation else prepared
+        validation = "is_validation" if validation_rows else None
+        prepared = with_validation_flag(prepared, share=validation_rows) if validation else prepared
         estimator = gradient_boosting(label, validation=validation, **options)
         columns = ["features", label] + ([validation] if validation else [])
     else:

@@ -58,18 +58,20 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; NULL when the truth holds one class only.
+    """Exact area under the ROC curve, ties counted half; NULL when the truth holds one class only. A missing score,
+    NULL or NaN, is an error.
 
     Rows are counted per distinct score before anything is ordered. All sums are whole numbers, so the result
     does not depend on how the data is partitioned.
     """
+    value = F.col(score).cast("double")
+    missing = F.raise_error(F.lit(f"Column {score} has missing scores"))
     by_score = (
-        df.groupBy(F.col(score).cast("double").alias("score"))
+        df.groupBy(F.when(value.isNull() | F.isnan(value), missing.cast("double")).otherwise(value).alias("score"))
         .agg(
             F.count(F.when(F.col(label) == 1, 1)).alias("positives"),
             F.count(F.when(F.col(label) == 0, 1)).alias("negatives"),
         )
-        .where(F.col("score").isNotNull())
     )
     scores = df.select(F.col(score).alias("score"))
     ranked = with_running_totals(by_score, "score", {"negatives_below": "negatives"}, bounds_of=scores)

@@ -276,15 +276,22 @@ class RouteFacts:
         return cls(sizes[0] or 0, sizes[1] or 0, sizes[2] or 0, [row[0] for row in domains])
 
 
-def knn_routed(corpus: DataFrame, routes: DataFrame, facts: RouteFacts | None = None, **options) -> DataFrame:
+def knn_routed(
+    corpus: DataFrame, routes: DataFrame, facts: RouteFacts | None = None, subdomains: Column | None = None, **options
+) -> DataFrame:
     """Search each (question_id, q, domain, n) route for its n nearest vectors of that domain.
 
-    Domain `*` stands for the whole corpus. Result: (question_id, domain, rank, id, score), ranked per route.
+    Domain `*` stands for the whole corpus. `subdomains` is an array column of the corpus with further names, each the
+    row's domain, `#` and a suffix, under which a route finds the row. Result: (question_id, domain, rank, id, score),
+    ranked per route.
     """
     facts = facts or RouteFacts.measure(routes)
     most, asked = facts.most, facts.domains
-    if ANY in asked:
-        keyed = corpus.withColumn("_key", F.explode(F.array(F.col("domain"), F.lit(ANY))))
+    if ANY in asked or subdomains is not None:
+        names = F.array(F.col("domain"), F.lit(ANY))
+        if ANY not in asked and len(asked) <= MAX_PRUNED_DOMAINS:
+            corpus = corpus.where(F.col("domain").isin([d.split("#")[0] for d in asked if d is not None]))
+        keyed = corpus.withColumn("_key", F.explode(names if subdomains is None else F.concat(names, subdomains)))
     else:
         keyed = corpus.withColumn("_key", F.col("domain"))
     if len(asked) <= MAX_PRUNED_DOMAINS:

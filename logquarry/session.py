@@ -52,9 +52,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_dir(spark: SparkSession, name: str) -> str:
     """Folder `name` for this application below the cluster's shared `spark.checkpoint.dir`.
 
-    Only where that setting is absent (single-machine tests) a temporary folder is used.
+    Only on a single machine a temporary folder is used where that setting is absent.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"Set spark.checkpoint.dir to a folder that all executors of {master} share")
+        base = _temporary_dir(spark)
     return f"{base.rstrip('/')}/logquarry/{spark.sparkContext.applicationId}/{name}"
 
 

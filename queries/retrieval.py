@@ -63,18 +63,14 @@ def _(spark, sf):
 @query(
     "knn_project_then_filter",
     f"""WITH {CORPUS}, {QUESTION_VECTORS}, {PAIRS},
-    a AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY d, id) AS place FROM pairs
-          WHERE domain = 'documentation_project'),
     r AS (SELECT a.question_id, a.id, a.d, row_number() OVER (PARTITION BY a.question_id ORDER BY a.d, a.id)::INTEGER AS rank
-          FROM a JOIN corpus c ON a.id = c.id WHERE place <= 20 AND contains(c.text, '## Quem e o assistente'))
+          FROM pairs a JOIN corpus c ON a.id = c.id
+          WHERE a.domain = 'documentation_project' AND contains(c.text, '## Quem e o assistente'))
     SELECT question_id, rank, id, round(d, 4) AS score FROM r WHERE rank <= {TOP}""",
 )
 def _(spark, sf):
-    texts = corpus(spark, sf)
-    found = vectors.knn_filtered(texts, question_vectors(spark, sf), "documentation_project", 20).drop("rank")
-    hits = found.join(texts.select("id", "text"), "id").withColumn("intent", F.lit("identity"))
-    kept = routing.marker_filter(hits).select("question_id", "id", "score")
-    return rounded(vectors.ranked(kept, ["question_id"], TOP).select("question_id", "rank", "id", "score"))
+    marked = routing.marker_filter(corpus(spark, sf).withColumn("intent", F.lit("identity"))).drop("intent")
+    return rounded(vectors.knn_filtered(marked, question_vectors(spark, sf), "documentation_project", TOP))
 
 
 CELLS, PROBES = 8, 6
@@ -120,19 +116,19 @@ def _(spark, sf):
 HITS = f"""{ASKED}, {CORPUS}, {QUESTION_VECTORS}, {ROUTES},
 sized AS (SELECT *, count(*) OVER (PARTITION BY intent) AS m FROM routes),
 wanted AS (
-  SELECT question_id, intent, domain, CASE WHEN domain = 'documentation_project' THEN 20
-    ELSE greatest(1, CAST(ceil({TOP}.0 / m) AS INTEGER)) END AS n FROM asked JOIN sized USING (intent)
+  SELECT question_id, intent, domain, greatest(1, CAST(ceil({TOP}.0 / m) AS INTEGER)) AS n FROM asked JOIN sized USING (intent)
   UNION ALL
   SELECT question_id, intent, CASE WHEN intent IN ('security', 'cost', 'performance') THEN intent ELSE '*' END, {TOP}
   FROM asked WHERE intent NOT IN (SELECT intent FROM routes)),
 near AS (
   SELECT *, row_number() OVER (PARTITION BY question_id, route ORDER BY d, id) AS place FROM (
     SELECT w.question_id, w.intent, w.domain AS route, w.n, c.id, c.domain, c.text, {DISTANCE} AS d
-    FROM wanted w JOIN question_vectors v USING (question_id) JOIN corpus c ON w.domain = '*' OR c.domain = w.domain) AS x),
+    FROM wanted w JOIN question_vectors v USING (question_id) JOIN corpus c ON w.domain = '*' OR c.domain = w.domain) AS x
+  WHERE route <> 'documentation_project' OR {MARKER}),
 hits AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY d, id)::INTEGER AS rank FROM near
-    WHERE place <= n AND (route <> 'documentation_project' OR {MARKER})) AS r WHERE rank <= {TOP})"""
+    WHERE place <= n) AS r WHERE rank <= {TOP})"""
 
 REPLACED = """replace(replace(replace(text, 'Acesso fora do horario normal: False.', 'Nao houve acesso fora do horario normal.'),
   'Acesso fora do horario normal: True.', 'Houve acesso fora do horario normal.'),

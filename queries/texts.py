@@ -178,8 +178,7 @@ def layer_documents(spark, sf):
 
 
 CORPUS_TEXTS = f"""{marts_sql()}, {SENTENCES}, {SECTIONS}, {chunks_sql(3000, 'sections')},
-tails AS (SELECT domain, text FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY "timestamp" DESC, k DESC) AS place
-  FROM sentences) AS s WHERE place <= 1500),
+tails AS (SELECT domain, text FROM sentences),
 layers AS (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 'documentation_bronze' WHEN doc_id % 3 = 1 THEN 'documentation_silver'
   ELSE 'documentation_project' END AS domain FROM chunks)
 SELECT domain, text FROM tails UNION ALL

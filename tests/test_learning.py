@@ -169,11 +169,12 @@ def test_experiment_and_saved_models(spark, tmp_path):
         assert all(math.isfinite(r[2]) for r in rows(loaded))
 
 
-def test_boosting_stops_early_on_many_rows(spark, monkeypatch):
-    monkeypatch.setattr(models, "EARLY_STOPPING_ROWS", 100)
+def test_boosting_holds_rows_out_only_when_asked(spark):
     train = feature_rows(spark, 400)
     prepared = preprocess.fit_preprocessor(train, ["x", "y"])
-    model = models.fit_supervised("hist_gradient_boosting", prepared, train, rounds=8)
+    whole = models.fit_supervised("hist_gradient_boosting", prepared, train, rounds=4)
+    assert whole.stages[-1].getNumTrees == 4
+    model = models.fit_supervised("hist_gradient_boosting", prepared, train, validation_rows=10, rounds=8)
     assert 1 <= model.stages[-1].getNumTrees <= 8
     flags = models.with_validation_flag(train)
     assert 10 <= flags.where("is_validation").count() <= 80
