@@ -114,7 +114,7 @@ def discover_services(cost: DataFrame) -> list[str]:
     """Service names present in the mart; they become columns, so their number is checked."""
     found = cost.select(_service().alias("service")).distinct().limit(MAX_DISCOVERED_SERVICES + 1).collect()
     if len(found) > MAX_DISCOVERED_SERVICES:
-        raise ValueError(f"More than {MAX_DISCOVERED_SERVICES} services: name the ones to pivot")
+        raise ValueError(f"More than {MAX_DISCOVERED_SERVICES} services: name the ones to pivot or use sums_per_service")
     return sorted(row[0] for row in found)
 
 
@@ -141,6 +141,12 @@ def pivot_cost(cost: DataFrame, services: list[str] | None = None) -> DataFrame:
     return _pivot(cost, "cost", services)
 
 
+def sums_per_service(cost: DataFrame) -> DataFrame:
+    """The numbers of both pivots as rows (timestamp, service, cost, requests), for any number of services."""
+    rows = cost.where(F.col(KEY).isNotNull()).groupBy(KEY, _service().alias("service"))
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("cost", "requests")])
+
+
 def performance_rollup(performance: DataFrame) -> DataFrame:
     return _roll_up([performance_measures(performance)])
 

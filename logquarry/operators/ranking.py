@@ -16,8 +16,6 @@ from logquarry.fixed_values import CORPUS_TAIL, TEST_SIZE
 # each round keeps about 0.4 % of the rows, so three of them take a trillion distinct values down to this size.
 SMALL = 200_000
 MAX_ROUNDS = 5
-# Ranges of `with_running_totals`: no more than the sketch behind their bounds can tell apart.
-MAX_RANGES = 1000
 
 
 def sort_by_time(df: DataFrame, column: str = "timestamp", *tie_breakers: str) -> DataFrame:
@@ -207,12 +205,12 @@ def with_running_totals(
     bounds are quantiles of `order` in `bounds_of` (default `df`), e.g. the rows before they were grouped.
     """
     session = df.sparkSession
-    buckets = buckets or min(int(session.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    buckets = buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_order", F.col(order).cast("double"))
     bounds = []
     if buckets > 1:
         source = keyed.select("_order") if bounds_of is None else bounds_of.select(F.col(order).cast("double").alias("_order"))
-        bounds = source.approxQuantile("_order", [i / buckets for i in range(1, buckets)], 1e-3)
+        bounds = source.approxQuantile("_order", [i / buckets for i in range(1, buckets)], min(1e-3, 0.5 / buckets))
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     if len(splits) > 2:
         cutter = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="skip")

@@ -27,8 +27,10 @@ CORPUS_BLOCK = 1024
 QUESTION_BLOCK = 256
 # Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Tasks that share one hot key in the shuffle join; each costs one more copy of the question blocks.
+# Tasks that share one hot key in the shuffle join, at least; each costs one more copy of the question blocks.
 SALTS = 128
+# Bytes of corpus vectors a task of one hot key gets: a larger corpus is dealt over more salts.
+SALT_BYTES = 256 * 1024 * 1024
 # Numbers a task holds for open question blocks before it hands on what it has found and starts anew.
 KEPT_SLOTS = 32 * 1024 * 1024
 # Pairs measured exactly in one step.
@@ -178,14 +180,14 @@ def vector_bytes(vector: str) -> Column:
 def knn_candidates(
     corpus: DataFrame, questions: DataFrame, keys: list[str], ident: str = "id", vector: str = "embedding",
     question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
-    most: int | None = None, salts: int = SALTS,
+    most: int | None = None, salts: int | None = None,
 ) -> DataFrame:
     """(keys, question_id, id, score, n): for each question row, at least its `n` nearest vectors with equal keys.
 
     `questions` holds (keys, question_id, q, n). Each task gives its n best per question, so the result is a
     superset that the caller ranks. Small question sets are broadcast (their size is measured first) and the corpus is
     not shuffled; large ones meet the corpus in a shuffle join spread over salts, so that one hot key is
-    shared by many tasks.
+    shared by many tasks; without `salts` their number follows the corpus's size.
     """
     questions = questions.withColumn("n", F.col("n").cast("int"))
     packed_questions = _pack(questions, "question_id", question_vector, [*keys, "n"], "q", QUESTION_BLOCK)
@@ -197,6 +199,8 @@ def knn_candidates(
     else:
         # Every salt holds a copy of the question blocks and its share of each key's corpus blocks. A merge join,
         # because it spills where a hash table of blocks would have to fit in memory.
+        if salts is None:
+            salts = max(SALTS, (corpus.agg(vector_bytes(vector)).first()[0] or 0) // SALT_BYTES)
         salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(salts)).cast("int"))
         copies = packed_questions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         pairs = salted.join(copies.hint("merge"), [*keys, "salt"])

@@ -29,7 +29,10 @@ def latest_snapshot_path(spark: SparkSession, base: str, domain: str, name: str)
 
 
 def expected_or_last_path(spark: SparkSession, base: str, as_of: str, name: str = "cleaned_logs") -> str | None:
-    """The snapshot of day `as_of` if it is there, else the last cleaned Parquet that is listed."""
+    """The snapshot of day `as_of` if it is there, else the last cleaned Parquet that is listed.
+
+    Snapshots can be folders; the part files in them are none.
+    """
     expected = matching_paths(spark, f"{base}/dt={as_of}/{name}.parquet")
     if expected:
         return expected[0]
@@ -37,7 +40,7 @@ def expected_or_last_path(spark: SparkSession, base: str, as_of: str, name: str
         p
         for depth in ("", "/*", "/*/*")
         for p in matching_paths(spark, f"{base}{depth}/*.parquet")
-        if "silver" in p.lower() or "cleaned" in p.lower()
+        if ("silver" in p.lower() or "cleaned" in p.lower()) and not p.rsplit("/", 1)[0].lower().endswith(".parquet")
     ]
     return max(listed) if listed else None
 

@@ -42,6 +42,15 @@ def _(spark, sf):
     return marts.global_zscore(table(spark, sf, "events"), "value").select("event_id", "zscore")
 
 
+@query(
+    "sums_per_service",
+    f"""WITH {marts_sql()} SELECT "timestamp", service, round(sum(cost), 8) AS cost, CAST(sum(requests) AS BIGINT) AS requests
+        FROM cost GROUP BY ALL""",
+)
+def _(spark, sf):
+    return features.sums_per_service(marts.mart_cost(prepared(spark, sf))).withColumn("cost", F.round("cost", 8))
+
+
 @query(
     "cost_totals",
     f"""WITH {marts_sql()} SELECT "timestamp", round(sum(cost), 8) AS total_cost,
@@ -201,29 +210,35 @@ def _(spark, sf):
 
 @query(
     "left_equi_join",
-    """WITH m AS (SELECT date_trunc('minute', ts) AS "timestamp", count(*) AS requests FROM events
-         WHERE event_type <> 'view' GROUP BY 1)
-       SELECT event_id, date_trunc('minute', ts) AS "timestamp", requests
-       FROM events LEFT JOIN m ON date_trunc('minute', ts) = m."timestamp" """,
+    """WITH m AS (SELECT date_trunc('minute', ts) AS "timestamp", count(*) AS requests FROM events GROUP BY 1)
+       SELECT event_id, date_trunc('minute', ts - INTERVAL 1 MINUTE) AS "timestamp", requests
+       FROM events LEFT JOIN m ON date_trunc('minute', ts - INTERVAL 1 MINUTE) = m."timestamp" """,
 )
 def _(spark, sf):
-    events = table(spark, sf, "events").select(
-        "event_id", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("timestamp"), "event_type"
-    )
-    counts = events.where("event_type <> 'view'").groupBy("timestamp").agg(F.count("*").alias("requests"))
-    return features.left_equi_join(events.drop("event_type"), counts)
+    """Every event with the number of events in the minute before its own, which may have none."""
+
+    def minutes(time):
+        return F.date_trunc("minute", time).cast("timestamp_ntz").alias("timestamp")
 
+    events = table(spark, sf, "events")
+    counts = events.groupBy(minutes(F.col("ts"))).agg(F.count("*").alias("requests"))
+    return features.left_equi_join(events.select("event_id", minutes(F.col("ts") - F.expr("INTERVAL 1 MINUTE"))), counts)
 
-_DOMAIN_PARTS = [("click", "clicks"), ("error", "errors"), ("signup", "signups")]
+
+_DOMAIN_PARTS = [
+    ("click", "clicks"), ("error", "errors"), ("signup", "signups"), ("purchase", "purchases"), ("view", "views"),
+]
+_DOMAIN_COUNTS = ", ".join(
+    f"""{name} AS (SELECT "timestamp", count(*) AS {name} FROM b WHERE event_type = '{kind}' GROUP BY 1)"""
+    for kind, name in _DOMAIN_PARTS
+)
 
 
 @query(
     "full_outer_join_domains",
-    """WITH b AS (SELECT date_trunc('minute', ts) AS "timestamp", event_type FROM events),
-       c AS (SELECT "timestamp", count(*) AS clicks FROM b WHERE event_type = 'click' GROUP BY 1),
-       e AS (SELECT "timestamp", count(*) AS errors FROM b WHERE event_type = 'error' GROUP BY 1),
-       s AS (SELECT "timestamp", count(*) AS signups FROM b WHERE event_type = 'signup' GROUP BY 1)
-       SELECT * FROM c FULL OUTER JOIN e USING ("timestamp") FULL OUTER JOIN s USING ("timestamp")""",
+    f"""WITH b AS (SELECT date_trunc('minute', ts) AS "timestamp", event_type FROM events), {_DOMAIN_COUNTS}
+       SELECT "timestamp", {", ".join(name for _, name in _DOMAIN_PARTS)}
+       FROM {' FULL OUTER JOIN '.join(name + ' USING ("timestamp")' * (i > 0) for i, (_, name) in enumerate(_DOMAIN_PARTS))}""",
 )
 def _(spark, sf):
     events = table(spark, sf, "events").select(

@@ -14,7 +14,7 @@ from queries.aggregates import COUNTS, REPORT, rounded_report, truth
 from queries.inputs import RAW_LOGS, marts_sql, prepared, raw_logs, table
 from queries.registry import query
 
-DAY = "2024-02-01"
+DAY, LATER, MISSING = "2024-02-01", "2024-02-03", "2024-02-02"
 
 
 @query("scan_log_csv", f"WITH {RAW_LOGS} SELECT * FROM raw_logs")
@@ -65,6 +65,38 @@ def _(spark, sf):
     return snapshots.first_available_source(spark, "performance", "performance", [f"{base}-missing", base])
 
 
+def _stored_marts(spark, sf, name: str) -> str:
+    """The same mart as Parquet and CSV on one day, and with a column less on an earlier one."""
+    base = shared_dir(spark, f"queries/{name}")
+    mart = marts.mart_performance(prepared(spark, sf))
+    mart.write.mode("overwrite").parquet(f"{base}/performance/dt={LATER}/performance.parquet")
+    mart = spark.read.parquet(f"{base}/performance/dt={LATER}/performance.parquet")
+    sinks.export_csv(mart.limit(1), f"{base}/performance/dt={LATER}/performance.csv")
+    mart.drop("user_hash").write.mode("overwrite").parquet(f"{base}/performance/dt={DAY}/performance.parquet")
+    return base
+
+
+@query("latest_snapshot_path", f"WITH {marts_sql()} SELECT * FROM performance")
+def _(spark, sf):
+    """The later day wins over the earlier one, and Parquet over CSV within it; the other domain is looked for below all."""
+    base = _stored_marts(spark, sf, "latest_snapshot_path")
+    paths = {snapshots.latest_snapshot_path(spark, base, domain, "performance") for domain in ("performance", "elsewhere")}
+    if len(paths) != 1:
+        raise ValueError(f"Different snapshots: {paths}")
+    return logs.scan_auto(spark, paths.pop())
+
+
+@query("expected_or_last_path", f"WITH {RAW_LOGS} SELECT *, 'found' AS day FROM raw_logs UNION ALL SELECT *, 'last' FROM raw_logs")
+def _(spark, sf):
+    """A day that is there, and a missing one, for which the last listed day is read."""
+    base = shared_dir(spark, "queries/expected_or_last_silver")
+    for day in (DAY, LATER):
+        raw_logs(spark, sf).withColumn("written", F.lit(day)).write.mode("overwrite").parquet(f"{base}/dt={day}/cleaned_logs.parquet")
+    found = logs.scan_parquet(spark, snapshots.expected_or_last_path(spark, base, DAY)).where(F.col("written") == DAY)
+    last = logs.scan_parquet(spark, snapshots.expected_or_last_path(spark, base, MISSING)).where(F.col("written") == LATER)
+    return found.withColumn("day", F.lit("found")).unionByName(last.withColumn("day", F.lit("last"))).drop("written")
+
+
 @query("write_bronze_raw", f"WITH {RAW_LOGS} SELECT * FROM raw_logs")
 def _(spark, sf):
     path = shared_dir(spark, "queries/write_bronze_raw")
