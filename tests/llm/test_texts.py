@@ -277,3 +277,46 @@ def test_license_lines_of_documents(spark, sf_dir):
     found = {(r.doc_id, r.license) for r in licenses.license_blocks(docs).where("confirmed").collect()}
     for name, line in lines.items():
         assert {(r.doc_id, name) for r in docs.where(docs["text"].contains(line)).collect()} == {x for x in found if x[1] == name}
+
+
+SOFTWARE = "Our software is commercial, and we distribute this software to customers of the commercial software market"
+
+
+def test_licenses_within_prose_of_the_same_vocabulary(spark):
+    """Savings are not measured against the prose around a notice, and every template is compared."""
+    from logquarry.llm.license_texts import GPL_NOTICE
+
+    texts = {
+        "MIT": f"{SOFTWARE}. Released under the MIT License. {SOFTWARE}.",
+        "GPL-3.0": f"{SOFTWARE}. " * 20 + GPL_NOTICE.format(version=3) + f" {SOFTWARE}." * 20,
+        "CC-BY-NC-4.0": f"Copyright of the {SOFTWARE}. Licensed under CC BY-NC 4.0. {SOFTWARE}.",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    found = {(r.doc_id, r.license) for r in licenses.license_blocks(docs).where("confirmed").collect()}
+    assert found >= set(enumerate(texts))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_places_of_templates_against_all_spans(rng):
+    """If the span with fewest differing words is within bounds, it is found, and with no more words."""
+    template = [rng.choice("abcdefghij") for _ in range(rng.randint(10, 30))]
+    allowed, text = len(template) // 10, list(template)
+    for _ in range(rng.randint(0, 2 * allowed + 2)):
+        at = rng.randrange(len(text))
+        text[at : at + rng.randint(0, 1)] = [rng.choice("abcxyz")] * rng.randint(0, 1)
+    text = rng.choices("abcxyz", k=rng.randint(0, 8)) + text + rng.choices("abcxyz", k=rng.randint(0, 8))
+    spans = []
+    for start in range(len(text)):
+        row = [0] * (len(template) + 1)
+        for end in range(start + 1, len(text) + 1):
+            new = [0]
+            for i, word in enumerate(template):
+                new.append(row[i] + 1 if word == text[end - 1] else max(row[i + 1], new[-1]))
+            row = new
+            spans.append((len(template) - row[-1], end - start - row[-1]))
+    least = min(map(sum, spans))
+    found = licenses.LicenseScanner([("x", " ".join(template))]).places(text)
+    assert all((len(m), len(a)) in spans and max(len(m), len(a)) <= allowed for _, _, _, m, a in found)
+    if all(max(s) <= allowed for s in spans if sum(s) == least):
+        assert least == min(len(m) + len(a) for _, _, _, m, a in found)
