@@ -320,3 +320,24 @@ def test_places_of_templates_against_all_spans(rng):
     assert all((len(m), len(a)) in spans and max(len(m), len(a)) <= allowed for _, _, _, m, a in found)
     if all(max(s) <= allowed for s in spans if sum(s) == least):
         assert least == min(len(m) + len(a) for _, _, _, m, a in found)
+
+
+def test_every_license_of_a_block_is_a_row(spark):
+    from logquarry.llm.license_texts import BSD_DISCLAIMER, BSD_THREE, MIT_BODY, whole
+
+    texts = {
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0.": ["MIT", "Apache-2.0"],
+        f"Notices of copyright.\n{BSD_THREE}{BSD_DISCLAIMER}\n{MIT_BODY}\nLicensed under CC BY 4.0.": ["BSD-3-Clause", "MIT", "CC-BY-4.0"],
+        f"A license.\n{whole('GPL-3.0').replace('covered work', 'work')}\nAll rights reserved.": ["GPL-3.0", "All-rights-reserved"],
+        whole("GPL-3.0").replace("GENERAL", "AFFERO GENERAL").replace("General", "Affero General"): [],
+        whole("Apache-2.0")[:-4000] + " " + whole("MPL-2.0"): ["MPL-2.0"],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(licenses.license_blocks(docs).collect(), key=lambda r: (r.doc_id, r.start))
+    for i, (text, names) in enumerate(texts.items()):
+        of = [r for r in rows if r.doc_id == i and r.confirmed]
+        assert [r.license for r in of] == names
+        assert all(a.end <= b.start for a, b in zip(of, of[1:]))
+        for r in of:
+            found = sum((licenses.Counter(licenses.words(text[r.start : r.end])), licenses.Counter(r.missing)), licenses.Counter())
+            assert found - licenses.Counter(r.added) == licenses.Counter(licenses.words(licenses.TEMPLATES[r.template][1]))
