@@ -1,4 +1,4 @@
-"""Preprocessing, models, forest and experiment on the hourly feature table."""
+"""Preprocessing, models, forest and experiment on the feature table by minute, with the operators' defaults."""
 
 from __future__ import annotations
 
@@ -15,23 +15,17 @@ from queries.inputs import RAW_LOGS, marts, raw_logs, table
 from queries.registry import query
 
 KEY, LABEL = "timestamp", "is_anomaly"
-# Fewer trees and rounds than the defaults keep a query short; the operators' defaults stay as they are.
-FEWER = {
-    "random_forest": {"trees": 20},
-    "hist_gradient_boosting": {"rounds": 10},
-    "isolation_forest": {"trees": 100},
-}
 
 
-def dataset(spark, sf):
-    made = marts(spark, sf, "hour")
+def dataset(spark, sf, grain="minute"):
+    made = marts(spark, sf, grain)
     return labels.modeling_dataset(made["cost"], made["performance"], made["security"], SERVICES)
 
 
-def stored_dataset(spark, sf, name: str):
+def stored_dataset(spark, sf, name: str, grain="minute"):
     """The modelling table written once to the shared folder: model fits read their input many times."""
     path = shared_dir(spark, f"queries/{name}")
-    dataset(spark, sf).write.mode("overwrite").parquet(path)
+    dataset(spark, sf, grain).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -122,7 +116,7 @@ def _scaled(name: str) -> str:
     f"""WITH {features_sql('hour')} SELECT "timestamp", {', '.join(map(_scaled, NUMERIC))} FROM features""",
 )
 def _(spark, sf):
-    rows = stored_dataset(spark, sf, "preprocessor")
+    rows = stored_dataset(spark, sf, "preprocessor", "hour")  # as its SQL
     fitted = preprocess.fit_preprocessor(rows, NUMERIC)
     vector = vector_to_array("features")
     scaled = [(F.round(vector[i], 5) + F.lit(0.0)).alias(name) for i, name in enumerate(NUMERIC)]
@@ -131,10 +125,12 @@ def _(spark, sf):
 
 def _supervised(name):
     def build(spark, sf):
-        rows = stored_dataset(spark, sf, name)
-        fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
-        model = models.fit_supervised(name, fitted, rows, LABEL, **FEWER.get(name, {}))
-        return models.predict_supervised(model, rows)
+        """Trained on the older rows; all are scored, `is_train` tells which the model has seen."""
+        rows = ranking.temporal_split(stored_dataset(spark, sf, name), KEY)
+        train = rows.where("is_train").drop("is_train")
+        fitted = preprocess.fit_preprocessor(train, feature_names(train))
+        model = models.fit_supervised(name, fitted, train, LABEL)
+        return models.predict_supervised(model, rows, (KEY, "is_train"))
 
     return build
 
@@ -158,7 +154,7 @@ def _(spark, sf):
 @query("save_load_model", f"""WITH {features_sql('hour')} SELECT "timestamp", true AS same FROM features""")
 def _(spark, sf):
     """A saved and loaded model gives the predictions of the fitted one."""
-    rows = stored_dataset(spark, sf, "save_load_model")
+    rows = stored_dataset(spark, sf, "save_load_model", "hour")  # as its SQL
     fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
     model = models.fit_supervised("logistic_regression", fitted, rows, LABEL)
     path = shared_dir(spark, "queries/save_load_model_files")
@@ -173,7 +169,6 @@ def fitted_forest(spark, sf, name):
     fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
     grown = forest.fit_isolation_forest(
         fitted.transform(rows), [KEY], vector_to_array("features"), forest.clipped_contamination(rows),
-        **FEWER["isolation_forest"],
     )
     return rows, fitted, grown
 
@@ -208,7 +203,7 @@ def _(spark, sf):
 
 
 def _experiment(spark, sf, name):
-    return run_experiment(spark, dataset(spark, sf), shared_dir(spark, f"queries/{name}"), options=FEWER)
+    return run_experiment(spark, dataset(spark, sf), shared_dir(spark, f"queries/{name}"))
 
 
 @query("experiment")

@@ -4,11 +4,14 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conftest import rows
 from logquarry.learning import forest, models, preprocess
 from logquarry.learning.experiment import run_experiment
+from logquarry.session import shared_dir
+from queries import QUERIES
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -184,3 +187,23 @@ def test_unknown_model(spark):
     train = feature_rows(spark, 20)
     with pytest.raises(ValueError):
         models.fit_supervised("other", preprocess.fit_preprocessor(train, ["x"]), train)
+
+
+class Fitted(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "random_forest", "gradient_boosting", "isolation_forest_score"])
+def test_model_queries_fit_minutes_with_the_defaults(spark, sf_dir, monkeypatch, name):
+    def seen(*given, **options):
+        raise Fitted(given[0 if isinstance(given[0], DataFrame) else 2], options)
+
+    monkeypatch.setattr(models, "fit_supervised", seen)
+    monkeypatch.setattr(forest, "fit_isolation_forest", seen)
+    with pytest.raises(Fitted) as stopped:
+        QUERIES[name](spark, sf_dir)
+    train, options = stopped.value.args
+    assert options == {} and train.where("minute(timestamp) <> 0").count() > 0
+    if name != "isolation_forest_score":
+        stored = "hist_gradient_boosting" if name == "gradient_boosting" else name
+        assert train.count() == int(0.8 * spark.read.parquet(shared_dir(spark, f"queries/{stored}")).count())
