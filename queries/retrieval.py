@@ -101,7 +101,7 @@ def _(spark, sf):
 
 @query("embed_texts")
 def _(spark, sf):
-    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"), dim=256)
+    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"))
     return embedded.select("doc_id", F.size("embedding").alias("dim"), "embedding")
 
 

@@ -3,8 +3,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from logquarry.fixed_values import VECTOR_DIM
 from logquarry.operators import vectors
 from logquarry.plans import answering, corpus
+from queries import QUERIES
 from queries.inputs import corpus as corpus_of
 from queries.inputs import question_vectors
 
@@ -199,3 +201,8 @@ def test_corpus_ids_are_stable_and_partitioned_by_domain(spark, sf_dir, tmp_path
     plan = read.where("domain = 'cost'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(domain" in plan
     assert read.where("domain = 'cost'").count() == 20
+
+
+def test_documents_are_embedded_at_the_default_dimension(spark, sf_dir):
+    found = QUERIES["embed_texts"](spark, sf_dir).groupBy("dim").count().collect()
+    assert [tuple(r) for r in found] == [(VECTOR_DIM, spark.read.parquet(f"{sf_dir}/documents.parquet").count())]
