@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.llm.common import connected_components, small_side, stored
@@ -32,6 +32,8 @@ GENERATOR = 0b110001110101
 BLOCK = 2048
 # Pairs compared at once.
 CHUNK = 2_000_000
+# Name that no column of documents has.
+MARK = "simhash removed fingerprint"
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -54,14 +56,22 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(firsts), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint of every whole text as a signed 64-bit number."""
+def fingerprint_of(text: Column, words: int = SHINGLE_WORDS) -> Column:
+    """The fingerprint of a whole text as a signed 64-bit number."""
 
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(x, words) for x in texts], dtype=np.uint64).view(np.int64))
 
-    hashed = F.pandas_udf(of, "long")(F.col("text").cast("string"))
-    return docs.select(F.col("doc_id").alias("doc_id"), hashed.alias("fp"))
+    return F.pandas_udf(of, "long")(text.cast("string"))
+
+
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """Rows (doc_id, fp): the fingerprint of every whole text."""
+    return docs.select(F.col("doc_id").alias("doc_id"), fingerprint_of(F.col("text"), words).alias("fp"))
+
+
+def _digits(fp: Column) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -201,14 +211,25 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int
     groups = connected_components(links, "simhash-components").select(F.col("id").alias("fp"), F.col("component").alias("class"))
     classed = rows.join(groups, "fp", "left").withColumn("class", F.coalesce("class", "fp"))
     smallest = classed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return classed.join(smallest, "class").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return classed.join(smallest, "class").select("doc_id", _digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """`docs` with one document of each component, the one with the smallest doc_id; all columns kept.
 
-    Rows that share a doc_id stay or go together; rows without one stay.
+    Rows go by (doc_id, fingerprint), so an id that occurs with several texts leaves no component empty. Rows equal in
+    both stay or go together, texts of the smallest id all stay, and so do rows without a doc_id.
     """
     found = near_duplicates(docs.select("doc_id", "text"), words, most_bits)
-    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "simhash-removed")
-    return docs.join(small_side(gone), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    goes = F.col("doc_id") != F.col("component_id")
+    by_id = found.groupBy("doc_id").agg(F.max(goes).alias("some"), F.min(goes).alias("all"))
+    gone = stored(by_id.where("some").select("doc_id", "all"), "simhash-removed")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(small_side(gone.select("doc_id")), "doc_id", "left_anti").select(*columns)
+    # Ids of which some texts stay: only their texts are looked at again.
+    split = gone.where("NOT all").select("doc_id")
+    if split.isEmpty():
+        return left
+    pairs = found.where(goes).join(split, "doc_id", "left_semi").select("doc_id", F.col("fingerprint").alias(MARK)).distinct()
+    marked = docs.join(small_side(split), "doc_id", "left_semi").withColumn(MARK, _digits(fingerprint_of(F.col("text"), words)))
+    return left.unionByName(marked.join(pairs, ["doc_id", MARK], "left_anti").select(*columns))

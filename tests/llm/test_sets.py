@@ -252,6 +252,14 @@ def test_simhash_of_documents_against_brute_force(spark, sf_dir):
     assert simhash.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_simhash_leaves_no_group_empty_when_ids_repeat(spark):
+    a, b = "one text about rivers and the sea", "quite another thing entirely, told at length"
+    docs = table(spark, [(1, a, "s"), (2, a, "s"), (0, b, "s"), (1, b, "t")])
+    left = simhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r.source) for r in left.collect()) == [(0, b, "s"), (1, a, "s")]
+
+
 # --- vectors
 
 
