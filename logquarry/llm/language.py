@@ -60,15 +60,16 @@ class LanguageModel:
 def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
     """Trigram likelihoods from rows (text, lang); what reaches the driver is a count per language and bucket.
 
-    The sample is bounded by `sample_texts` per language (on average, by hash of the text); other labels and null
-    texts are not used.
+    The sample is bounded by `sample_texts` different texts per language (on average, by hash of the text), each counted
+    once however many copies there are; other labels and null texts are not used.
     """
     rows = labelled.where(F.col("lang").isin(*languages) & F.col("text").isNotNull()).select(F.col("lang").alias("lang"), F.col("text").cast("string").alias("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    rows = rows.withColumn("hash", F.xxhash64("text", F.lit("sample")))
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "hash").distinct().groupBy("lang").count().collect()}  # one row per language
     share = F.lit(0.0)
     for name, count in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_texts / count))).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
+    rows = rows.where(F.pmod("hash", F.lit(1_000_000)) < share * 1_000_000).select("lang", "text").distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, sums = letter_table(), {}

@@ -314,6 +314,15 @@ def test_language_accuracy_on_held_out_documents(spark, sf_dir):
     assert sum(r.language_accepted for r in found) >= 0.99 * len(found)
 
 
+def test_language_sample_counts_different_texts(spark):
+    """Copies neither fill the sample nor push other texts out of it."""
+    texts = [(f"the {i} words of text {chr(97 + i % 26) * 3} {chr(97 + i // 26) * 3}", "en") for i in range(100)]
+    docs = spark.createDataFrame(texts, "text string, lang string")
+    copies = docs.unionByName(spark.createDataFrame(texts[:1] * 3000, docs.schema))
+    for sample in (1000, 40):
+        assert (language.fit(copies, sample_texts=sample).table == language.fit(docs, sample_texts=sample).table).all()
+
+
 def test_language_evidence_is_fused(spark, sf_dir):
     model = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     body = "Und die schichte der verein zu einen lichkeit mit dem nicht und die eine."
