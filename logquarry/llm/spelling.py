@@ -223,7 +223,7 @@ def _expanded(words: DataFrame) -> DataFrame:
 
 def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """Rows (word, n_near, best) of the words (word, n) that have near words; `words` are different, stored and not null."""
-    found, waiting = [], words.withColumn("prefix", F.lit(""))
+    found, waiting = [], words.withColumn("prefix", F.substring("word", 1, 0))
     while True:
         classes = waiting.groupBy("prefix").agg(F.count(F.lit(1)).alias("words"), F.sum(F.length("word") + 1).alias("size"), F.min("word").alias("low"), F.max("word").alias("high"))
         large = classes.where((F.col("words") > 1) & (F.col("size") > symbols))
