@@ -10,19 +10,27 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from public_tokenizers import PATTERN, path
 
+from logquarry.llm.common import give_back, thrifty
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
-# Entries of each memo of a task; a full one is emptied, so memory is bounded and results are the same.
-MEMO = 300_000
+# Bytes of each memo of a task, about; a full one is emptied, so memory is bounded and results are the same.
+MEMO_BYTES = 24 * 1024 * 1024
+# What an entry takes besides its key's and value's content.
+ENTRY_BYTES = 200
+# Tokens of the rows that leave a task together.
+TOKENS = 500_000
 # Longer runs are encoded anew each time.
 LONGEST_REMEMBERED = 64
 # Texts below this code point are split by a pattern of plain character ranges, which `re` runs faster.
@@ -55,16 +63,25 @@ class Memo(dict):
     def __init__(self, function):
         super().__init__()
         self.function = function
+        self.held = 0
 
     def __missing__(self, key):
         found = self.function(key)
-        if not isinstance(key, str) or len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= MEMO:
+        size = len(key) + len(found) if isinstance(key, str) else 0
+        if size <= 8 * LONGEST_REMEMBERED:
+            self.held += size + ENTRY_BYTES
+            if self.held > MEMO_BYTES:
                 self.clear()
+                self.held = size + ENTRY_BYTES
             self[key] = found
         return found
 
 
+def packed(tokens) -> bytes:
+    """Token ids as 32-bit numbers one after another."""
+    return array("i", tokens).tobytes()
+
+
 def parse_ranks(ranks: bytes) -> dict[bytes, int]:
     pairs = (line.split() for line in ranks.splitlines() if line)
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
@@ -102,24 +119,24 @@ class BytePairEncoder:
         self.whole = {}
         for token, rank in self.ranks.items():
             text = token.decode("latin-1")
-            self.whole[text] = (rank,)
+            self.whole[text] = rank
             self.automaton.add_word(text, rank)
         self.automaton.make_automaton()
         self.length = {rank: len(token) for token, rank in self.ranks.items()}
         self.longest = max(self.length.values())
         self.shorter = {rank: self.prefix_token(token.decode("latin-1"), len(token) - 1) for token, rank in self.ranks.items()}
-        self.together = Memo(self.stay_apart)
+        # Keyed by both ranks in one number.
+        self.together = Memo(lambda pair: self.stay_apart(pair >> 32, pair & 0xFFFFFFFF))
         self.pieces = Memo(self.encode_piece)
         # Keyed without the space in front.
         self.chunks = Memo(lambda chunk: self.encode_long(" " + chunk))
 
-    def stay_apart(self, pair: tuple[int, int]) -> bool:
+    def stay_apart(self, left: int, right: int) -> bool:
         """Whether the two tokens next to each other survive the merges.
 
         Merges are undone from the last one on; at each step the tokens that face each other across the border must
         not form one that would have been merged before what was just undone. Of equal merges the left one goes first.
         """
-        left, right = pair
         limit = len(self.ranks) + 1
         while True:
             if self.ranks.get(self.tokens[left] + self.tokens[right], limit) < limit:
@@ -134,16 +151,17 @@ class BytePairEncoder:
             else:
                 return True
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        """Tokens of one match of the pattern."""
+    def encode_piece(self, piece: str) -> bytes:
+        """Packed tokens of one match of the pattern."""
         text = piece.encode("utf-8", "surrogatepass").decode("latin-1")
-        if text in self.whole:
-            return self.whole[text]
-        together = self.together.__getitem__
-        chosen = tuple([token for _, token in self.automaton.iter_long(text)])
-        if all(map(together, zip(chosen, chosen[1:]))):
-            return chosen
-        return tuple(self.backtrack(text))
+        rank = self.whole.get(text)
+        if rank is not None:
+            return packed((rank,))
+        together = self.together
+        chosen = [token for _, token in self.automaton.iter_long(text)]
+        if all([together[a << 32 | b] for a, b in zip(chosen, chosen[1:])]):
+            return packed(chosen)
+        return packed(self.backtrack(text))
 
     def backtrack(self, text: str) -> list[int]:
         """Where longest matches one after another don't go together, shorter ones are tried from the left."""
@@ -154,7 +172,7 @@ class BytePairEncoder:
         while True:
             while token is not None:
                 end = at + length[token]
-                if alive[end] and (not chosen or together[chosen[-1], token]):
+                if alive[end] and (not chosen or together[chosen[-1] << 32 | token]):
                     break
                 token = shorter[token]
             if token is None:
@@ -176,32 +194,31 @@ class BytePairEncoder:
         """Longest token of at most `most` bytes that `text` starts with."""
         for size in range(most, 0, -1):
             found = self.whole.get(text[:size])
-            if found:
-                return found[0]
+            if found is not None:
+                return found
         return None
 
-    def encode_long(self, text: str) -> tuple[int, ...]:
+    def encode_long(self, text: str) -> bytes:
         """A text split by the pattern as a whole."""
         if not text:
-            return ()
+            return b""
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
             return self.encode_piece(text)  # a run of letters is one match
         pieces = (self.split if self.beyond_plain(text) else self.plain_split)(text)
-        return (*chain.from_iterable(map(self.pieces.__getitem__, pieces)),)
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
-    def encode(self, text: str | None) -> list[int]:
-        """Token ids of a whole text; null and empty texts have none."""
+    def encode_packed(self, text: str | None) -> bytes:
+        """Token ids of a whole text as 32-bit numbers; null and empty texts have none."""
         if not text:
-            return []
+            return b""
         if self.odd_space(text):
-            return [*self.encode_long(text)]
+            return self.encode_long(text)
         first, *rest = text.split(" ")
-        return [*self.encode_long(first), *chain.from_iterable(map(self.chunks.__getitem__, rest))]
+        return self.encode_long(first) + b"".join(map(self.chunks.__getitem__, rest))
 
-    def forget(self) -> None:
-        """Give the memos' space back at once: the worker's next task has an encoder of its own."""
-        for memo in (self.together, self.pieces, self.chunks):
-            memo.clear()
+    def encode(self, text: str | None) -> list[int]:
+        """Token ids of a whole text; null and empty texts have none."""
+        return array("i", self.encode_packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -221,7 +238,8 @@ def encoded(docs: DataFrame, text: str = "text", out: str = "ids", ranks: bytes
         encoder = BytePairEncoder(*shared.value)
         for texts in batches:
             yield pd.Series([encoder.encode(x) for x in texts], dtype=object)
-        encoder.forget()
+        del encoder
+        give_back()
 
     return docs.withColumn(out, F.pandas_udf(of, "array<int>")(F.col(text)))
 
@@ -248,20 +266,36 @@ def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = Fal
     shared = _shared(docs, ranks)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BytePairEncoder(*shared.value)
         decimal = {i: str(i) for i in encoder.tokens}.__getitem__
+
+        def rows(doc_ids: pa.Array, kept: list[bytes], digests: list[tuple[str, str]]) -> pa.RecordBatch:
+            ends = [0, *accumulate(len(x) // 4 for x in kept)]
+            columns = {
+                "doc_id": doc_ids, "n_tokens": pa.array([len(x) // 4 for x in kept], pa.int64()),
+                "ids_sha256": pa.array([x for x, _ in digests], pa.string()), "decoded_sha256": pa.array([x for _, x in digests], pa.string()),
+            }
+            if keep_ids:
+                values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(kept))])
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            return pa.RecordBatch.from_pydict(columns)
+
         for batch in batches:
-            columns: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []} | ({"ids": []} if keep_ids else {})
-            for text in batch["text"]:
-                ids = encoder.encode(text)
-                columns["n_tokens"].append(len(ids))
-                columns["ids_sha256"].append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                columns["decoded_sha256"].append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-                if keep_ids:
-                    columns["ids"].append(ids)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **columns})
-        encoder.forget()
+            doc_ids, start, held = batch["doc_id"], 0, 0
+            kept: list[bytes] = []
+            digests: list[tuple[str, str]] = []
+            for at, text in enumerate(batch["text"]):
+                ids = encoder.encode_packed(text.as_py())
+                numbers = array("i", ids).tolist()
+                digests.append((hashlib.sha256(" ".join(map(decimal, numbers)).encode()).hexdigest(), hashlib.sha256(encoder.decode(numbers)).hexdigest()))
+                kept.append(ids)
+                held += len(numbers)
+                if held >= TOKENS:
+                    yield rows(doc_ids.slice(start, len(kept)), kept, digests)
+                    start, held, kept, digests = at + 1, 0, [], []
+            if kept:
+                yield rows(doc_ids.slice(start, len(kept)), kept, digests)
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInPandas(of, schema)
+    return plain.mapInArrow(thrifty(of), schema)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,29 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the machine: Python workers outlive their tasks, and stages that follow need the space."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass  # another C library than glibc
+
+
+def thrifty(of: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function over a task's batches, giving memory back when the task ends."""
+
+    @functools.wraps(of)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from of(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the cluster's shared folder and read back: later stages start from the files."""
     path = shared_dir(df.sparkSession, f"{name}-{uuid4().hex}")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import small_side, stored
+from logquarry.llm.common import small_side, stored, thrifty
 
 LANGUAGES = ("de", "en", "es", "fr")
 # A further class for texts in none of them: every trigram is as likely as any other.
@@ -81,7 +81,7 @@ def fit(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, sample_text
             bucket = np.flatnonzero(found)
             yield pd.DataFrame({"lang": name, "bucket": bucket, "n": found[bucket]})
 
-    counts = rows.mapInPandas(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInPandas(thrifty(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.full((GRAM_BUCKETS, len(languages) + 1), -np.log(GRAM_BUCKETS))
     for place, name in enumerate(languages):
         of = counts[counts["lang"] == name]
@@ -117,7 +117,7 @@ def text_evidence(text: Column, model: LanguageModel, docs: DataFrame) -> Column
                 alone.append(shares(total)[0] if len(found) else None)
             yield pd.DataFrame({"log": pd.Series(scores, dtype=object), "alone": pd.Series(alone, dtype=object)})
 
-    return F.pandas_udf(of, "log array<double>, alone array<double>")(text)
+    return F.pandas_udf(thrifty(of), "log array<double>, alone array<double>")(text)
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
