@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import connected_components, small_side, stored
+from logquarry.llm.common import connected_components, small_side, stored, thrifty
 from logquarry.llm.links import forest
 
 SHINGLE_WORDS = 3
@@ -30,6 +30,8 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 GENERATOR = 0b110001110101
 # Fingerprints filed under one key and compared by one task at a time; fuller keys are split.
 BLOCK = 2048
+# Fingerprints that one task files and looks up.
+EXPANDED = 5000
 # Pairs compared at once.
 CHUNK = 2_000_000
 # Name that no column of documents has.
@@ -59,10 +61,11 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 def fingerprint_of(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """The fingerprint of a whole text as a signed 64-bit number."""
 
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(x, words) for x in texts], dtype=np.uint64).view(np.int64))
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(x, words) for x in texts], dtype=np.uint64).view(np.int64))
 
-    return F.pandas_udf(of, "long")(text.cast("string"))
+    return F.pandas_udf(thrifty(of), "long")(text.cast("string"))
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -141,7 +144,7 @@ def _keyed(fps: DataFrame, probes: bool | None = None) -> DataFrame:
                 chosen = slice(None) if probes is None else probe == probes
                 yield pd.DataFrame({"key": key[chosen], "fp": fp.view(np.int64)[chosen], "probe": probe[chosen]})
 
-    return fps.mapInPandas(of, "key long, fp long, probe boolean")
+    return fps.mapInPandas(thrifty(of), "key long, fp long, probe boolean")
 
 
 def fingerprint_links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
@@ -196,7 +199,7 @@ def fingerprint_links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
                 yield pd.DataFrame({"src": np.concatenate(lefts), "dst": np.concatenate(rights)})
 
     ordered = keyed.select("key", "block", "probe", "fp").repartition("key", "block")
-    return ordered.sortWithinPartitions("key", "block", "probe", "fp").mapInPandas(compare, "src long, dst long")
+    return ordered.sortWithinPartitions("key", "block", "probe", "fp").mapInPandas(thrifty(compare), "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
@@ -207,11 +210,15 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int
     only ids that are not null name a component; other columns are ignored; an empty table gives no rows.
     """
     rows = stored(fingerprints(docs, words), "simhash-fingerprints")
-    links = fingerprint_links(rows.select("fp").distinct(), most_bits)
+    different = stored(rows.select("fp").distinct(), "simhash-different")
+    # Every fingerprint becomes some 80 rows: as many tasks as these ask for, however small the fingerprints are.
+    links = fingerprint_links(different.repartition(max(1, -(-different.count() // EXPANDED)), "fp"), most_bits)
     groups = connected_components(links, "simhash-components").select(F.col("id").alias("fp"), F.col("component").alias("class"))
-    classed = rows.join(groups, "fp", "left").withColumn("class", F.coalesce("class", "fp"))
-    smallest = classed.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return classed.join(smallest, "class").select("doc_id", _digits(F.col("fp")).alias("fingerprint"), "component_id")
+    classed = stored(rows.join(groups, "fp", "left").withColumn("class", F.coalesce("class", "fp")), "simhash-classes")
+    # Only classes of several rows have another one first; few, or joined as tables that can be split at a hot class.
+    smallest = classed.groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = classed.join(small_side(stored(smallest.select("class", "first"), "simhash-firsts")), "class", "left")
+    return found.select("doc_id", _digits(F.col("fp")).alias("fingerprint"), F.coalesce("first", "doc_id").alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
