@@ -2,8 +2,8 @@
 
 Every turn becomes one segment `<|role|>text</s>\\n`; a conversation's formatted text is its segments in order. Every
 assistant turn is an example of its own: all segments before it are context, and only its text is under the loss mask.
-Contexts are prefixes of one another, so a segment is stored once, with its place in the formatted text, and an example
-is the prefix that ends with its segment. `render_examples` writes the examples out.
+`format_turns` gives the segments with their places, `render_examples` writes every example out with its whole context,
+and `read_back` parses what was written.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 CONTROL = re.compile(r"\\|<(?=\||/?s>|</?SYS>>)|\|(?=>)|\[(?=/?INST\])")
 SEGMENT = re.compile(r"<\|(.*?)\|>(.*?)</s>\n", re.DOTALL)
 ASSISTANT = "assistant"
+# Characters of the examples that leave a task together.
+CHARS = 4_000_000
 
 SEGMENTS = (
     "conv_id long, position long, role string, segment string, start long, end long, "
@@ -80,29 +82,49 @@ def format_turns(turns: DataFrame, trained_role: str = ASSISTANT) -> DataFrame:
 def render_examples(segments: DataFrame) -> DataFrame:
     """Rows (conv_id, example, context, reply, loss_start, loss_end), straight from `format_turns`.
 
-    The size is that of all prefixes, so it grows with the square of a conversation's length.
+    A row per trained turn, all segments before it written out as its context, so the size grows with the square of a
+    conversation's length; the context is carried along in the task, and rows leave it in batches of bounded size. What
+    follows a conversation's last trained turn is a row without example and context. An empty table gives no rows.
     """
     schema = "conv_id long, example long, context string, reply string, loss_start long, loss_end long"
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        context = ""
+        rows, held = [], 0
+        conv_id, before, after = None, [], []
         for batch in batches:
             for conv, position, segment, example, start, end in zip(
                 *(batch[c] for c in ("conv_id", "position", "segment", "example", "loss_start", "loss_end"))
             ):
-                context = "" if position == 0 else context
-                if not pd.isna(example):
-                    row = [None if pd.isna(conv) else int(conv), int(example), context, segment, int(start), int(end)]
-                    yield _frame([row], schema)
-                context += segment
+                if position == 0:
+                    if after:
+                        rows.append([conv_id, None, "", "".join(after), None, None])
+                        held += len(rows[-1][3])
+                    conv_id, before, after = None if pd.isna(conv) else int(conv), [], []
+                if pd.isna(example):
+                    after.append(segment)
+                else:
+                    before = ["".join((*before, *after))]
+                    rows.append([conv_id, int(example), before[0], segment, int(start), int(end)])
+                    held += len(before[0]) + len(segment)
+                    before.append(segment)
+                    after = []
+                if held >= CHARS:
+                    yield _frame(rows, schema)
+                    rows, held = [], 0
+        if after:
+            rows.append([conv_id, None, "", "".join(after), None, None])
+        if rows:
+            yield _frame(rows, schema)
 
     return segments.mapInPandas(examples, schema)
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """One row per conversation, parsed from the formatted segments and the loss spans alone.
+def read_back(examples: DataFrame) -> DataFrame:
+    """One row per conversation, parsed from the examples written out, straight from `render_examples`.
 
-    `formatted_chars` counts all examples written out, context and reply, and what follows the last reply.
+    Every example must begin with the whole example before it; what it adds is parsed, and its loss text is cut out of it
+    by its span. `formatted_chars` counts all examples, context and reply, and what follows the last reply. An empty
+    table gives no rows.
     """
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long"
 
@@ -110,39 +132,41 @@ def read_back(segments: DataFrame) -> DataFrame:
         current = None
         for batch in batches:
             done = []
-            for conv, position, segment, start, end, loss_start, loss_end in zip(
-                *(batch[c] for c in ("conv_id", "position", "segment", "start", "end", "loss_start", "loss_end"))
+            for conv, example, context, reply, start, end in zip(
+                *(batch[c] for c in ("conv_id", "example", "context", "reply", "loss_start", "loss_end"))
             ):
-                if position == 0:
+                conv, trained = None if pd.isna(conv) else int(conv), not pd.isna(example)
+                if current is None or conv != current["conv"]:
                     if current is not None:
                         done.append(finished(current))
                     current = {
-                        "conv": None if pd.isna(conv) else int(conv), "turns": 0, "all": hashlib.sha256(),
-                        "loss": hashlib.sha256(), "loss_chars": 0, "formatted": 0, "rest": 0, "examples": 0,
+                        "conv": conv, "turns": 0, "all": hashlib.sha256(), "loss": hashlib.sha256(),
+                        "loss_chars": 0, "formatted": 0, "examples": 0, "known": "",
                     }
-                role, text = (unescape(x) for x in SEGMENT.fullmatch(segment).groups())
-                current["turns"] += 1
-                current["all"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                current["rest"] += len(segment)
-                if not pd.isna(loss_start):
-                    under = unescape(segment[int(loss_start) - int(start) : int(loss_end) - int(start)])
+                text = context + reply
+                known = current["known"] if trained else ""
+                if not text.startswith(known):
+                    raise ValueError(f"Example {example} of conversation {conv} does not go on from the one before")
+                for segment in SEGMENT.finditer(text, len(known)):
+                    role, said = (unescape(x) for x in segment.groups())
+                    current["turns"] += 1
+                    current["all"].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+                current["formatted"] += len(text)
+                if trained:
+                    under = unescape(text[int(start) : int(end)])
                     current["loss"].update(under.encode("utf-8", "surrogatepass"))
                     current["loss_chars"] += len(under)
                     current["examples"] += 1
-                    current["formatted"] += int(end)
-                    current["rest"] = 0
+                    current["known"] = text
             if done:
                 yield _frame(done, schema)
         if current is not None:
             yield _frame([finished(current)], schema)
 
     def finished(x: dict) -> list:
-        return [
-            x["conv"], x["turns"], x["all"].hexdigest(), x["loss_chars"], x["loss"].hexdigest(),
-            x["formatted"] + x["rest"], x["examples"],
-        ]
+        return [x["conv"], x["turns"], x["all"].hexdigest(), x["loss_chars"], x["loss"].hexdigest(), x["formatted"], x["examples"]]
 
-    return segments.mapInPandas(digests, schema)
+    return examples.mapInPandas(digests, schema)
 
 
 def _frame(rows: list[list], schema: str) -> pd.DataFrame:

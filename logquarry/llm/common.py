@@ -58,9 +58,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast if it has at most `rows` rows. `df` should be stored, as it is counted here."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column | None = None) -> DataFrame:
+    """`df` marked for broadcast if it has at most `rows` rows, and as many `items` (a number per row) altogether where
+    rows hold arrays. `df` should be stored, as it is counted here."""
+    small = df.limit(rows + 1).count() <= rows
+    if small and items is not None:
+        small = (df.agg(F.sum(items)).first()[0] or 0) <= rows
+    return F.broadcast(df) if small else df
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of `df` as one struct column `row`, so that no name of theirs can clash with a working column."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def columns_of(df: DataFrame, **replaced: Column) -> list[Column]:
+    """The columns of `df` out of the struct column `row`, those named replaced."""
+    return [replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in df.columns]
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "left") -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import small_side, stored, thrifty
+from logquarry.llm.common import columns_of, small_side, stored, thrifty, whole_row
 
 LANGUAGES = ("de", "en", "es", "fr")
 # A further class for texts in none of them: every trigram is as likely as any other.
@@ -161,15 +161,17 @@ def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Co
 
     `declared`, `host`, `domain` and `suffix` may be null, which is no evidence. A row is accepted if its text has
     letters, its best class is a language and that has a posterior of at least 0.5; without letters its language is
-    null. Null and empty texts are not accepted. A host must determine its domain, a domain its suffix.
+    null. Null and empty texts are not accepted. A host must determine its domain, a domain its suffix. Repeated rows are
+    judged alike and each counts for its host; of equal posteriors the first class in order wins; an empty table gives
+    no rows.
     """
     classes = (*model.languages, OTHER)
     known = F.lower(F.split(declared.cast("string"), "[-_]")[0])
     said = F.when(known == "", None).when(known.isin(*model.languages), known).when(known.isNotNull(), F.lit(OTHER))
-    scored = docs.withColumns({
-        "_id_text": text_evidence(text, model, docs), "_id_said": said, "_id_host": host.cast("string"),
-        "_id_domain": domain.cast("string"), "_id_suffix": suffix.cast("string"),
-    })
+    scored = docs.select(
+        whole_row(docs), text_evidence(text, model, docs).alias("_id_text"), said.alias("_id_said"), host.cast("string").alias("_id_host"),
+        domain.cast("string").alias("_id_domain"), suffix.cast("string").alias("_id_suffix"),
+    )
     names = [f"_id_p{i}" for i in range(len(classes))]
     seen = scored.where(F.col("_id_text.log").isNotNull())
     # Sums of the texts' posteriors per host and declaration; all other levels are sums of these.
@@ -203,7 +205,7 @@ def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Co
     inputs = [c for tag in levels for c in (f"_id_n_{tag}", f"_id_sum_{tag}")]
     joined = joined.withColumn("_id_found", fuse("_id_text.log", "_id_text.alone", "_id_said", "_id_host", *inputs))
     added = {"language": "language", "language_score": "score", "language_by_text": "by_text", "language_accepted": "accepted"}
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    kept = columns_of(docs.drop(*added))
     return joined.select(*kept, *[F.col(f"_id_found.{v}").alias(k) for k, v in added.items()])
 
 
@@ -229,13 +231,18 @@ def document_languages(docs: DataFrame, model: LanguageModel | None = None) -> D
 
 
 def page_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
-    """Web pages with their language, from the text outside of tags, the declared language and the address."""
-    found = identified(page_evidence(pages), model, F.col("_text"), F.col("_declared"), F.col("_host"), F.col("_domain"), F.col("_suffix"))
-    return found.drop("_text", "_host", "_domain", "_suffix").withColumnRenamed("_declared", "declared")
+    """Web pages with their language, from the text outside of tags, the declared language and the address.
+
+    A column `declared` is added or replaced. A null or empty page has no language; a null or odd address is no evidence;
+    repeated rows, ties and an empty table as in `identified`.
+    """
+    evidence = page_evidence(pages.select(whole_row(pages), F.col("html").alias("html"), F.col("url").alias("url")))
+    found = identified(evidence, model, F.col("_text"), F.col("_declared"), F.col("_host"), F.col("_domain"), F.col("_suffix"))
+    added = ["language", "language_score", "language_by_text", "language_accepted"]
+    return found.select(*columns_of(pages.drop("declared", *added)), F.col("_declared").alias("declared"), *added)
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows whose language is not accepted; columns as they were."""
-    found = document_languages(docs.withColumns({f"_in_{c}": F.col(f"`{c}`") for c in docs.columns if c.startswith("language")}))
-    kept = found.where("language_accepted")
-    return kept.select(*[F.col(f"`_in_{c}`").alias(c) if c.startswith("language") else F.col(f"`{c}`") for c in docs.columns])
+    """`docs` without the rows whose language is not accepted, null and empty texts among them; columns as they were."""
+    rows = docs.select(whole_row(docs), F.col("text").alias("text"), F.col("lang").alias("lang"), F.col("source").alias("source"))
+    return document_languages(rows).where("language_accepted").select(*columns_of(docs))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logquarry.llm.common import small_side, stored
+from logquarry.llm.common import columns_of, small_side, stored, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -136,8 +136,13 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, all columns kept."""
+    """The rows of `docs` as often as the mix takes them, all columns kept whatever their names.
+
+    A null or empty text has size 0; it is taken as its hash says, and costs no words. Null sources are one source. No
+    two documents tie but rows equal in doc_id and text, which are taken or left together; an empty table gives no rows.
+    """
     _, plan = mixing_plan(docs, **options)
     hashed = document_hash(F.col("doc_id"), F.col("text").cast("string"))
-    times = F.array_repeat(F.lit(0), _times(hashed).cast("int"))
-    return _with_plan(docs, plan).withColumn("_mix_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole_row(docs), F.col("source").alias("source"), hashed.alias("hash"))
+    times = F.array_repeat(F.lit(0), _times(F.col("hash")).cast("int"))
+    return _with_plan(rows, plan).select("row", F.explode(times)).select(*columns_of(docs))

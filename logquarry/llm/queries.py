@@ -22,7 +22,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], turns.schema)
-    return chat.read_back(chat.format_turns(turns.unionByName(added)))
+    return chat.read_back(chat.render_examples(chat.format_turns(turns.unionByName(added))))
 
 
 @query("op3_best_fit_packing")

@@ -19,8 +19,10 @@ from logquarry.llm.links import forest
 
 THRESHOLD = 0.98
 SEED = 7
-# Vectors of a block; two blocks meet in one task.
-BLOCK = 1024
+# Vectors of a block; two blocks meet in one task, so a vector is sent once per block of its label.
+BLOCK = 8192
+# Vectors compared with a block at once.
+STEP = 512
 # Candidate pairs recomputed at once.
 CHUNK = 50_000
 # Slack for the estimates' single precision.
@@ -78,8 +80,11 @@ def usable(vectors: DataFrame) -> DataFrame:
     """Distinct rows (vec_id, label, embedding as doubles, dim) that can link with anything."""
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    length = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
-    plain = plain.where("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL").where(finite).where(length > 0)
+    largest = F.array_max(F.transform("embedding", F.abs))
+    plain = plain.where("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL").where(finite).where(largest > 0)
+    # Divided by a power of two, so that no square is too large or too small and no other bit changes.
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(largest)))
+    plain = plain.withColumn("unit", unit).withColumn("embedding", F.transform("embedding", lambda x: x / F.col("unit"))).drop("unit")
     return plain.dropDuplicates().withColumn("dim", F.size("embedding"))
 
 
@@ -106,17 +111,22 @@ def vector_links(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
         factors = table["factor"].to_numpy()
         first = np.flatnonzero(side)
         second = first if low == table["high"][0].as_py() else np.flatnonzero(~side)
-        found = estimates(values[first] / lengths[first, None], codes[second], factors[second])
-        rows_at, cols_at = np.nonzero(found >= threshold - margins(factors[second], d, threshold, deviations)[None, :])
-        a, b = first[rows_at], second[cols_at]
-        if low == table["high"][0].as_py():
-            a, b = a[a < b], b[a < b]
-        a, b = a[ids[a] != ids[b]], b[ids[a] != ids[b]]
-        kept = np.zeros(len(a), dtype=bool)
-        for at in range(0, len(a), CHUNK):
-            x, y = a[at : at + CHUNK], b[at : at + CHUNK]
-            kept[at : at + CHUNK] = np.einsum("ij,ij->i", values[x], values[y]) / (lengths[x] * lengths[y]) >= threshold
-        left, right = ids[a[kept]], ids[b[kept]]
+        reach = threshold - margins(factors[second], d, threshold, deviations)[None, :]
+        lefts, rights = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(first), STEP):
+            part = first[at : at + STEP]
+            rows_at, cols_at = np.nonzero(estimates(values[part] / lengths[part, None], codes[second], factors[second]) >= reach)
+            a, b = part[rows_at], second[cols_at]
+            if second is first:
+                a, b = a[a < b], b[a < b]
+            a, b = a[ids[a] != ids[b]], b[ids[a] != ids[b]]
+            for start in range(0, len(a), CHUNK):
+                x, y = a[start : start + CHUNK], b[start : start + CHUNK]
+                near = np.einsum("ij,ij->i", values[x], values[y]) / (lengths[x] * lengths[y]) >= threshold
+                lefts.append(x[near])
+                rights.append(y[near])
+        a, b = np.concatenate(lefts), np.concatenate(rights)
+        left, right = ids[a], ids[b]
         nodes, roots = forest(left, right)
         counts = np.bincount(np.searchsorted(nodes, np.concatenate([left, right])), minlength=len(nodes))
         return pa.table({"vec_id": nodes.astype(np.int64), "n": counts.astype(np.int64), "root": roots.astype(np.int64)})

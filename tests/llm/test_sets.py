@@ -380,3 +380,42 @@ def test_pipeline_stages_by_brute_force(spark, sf_dir):
     last = pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     assert len(last) == docs.count() and all(r.n_tokens == len(r.ids) for r in last)
     assert pipeline.run(spark, sf_dir).count() == len(last)
+
+
+# --- names, extremes and recall
+
+CLASHING = ("row", "hash", "doc_key", "gone", "key", "value", "lane", "_id_text", "_id_n_host", "_mix_source", "_mix_copy", "_lines_key", "language", "fp", "class", "first", "component", "declared", "_text")
+
+
+def test_no_column_name_clashes(spark):
+    rng = random.Random(12)
+    words = "der Hund und die Katze laufen heute in den großen Garten weil es regnet und niemand mehr wartet".split()
+    rows = [(i, "\n".join(" ".join(rng.choices(words, k=14)) for _ in range(3)), "de", f"s{i % 3}", 7, *["kept"] * len(CLASHING)) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING))
+    for operator in (language.accepted_documents, lines.without_repeated_lines, simhash.without_near_duplicates, mixing.mixed):
+        found = operator(frame)
+        assert found.columns == frame.columns
+        out = found.collect()
+        assert out and all(r[c] == "kept" for r in out for c in CLASHING)
+    pages = frame.selectExpr("doc_id AS page_id", "concat('<html lang=de>', text) AS html", "'http://a.b.de/x' AS url", *CLASHING)
+    out = language.page_languages(pages, language.fit(frame)).collect()
+    assert out and all(r.declared == "de" and r._id_text == "kept" and r.row == "kept" for r in out)
+
+
+def test_vectors_of_any_size_link(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [1e-200, 0.0], 1), (3, [1e200, 0.0], 2), (4, [2e200, 1.0], 2), (5, [5e-324, 0.0], 1), (6, [0.0, 0.0], 1)]
+    found = {r.vec_id: r.component_id for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 3, 5: 1, 6: 6}
+
+
+def test_templated_lines_are_tied(spark):
+    """Lines that share a template fill buckets with lines below the threshold; nearly all true pairs must still be found."""
+    rng = random.Random(21)
+    names = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(12)]
+    texts = [f"The {rng.choice(names)} department of {rng.choice(names)} was closed on {rng.randrange(28)} {rng.choice(names)} by order of the council of the region" for _ in range(900)]
+    texts = sorted(set(texts))
+    sets = [set(lines.shingle_hashes([x])[0].tolist()) for x in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(pairs) > 50
+    found = {r.doc_id: (r.first_doc_id, r.first_line_no) for r in lines.line_groups(table(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert sum(found[i] == found[j] for i, j in pairs) >= 0.99 * len(pairs)
