@@ -19,8 +19,10 @@ ARROW_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
 }
-# A side of a join is broadcast up to this many rows, counted first; beyond it both sides are shuffled.
+# A side of a join is broadcast up to this many rows, and this many numbers in their arrays, counted first; beyond it both
+# sides are shuffled.
 BROADCAST_ROWS = 200_000
+BROADCAST_ITEMS = 2_000_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -59,11 +61,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column | None = None) -> DataFrame:
-    """`df` marked for broadcast if it has at most `rows` rows, and as many `items` (a number per row) altogether where
-    rows hold arrays. `df` should be stored, as it is counted here."""
+    """`df` marked for broadcast if it has at most `rows` rows, and BROADCAST_ITEMS `items` (a number per row) altogether
+    where rows hold arrays. `df` should be stored, as it is counted here."""
     small = df.limit(rows + 1).count() <= rows
     if small and items is not None:
-        small = (df.agg(F.sum(items)).first()[0] or 0) <= rows
+        small = (df.agg(F.sum(items)).first()[0] or 0) <= BROADCAST_ITEMS
     return F.broadcast(df) if small else df
 
 

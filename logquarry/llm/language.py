@@ -104,33 +104,41 @@ def text_evidence(text: Column, model: LanguageModel, docs: DataFrame) -> Column
     shared = docs.sparkSession.sparkContext.broadcast(model.table)  # buckets x languages numbers
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        letters, table = letter_table(), shared.value
+        letters = letter_table()
         for texts in batches:
-            scores, alone = [], []
-            for value in texts:
-                found = grams(value, letters)
-                total = np.zeros((1, table.shape[1]))
-                for at in range(0, len(found), CHUNK):
-                    total += table[found[at : at + CHUNK]].sum(axis=0, dtype=np.float64)
-                total *= FULL_EVIDENCE / (len(found) + FULL_EVIDENCE)
-                scores.append(total[0] if len(found) else None)
-                alone.append(shares(total)[0] if len(found) else None)
-            yield pd.DataFrame({"log": pd.Series(scores, dtype=object), "alone": pd.Series(alone, dtype=object)})
+            yield _evidence(texts, letters, shared.value)
 
     return F.pandas_udf(thrifty(of), "log array<double>, alone array<double>")(text)
 
 
+def _evidence(texts: pd.Series, letters: np.ndarray, table: np.ndarray) -> pd.DataFrame:
+    scores, alone = [], []
+    for value in texts:
+        found = grams(value, letters)
+        total = np.zeros((1, table.shape[1]))
+        for at in range(0, len(found), CHUNK):
+            total += table[found[at : at + CHUNK]].sum(axis=0, dtype=np.float64)
+        total *= FULL_EVIDENCE / (len(found) + FULL_EVIDENCE)
+        scores.append(total[0] if len(found) else None)
+        alone.append(shares(total)[0] if len(found) else None)
+    return pd.DataFrame({"log": pd.Series(scores, dtype=object), "alone": pd.Series(alone, dtype=object)})
+
+
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
     """Arrays as rows of numbers; null ones as zeros."""
     return np.array([np.zeros(width) if x is None else x for x in rows], dtype=np.float64).reshape(len(rows), width)
 
 
-def fused(classes: tuple[str, ...], base: list[float], reliability: dict[str, list[float]], levels: tuple[str, ...]):
-    """Function of a row's text evidence, declaration and the sums of its suffix, domain and host."""
+def fused(model: LanguageModel, docs: DataFrame, classes: tuple[str, ...], base: list[float], reliability: dict[str, list[float]]):
+    """Function of a row's text, declaration, host and the counts and sums of its suffix, domain and host.
+
+    The text's evidence is found once more in here: a task that took it from another function would need two workers.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.table)
     log_said = {d: np.log(v) for d, v in reliability.items()}
     first = np.array(base)
 
-    def of(log: pd.Series, alone: pd.Series, said: pd.Series, host: pd.Series, *sums: pd.Series) -> pd.DataFrame:
+    def fuse(log: pd.Series, alone: pd.Series, said: pd.Series, host: pd.Series, *sums: pd.Series) -> pd.DataFrame:
         k = len(classes)
         own = _matrix(alone, k) * host.notna().to_numpy()[:, None]
         counted = (own.sum(axis=1) > 0).astype(np.float64)[:, None]
@@ -153,7 +161,13 @@ def fused(classes: tuple[str, ...], base: list[float], reliability: dict[str, li
             "accepted": letters & (best < k - 1) & (score >= LEAST_POSTERIOR),
         })
 
-    return F.pandas_udf(of, "language string, score double, by_text string, accepted boolean")
+    def of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        letters = letter_table()
+        for texts, *others in batches:
+            evidence = _evidence(texts, letters, shared.value)
+            yield fuse(evidence["log"], evidence["alone"], *others)
+
+    return F.pandas_udf(thrifty(of), "language string, score double, by_text string, accepted boolean")
 
 
 def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Column, host: Column, domain: Column, suffix: Column) -> DataFrame:
@@ -168,12 +182,12 @@ def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Co
     classes = (*model.languages, OTHER)
     known = F.lower(F.split(declared.cast("string"), "[-_]")[0])
     said = F.when(known == "", None).when(known.isin(*model.languages), known).when(known.isNotNull(), F.lit(OTHER))
-    scored = docs.select(
-        whole_row(docs), text_evidence(text, model, docs).alias("_id_text"), said.alias("_id_said"), host.cast("string").alias("_id_host"),
+    said_of, host_of = said.alias("_id_said"), host.cast("string").alias("_id_host")
+    seen = docs.select(
+        text_evidence(text, model, docs).alias("_id_text"), said_of, host_of,
         domain.cast("string").alias("_id_domain"), suffix.cast("string").alias("_id_suffix"),
-    )
+    ).where(F.col("_id_text.log").isNotNull())
     names = [f"_id_p{i}" for i in range(len(classes))]
-    seen = scored.where(F.col("_id_text.log").isNotNull())
     # Sums of the texts' posteriors per host and declaration; all other levels are sums of these.
     per_host = stored(
         seen.groupBy("_id_host", "_id_domain", "_id_suffix", "_id_said").agg(
@@ -200,10 +214,11 @@ def identified(docs: DataFrame, model: LanguageModel, text: Column, declared: Co
         hosts = hosts.join(level(tag), f"_id_{tag}", "left")
     hosts = stored(hosts.drop("_id_domain", "_id_suffix"), "language-priors")
 
-    joined = scored.join(small_side(hosts), "_id_host", "left")
-    fuse = fused(classes, [t / sum(total) for t in total], reliability, levels)
+    rows = docs.select(whole_row(docs), text.alias("_id_text"), said_of, host_of)
+    joined = rows.join(small_side(hosts), "_id_host", "left")
+    fuse = fused(model, docs, classes, [t / sum(total) for t in total], reliability)
     inputs = [c for tag in levels for c in (f"_id_n_{tag}", f"_id_sum_{tag}")]
-    joined = joined.withColumn("_id_found", fuse("_id_text.log", "_id_text.alone", "_id_said", "_id_host", *inputs))
+    joined = joined.withColumn("_id_found", fuse("_id_text", "_id_said", "_id_host", *inputs))
     added = {"language": "language", "language_score": "score", "language_by_text": "by_text", "language_accepted": "accepted"}
     kept = columns_of(docs.drop(*added))
     return joined.select(*kept, *[F.col(f"_id_found.{v}").alias(k) for k, v in added.items()])
