@@ -1,38 +1,38 @@
 """Embedding hook and vector top-k, exact and approximate.
 
-Exact search is a blocked product. Corpus and questions are packed into blocks of vectors per routing key
-(domain or cell), blocks with the same key meet in a join, and each task keeps only the k best rows per
-question over all its blocks. So the number of (question, vector) pairs never becomes a number of rows.
+Exact search is a blocked product. Questions travel to the tasks in shards of measured size; each task multiplies its
+part of the corpus, as it streams by, with the question blocks of the rows' keys (domain or cell) and keeps only the k best
+rows per question. So the corpus is neither shuffled nor joined, crosses into Python once per shard, and the number of
+(question, vector) pairs never becomes a number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from logquarry.fixed_values import SEED, VECTOR_DIM
+from logquarry.session import shared_dir
 
 ANY = "*"
-CORPUS_BLOCK = 1024
 QUESTION_BLOCK = 256
-# Question blocks are broadcast up to this many bytes of vectors; beyond it the blocks are shuffled.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Tasks that share one hot key in the shuffle join, at least; each costs one more copy of the question blocks.
-SALTS = 128
-# Bytes of corpus vectors a task of one hot key gets: a larger corpus is dealt over more salts.
-SALT_BYTES = 256 * 1024 * 1024
-# Numbers a task holds for open question blocks before it hands on what it has found and starts anew.
-KEPT_SLOTS = 32 * 1024 * 1024
+# Bytes of question vectors in one shard: larger question sets pass over the corpus once per shard.
+BROADCAST_BYTES = 32 * 1024 * 1024
+# Up to this many asked keys the corpus is filtered to them, which prunes a corpus partitioned by its key.
+MAX_PRUNED_KEYS = 100_000
 # Pairs measured exactly in one step.
 PAIRS_AT_ONCE = 65_536
 # Up to this many asked domains the corpus is filtered to them before it is packed.
@@ -82,57 +82,6 @@ def _without_spare_copies(ids: np.ndarray, vectors: np.ndarray, n: int) -> np.nd
     return np.sort(order[np.arange(len(order)) - starts < n])
 
 
-def _pack(
-    df: DataFrame, ident: str, vector: str, keys: list[str], prefix: str, size: int, copies: int | None = None
-) -> DataFrame:
-    """Blocks of up to `size` vectors with equal `keys`, made within each partition: no shuffle.
-
-    With `copies`, of equal vectors in a batch only as many as that are packed (see above).
-    """
-    rows = df.where(F.col(vector).isNotNull()).select(
-        *keys, F.col(ident).cast("bigint").alias("ident"), F.col(vector).cast("array<float>").alias("vector")
-    )
-    schema = ", ".join(
-        [f"`{k}` {t}" for k, t in rows.dtypes if k in keys]
-        + [f"{prefix}_ids array<bigint>", f"{prefix}_vectors array<float>"]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            order = [(k, "ascending") for k in keys]
-            table = table.sort_by(order).combine_chunks() if keys else table
-            marks = table.select(keys).to_pandas() if keys else pd.DataFrame(index=range(table.num_rows))
-            starts = [0]
-            if keys:
-                same = marks.eq(marks.shift()) | (marks.isna() & marks.shift().isna())
-                starts = np.flatnonzero(~same.all(axis=1).to_numpy())
-            ends = [*starts[1:], table.num_rows]
-            ids = np.asarray(table.column("ident").combine_chunks())
-            flat = table.column("vector").combine_chunks()
-            if flat.null_count or len(set(np.diff(flat.offsets))) > 1:
-                raise ValueError("Vectors of one batch differ in length")
-            vectors = np.asarray(flat.flatten()).reshape(len(ids), -1)
-            for start, end in zip(starts, ends):
-                taken = np.arange(start, end)
-                if copies is not None:
-                    taken = taken[_without_spare_copies(ids[taken], vectors[taken], copies)]
-                for low in range(0, len(taken), size):
-                    block = taken[low : low + size]
-                    columns = [table.column(k).slice(start, 1).combine_chunks() for k in keys]
-                    columns += [
-                        pa.array([ids[block]], type=pa.list_(pa.int64())),
-                        pa.array([vectors[block].ravel()], type=pa.list_(pa.float32())),
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        columns, names=[*keys, f"{prefix}_ids", f"{prefix}_vectors"]
-                    )
-
-    return rows.mapInArrow(run, schema)
-
-
 class _Nearest:
     """The n nearest vectors so far of each question of one block: squared distances and ids, sorted, ties by id."""
 
@@ -177,72 +126,125 @@ def vector_bytes(vector: str) -> Column:
     return F.sum(F.size(vector).cast("bigint") * 4)
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray, what: str) -> np.ndarray:
+    """Vectors of one length with finite numbers as rows of single precision."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = np.unique(np.diff(np.asarray(flat.offsets)))
+    if len(lengths) > 1:
+        raise ValueError(f"{what} vectors differ in length")
+    numbers = flat.flatten()
+    found = np.asarray(numbers.to_numpy(zero_copy_only=False), dtype=np.float32).reshape(len(flat), -1)
+    if numbers.null_count or not np.isfinite(found).all():
+        raise ValueError(f"{what} vectors hold numbers that are null or not finite")
+    return found
+
+
+def _question_blocks(shard: DataFrame, key: str | None, question_vector: str) -> dict:
+    """Per key, blocks (ids, vectors, n) of a shard's questions; the shard's size has been measured."""
+    names = [*([key] if key else []), "question_id", question_vector, "n"]
+    rows = shard.select(*[F.col(f"`{c}`") for c in names]).toArrow()
+    vectors = _matrix(rows[question_vector], "Question") if rows.num_rows else np.zeros((0, 1), dtype=np.float32)
+    ids, limits = rows["question_id"].to_numpy(), rows["n"].to_numpy()
+    keys = rows[key].to_pylist() if key else [None] * rows.num_rows
+    places: dict = {}
+    for place, of in enumerate(zip(keys, limits.tolist())):
+        places.setdefault(of, []).append(place)
+    blocks: dict = {}
+    for (value, n), found in places.items():
+        for at in range(0, len(found), QUESTION_BLOCK):
+            part = found[at : at + QUESTION_BLOCK]
+            blocks.setdefault(value, []).append((ids[part], vectors[part], n))
+    return blocks
+
+
+def _scan(corpus: DataFrame, blocks: dict, key: str | None, ident: str, vector: str, key_type: str) -> DataFrame:
+    """One pass over the corpus: each task's nearest vectors per question of one shard."""
+    rows = corpus.where(F.col(vector).isNotNull())
+    several = key is not None and dict(corpus.dtypes)[key].startswith("array")
+    if key is not None and not several and len(blocks) <= MAX_PRUNED_KEYS:
+        rows = rows.where(F.col(key).isin([k for k in blocks if k is not None]))
+    columns = [F.col(ident).cast("bigint").alias("ident"), F.col(vector).cast("array<float>").alias("vector")]
+    rows = rows.select(*([F.col(key).alias("key")] if key else []), *columns)
+    most = max((n for of in blocks.values() for _, _, n in of), default=0)
+    dim = next((vectors.shape[1] for of in blocks.values() for _, vectors, _ in of), None)
+    shared = corpus.sparkSession.sparkContext.broadcast(blocks)
+
+    def members(batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
+        """The keys that are asked for, with the places of their rows."""
+        if key is None:
+            yield None, np.arange(batch.num_rows)
+            return
+        column, owner = batch["key"], np.arange(batch.num_rows)
+        if several:
+            owner, column = np.asarray(pc.list_parent_indices(column)), pc.list_flatten(column)
+        coded = pc.dictionary_encode(column)
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        for code, value in enumerate(coded.dictionary.to_pylist()):
+            if value in shared.value:
+                yield value, np.unique(owner[codes == code])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict = {}
+        for batch in batches:
+            if not batch.num_rows or dim is None:
+                continue
+            vectors, ids = _matrix(batch["vector"], "Corpus"), np.asarray(batch["ident"])
+            if vectors.shape[1] != dim:
+                raise ValueError(f"Question vectors have {dim} numbers, corpus vectors {vectors.shape[1]}")
+            for value, places in members(batch):
+                places = places[_without_spare_copies(ids[places], vectors[places], most)]
+                part = vectors[places].astype(np.float64)
+                norms = (part**2).sum(1)
+                if value not in kept:
+                    kept[value] = [_Nearest(q_ids, q.astype(np.float64), n) for q_ids, q, n in shared.value[value]]
+                for nearest in kept[value]:
+                    nearest.see(ids[places], part, norms)
+        for value, of in kept.items():
+            for nearest in of:
+                question_ids, found, distance = nearest.found()
+                columns = [pa.array(question_ids, pa.int64()), pa.array(found, pa.int64()), pa.array(distance), pa.array(np.full(len(found), nearest.n), pa.int32())]
+                names = ["question_id", "id", "score", "n"]
+                if key is not None:
+                    columns, names = [pa.array([value] * len(found), key_arrow), *columns], ["key", *names]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    key_arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[key_type]
+    schema = f"key {key_type}, " * (key is not None) + "question_id bigint, id bigint, score double, n int"
+    found = rows.mapInArrow(run, schema)
+    return found if key is None else found.withColumnRenamed("key", key)
+
+
 def knn_candidates(
-    corpus: DataFrame, questions: DataFrame, keys: list[str], ident: str = "id", vector: str = "embedding",
+    corpus: DataFrame, questions: DataFrame, key: str | None = None, ident: str = "id", vector: str = "embedding",
     question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
-    most: int | None = None, salts: int | None = None,
 ) -> DataFrame:
-    """(keys, question_id, id, score, n): for each question row, at least its `n` nearest vectors with equal keys.
+    """(key, question_id, id, score, n): for each question row, at least its `n` nearest vectors with an equal key.
 
-    `questions` holds (keys, question_id, q, n). Each task gives its n best per question, so the result is a
-    superset that the caller ranks. Small question sets are broadcast (their size is measured first) and the corpus is
-    not shuffled; large ones meet the corpus in a shuffle join spread over salts, so that one hot key is
-    shared by many tasks; without `salts` their number follows the corpus's size.
+    `questions` holds (key, question_id, q, n); without `key` every question meets every vector. The corpus's key may be
+    an array: the row then has each of its names. Each task gives its n best per question, so the result is a superset
+    that the caller ranks. The questions' size is measured first; beyond `broadcast_bytes` they are dealt over shards,
+    and what a shard finds is stored before the next one starts. Vectors are neither shuffled nor joined. Null vectors are
+    not searched; vectors of another length, or with numbers that are null or not finite, are an error.
     """
-    questions = questions.withColumn("n", F.col("n").cast("int"))
-    packed_questions = _pack(questions, "question_id", question_vector, [*keys, "n"], "q", QUESTION_BLOCK)
-    if question_bytes is None or most is None:
-        question_bytes, most = questions.agg(vector_bytes(question_vector), F.max("n")).first()
-    packed_corpus = _pack(corpus, ident, vector, keys, "c", CORPUS_BLOCK, copies=most or 0)
-    if (question_bytes or 0) <= broadcast_bytes:
-        pairs = packed_corpus.join(F.broadcast(packed_questions), keys)
-    else:
-        # Every salt holds a copy of the question blocks and its share of each key's corpus blocks. A merge join,
-        # because it spills where a hash table of blocks would have to fit in memory.
-        if salts is None:
-            salts = max(SALTS, (corpus.agg(vector_bytes(vector)).first()[0] or 0) // SALT_BYTES)
-        salted = packed_corpus.withColumn("salt", F.pmod(F.xxhash64("c_ids"), F.lit(salts)).cast("int"))
-        copies = packed_questions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = salted.join(copies.hint("merge"), [*keys, "salt"])
-    columns = [*keys, "n", "q_ids", "q_vectors", "c_ids", "c_vectors"]
-    pairs = pairs.select(*columns)
-    types = dict(pairs.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["question_id bigint", "id bigint", "score double", "n int"])
-
-    names = [*keys, "question_id", "id", "score", "n"]
-
-    def emit(kept: dict) -> Iterator[pa.RecordBatch]:
-        for (values, _), nearest in kept.items():
-            found = nearest.found()
-            repeated = [pa.array([v.as_py()] * len(found[0]), type=v.type) for v in values]
-            limits = pa.array(np.full(len(found[0]), nearest.n, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*repeated, *[pa.array(p) for p in found], limits], names=names)
-        kept.clear()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[tuple, _Nearest] = {}
-        slots = 0
-        for batch in batches:
-            column = {name: batch.column(batch.schema.get_field_index(name)) for name in columns}
-            for i in range(batch.num_rows):
-                q_ids, ids = np.asarray(column["q_ids"][i].values), np.asarray(column["c_ids"][i].values)
-                n = column["n"][i].as_py()
-                block = (tuple(column[k][i] for k in keys), (n, q_ids.tobytes()))
-                if block not in kept:
-                    if slots > KEPT_SLOTS:
-                        yield from emit(kept)
-                        slots = 0
-                    q = np.asarray(column["q_vectors"][i].values).astype(np.float64).reshape(len(q_ids), -1)
-                    kept[block] = _Nearest(q_ids.copy(), q, n)
-                    slots += q.size + 2 * n * len(q_ids)
-                c = np.asarray(column["c_vectors"][i].values).astype(np.float64).reshape(len(ids), -1)
-                dim = kept[block].questions.shape[1]
-                if c.shape[1] != dim:
-                    raise ValueError(f"Question vectors have {dim} numbers, corpus vectors {c.shape[1]}")
-                kept[block].see(ids, c, (c**2).sum(1))
-        yield from emit(kept)
-
-    return pairs.mapInArrow(run, schema)
+    asked = questions.where(F.col(question_vector).isNotNull())
+    asked = asked.withColumns({"n": F.col("n").cast("int"), "question_id": F.col("question_id").cast("bigint")})
+    if question_bytes is None:
+        question_bytes = asked.agg(vector_bytes(question_vector)).first()[0]
+    shards = max(1, -(-(question_bytes or 0) // broadcast_bytes))
+    key_type = dict(asked.dtypes)[key] if key else "string"
+    if shards == 1:
+        return _scan(corpus, _question_blocks(asked, key, question_vector), key, ident, vector, key_type)
+    session, found = corpus.sparkSession, None
+    path = shared_dir(session, f"nearest-{uuid4().hex}")
+    for shard in range(shards):
+        part = asked.where(F.pmod(F.xxhash64("question_id"), F.lit(shards)) == shard)
+        blocks = _question_blocks(part, key, question_vector)
+        if blocks:
+            one = _scan(corpus, blocks, key, ident, vector, key_type)
+            one.write.parquet(f"{path}/{shard}")
+            one = session.read.schema(one.schema).parquet(f"{path}/{shard}")
+            found = one if found is None else found.unionByName(one)
+    return _scan(corpus, {}, key, ident, vector, key_type) if found is None else found
 
 
 def ranked(candidates: DataFrame, group: list[str], k) -> DataFrame:
@@ -252,10 +254,7 @@ def ranked(candidates: DataFrame, group: list[str], k) -> DataFrame:
 
 def knn_global(corpus: DataFrame, questions: DataFrame, k: int = 5, **options) -> DataFrame:
     """(question_id, rank, id, score): the k nearest corpus vectors of each question (question_id, q)."""
-    key = F.lit(ANY)
-    candidates = knn_candidates(
-        corpus.withColumn("_key", key), questions.withColumns({"_key": key, "n": F.lit(k)}), ["_key"], **options
-    )
+    candidates = knn_candidates(corpus, questions.withColumn("n", F.lit(k)), **options)
     return ranked(candidates, ["question_id"], k).select("question_id", "rank", "id", "score")
 
 
@@ -294,16 +293,12 @@ def knn_routed(
     if ANY in asked or subdomains is not None:
         names = F.array(F.col("domain"), F.lit(ANY))
         if ANY not in asked and len(asked) <= MAX_PRUNED_DOMAINS:
+            # On a corpus partitioned by domain this reads the asked folders only.
             corpus = corpus.where(F.col("domain").isin([d.split("#")[0] for d in asked if d is not None]))
-        keyed = corpus.withColumn("_key", F.explode(names if subdomains is None else F.concat(names, subdomains)))
+        keyed = corpus.withColumn("_key", names if subdomains is None else F.concat(names, subdomains))
     else:
         keyed = corpus.withColumn("_key", F.col("domain"))
-    if len(asked) <= MAX_PRUNED_DOMAINS:
-        # On a corpus partitioned by domain this reads the asked folders only.
-        keyed = keyed.where(F.col("_key").isin(asked))
-    candidates = knn_candidates(
-        keyed, routes.withColumn("_key", F.col("domain")), ["_key"], question_bytes=facts.question_bytes, most=most, **options
-    )
+    candidates = knn_candidates(keyed, routes.withColumn("_key", F.col("domain")), "_key", question_bytes=facts.question_bytes, **options)
     # The constant bound lets Spark cut each task's rows before the shuffle; n is the route's own bound.
     best = ranked(candidates, ["question_id", "_key"], most).where(F.col("rank") <= F.col("n"))
     return best.select("question_id", F.col("_key").alias("domain"), "rank", "id", "score")
@@ -325,45 +320,7 @@ def fit_cells(corpus: DataFrame, cells: int, vector: str = "embedding", seed: in
     points = corpus.where(F.col(vector).isNotNull()).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features")
     )
+    if cells < 2:
+        return np.array([points.agg(Summarizer.mean(points["features"]).alias("mean")).first()["mean"].toArray()])
     model = KMeans(k=cells, seed=seed, maxIter=iterations).fit(points)
     return np.array(model.clusterCenters(), dtype=np.float64)
-
-
-def _nearest_cells(centres: np.ndarray, probes: int):
-    @F.pandas_udf("array<int>")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 1))
-        if not len(rows):
-            return pd.Series([], dtype=object)
-        distance = (rows**2).sum(1)[:, None] + (centres**2).sum(1)[None, :] - 2.0 * rows @ centres.T
-        order = np.argsort(distance, axis=1, kind="stable")[:, :probes].astype(np.int32)
-        return pd.Series(list(order))
-
-    return nearest
-
-
-def assign_cells(corpus: DataFrame, centres: np.ndarray, vector: str = "embedding") -> DataFrame:
-    """Corpus with its `cell`; write it partitioned by cell so that a search reads the probed cells only."""
-    known = corpus.where(F.col(vector).isNotNull())
-    return known.withColumn("cell", F.element_at(_nearest_cells(centres, 1)(F.col(vector)), 1))
-
-
-def knn_approx(
-    indexed: DataFrame, questions: DataFrame, centres: np.ndarray, probes: int, k: int = 5, **options
-) -> DataFrame:
-    """Approximate top-k: exact search inside the `probes` nearest cells of each question."""
-    probed = questions.withColumn("cell", F.explode(_nearest_cells(centres, probes)(F.col("q"))))
-    candidates = knn_candidates(indexed, probed.withColumn("n", F.lit(k)), ["cell"], **options)
-    return ranked(candidates, ["question_id"], k).select("question_id", "rank", "id", "score")
-
-
-def kept_share(indexed: DataFrame, questions: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """One row: share of all (question, vector) pairs that the probed cells hold."""
-    probed = questions.select("question_id", F.explode(_nearest_cells(centres, probes)(F.col("q"))).alias("cell"))
-    per_cell = indexed.groupBy("cell").agg(F.count("*").alias("vectors"))
-    asked = probed.groupBy("cell").agg(F.count("*").alias("questions"))
-    totals = per_cell.join(asked, "cell", "left").agg(
-        F.sum(F.col("vectors") * F.coalesce("questions", F.lit(0))).alias("kept"), F.sum("vectors").alias("n")
-    )
-    n_questions = questions.agg(F.count("*")).scalar()
-    return totals.select((F.col("kept") / (F.col("n") * n_questions)).alias("kept_share"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
-from logquarry.operators import routing, textify, vectors
+from logquarry.operators import cells, routing, textify, vectors
 from logquarry.plans import answering
 from logquarry.plans import corpus as corpus_plan
 from logquarry.session import shared_dir
@@ -41,8 +43,8 @@ def _(spark, sf):
 
 @query("knn_global_shuffled", _ranked_sql(""))
 def _(spark, sf):
-    """The way taken by question sets too large to broadcast."""
-    return rounded(vectors.knn_global(corpus(spark, sf), question_vectors(spark, sf), TOP, broadcast_bytes=0))
+    """The way taken by question sets of several shards."""
+    return rounded(vectors.knn_global(corpus(spark, sf), question_vectors(spark, sf), TOP, broadcast_bytes=64 * 1024))
 
 
 @query(
@@ -73,30 +75,67 @@ def _(spark, sf):
     return rounded(vectors.knn_filtered(marked, question_vectors(spark, sf), "documentation_project", TOP))
 
 
-CELLS, PROBES = 8, 6
+# Cells probed of about the square root of the corpus; the vectors given are spread evenly, so recall takes many.
+PROBED_SHARE = 0.7
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def _index(spark, sf):
+    """The stored index of a folder's corpus, built once per application."""
+    name = (spark.sparkContext.applicationId, sf)
+    if name not in _INDEXES:
+        path = shared_dir(spark, f"queries/cells-{uuid4().hex}")
+        cells.build_index(corpus(spark, sf).select("id", "domain", "embedding"), path)
+        _INDEXES[name] = path
+    index = cells.open_index(spark, _INDEXES[name])
+    return index, max(1, round(PROBED_SHARE * len(index.centres)))
 
 
 @query("knn_approx")
 def _(spark, sf):
-    texts = corpus(spark, sf)
-    centres = vectors.fit_cells(texts, CELLS)
-    return vectors.knn_approx(vectors.assign_cells(texts, centres), question_vectors(spark, sf), centres, PROBES, TOP)
+    index, probes = _index(spark, sf)
+    return cells.knn_probed(index, question_vectors(spark, sf), probes, TOP)
+
+
+@query(
+    "knn_approx_recall",
+    f"WITH {QUESTION_VECTORS} SELECT count(*) AS questions, true AS recall_at_least_90, true AS scores_exact FROM question_vectors",
+)
+def _(spark, sf):
+    """Approximate hits next to the exact ones: share of the exact ids found, and every score that of its pair."""
+    index, probes = _index(spark, sf)
+    asked = question_vectors(spark, sf)
+    near = cells.knn_probed(index, asked, probes, TOP).select("question_id", "id", F.col("score").alias("near"))
+    exact = vectors.knn_global(index.rows, asked, TOP).select("question_id", "id", "score")
+    pairs = near.join(index.rows.select("id", "embedding"), "id").join(asked, "question_id")
+    gaps = F.transform(F.arrays_zip("embedding", "q"), lambda p: F.pow(p["embedding"].cast("double") - p["q"].cast("double"), 2.0))
+    true_score = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+    checked = pairs.select("question_id", "id", (F.abs(true_score - F.col("near")) <= 1e-9 * (1 + true_score)).alias("true_score"))
+    both = exact.join(checked, ["question_id", "id"], "full_outer")
+    return both.agg(
+        F.countDistinct(F.when(F.col("score").isNotNull(), F.col("question_id"))).alias("questions"),
+        (F.count(F.when(F.col("score").isNotNull(), F.col("true_score"))) >= 0.9 * F.count("score")).alias("recall_at_least_90"),
+        F.bool_and("true_score").alias("scores_exact"),
+    )
+
+
+@query("knn_indexed", _ranked_sql(""))
+def _(spark, sf):
+    """Exact search that reads only the cells which can hold a hit."""
+    return rounded(cells.knn_indexed(_index(spark, sf)[0], question_vectors(spark, sf), TOP))
 
 
 @query("knn_approx_all_cells", _ranked_sql(""))
 def _(spark, sf):
     """With every cell probed the approximate search is the exact one."""
-    texts = corpus(spark, sf)
-    centres = vectors.fit_cells(texts, CELLS)
-    indexed = vectors.assign_cells(texts, centres)
-    return rounded(vectors.knn_approx(indexed, question_vectors(spark, sf), centres, CELLS, TOP))
+    index, _ = _index(spark, sf)
+    return rounded(cells.knn_probed(index, question_vectors(spark, sf), len(index.centres), TOP))
 
 
 @query("knn_approx_kept_share")
 def _(spark, sf):
-    texts = corpus(spark, sf)
-    centres = vectors.fit_cells(texts, CELLS)
-    return vectors.kept_share(vectors.assign_cells(texts, centres), question_vectors(spark, sf), centres, PROBES)
+    index, probes = _index(spark, sf)
+    return cells.read_share(index, question_vectors(spark, sf), probes)
 
 
 @query("embed_texts")

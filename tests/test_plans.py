@@ -1,9 +1,11 @@
 """What the physical plans must look like, whatever the size of the data."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from logquarry.operators import marts, ranking, vectors
+from logquarry.operators import cells, marts, ranking, vectors
 from logquarry.plans.silver import clean_logs
 from queries import QUERIES
 from queries.inputs import corpus, question_vectors
@@ -74,16 +76,30 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan(ranking.last_n_rows(df, ["id"], 5))
 
 
-def test_few_questions_leave_the_corpus_unshuffled(spark, sf_dir):
+def test_questions_leave_the_corpus_where_it_is(spark, sf_dir):
+    """No join, no shuffle, no constant key: one pass over the corpus, and only the asked domain of it."""
+    texts, questions = corpus(spark, sf_dir).select("id", "domain", "embedding"), question_vectors(spark, sf_dir)
+    asked = questions.withColumns({"domain": F.lit("cost"), "n": F.lit(5)})
+    before = plan(texts)
+    for found in (vectors.knn_candidates(texts, asked, "domain"), vectors.knn_candidates(texts, asked)):
+        text = plan(found)
+        assert text.count("MapInArrow") == 1
+        for node in ("Join", "Exchange", "Sort"):
+            assert text.count(node) <= before.count(node)
+
+
+def test_index_reads_only_probed_folders(spark, sf_dir, tmp_path):
     texts, questions = corpus(spark, sf_dir).select("id", "domain", "embedding"), question_vectors(spark, sf_dir)
-    few = plan(vectors.knn_candidates(texts, questions.withColumns({"domain": F.lit("cost"), "n": F.lit(5)}), ["domain"]))
-    many = plan(
-        vectors.knn_candidates(
-            texts, questions.withColumns({"domain": F.lit("cost"), "n": F.lit(5)}), ["domain"], broadcast_bytes=0
-        )
-    )
-    assert "hashpartitioning(domain" not in few and "BroadcastHashJoin [domain" in few
-    assert "SortMergeJoin [domain" in many and "salt" in many
+    cells.build_index(texts, str(tmp_path / "index"), cells=9)
+    index = cells.open_index(spark, str(tmp_path / "index"))
+    one = questions.orderBy("question_id").limit(1)
+    probed = {r["cell"] for r in cells.probed_cells(index, one, 2).collect()}
+    candidates = vectors.knn_candidates(index.rows, cells.probed_cells(index, one, 2).withColumn("n", F.lit(5)), "cell")
+    text = plan(candidates)
+    assert "PartitionFilters: [cell" in text and "Exchange" not in text
+    assert candidates.count() and 0 < len(probed) <= 2
+    named = re.search(r"PartitionFilters: \[cell#\d+ IN \(([\d,]+)\)", text) or re.search(r"\(cell#\d+ = (\d+)\)", text)
+    assert {int(c) for c in named[1].split(",")} == probed
 
 
 def test_zscore_is_a_subquery_not_a_join(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from logquarry.fixed_values import VECTOR_DIM
-from logquarry.operators import vectors
+from logquarry.operators import cells, vectors
 from logquarry.plans import answering, corpus
 from queries import QUERIES
 from queries.inputs import corpus as corpus_of
@@ -43,11 +43,10 @@ def by_question(df):
     return found
 
 
-@pytest.mark.parametrize("broadcast_bytes", [vectors.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("broadcast_bytes", [vectors.BROADCAST_BYTES, 200])
 @pytest.mark.parametrize("copies", [0, 100])
 def test_knn_against_brute_force(spark, monkeypatch, broadcast_bytes, copies):
     """Also with a third of the corpus being copies of one vector, and blocks smaller than the copies."""
-    monkeypatch.setattr(vectors, "CORPUS_BLOCK", 16)
     monkeypatch.setattr(vectors, "QUESTION_BLOCK", 4)
     df, data = table(spark, 300, copies)
     questions, q = asked(spark, 20)
@@ -92,19 +91,52 @@ def test_routes_mix_domains_and_whole_corpus(spark):
     assert found == {0: nearest(data, q[0], 4, np.arange(60)), 1: nearest(data, q[1], 30, np.arange(0, 60, 4))}
 
 
-def test_approximate_search_recall_and_share(spark, sf_dir):
-    texts, questions = corpus_of(spark, sf_dir), question_vectors(spark, sf_dir)
-    centres = vectors.fit_cells(texts, 8)
-    indexed = vectors.assign_cells(texts, centres)
-    assert indexed.count() == texts.count()
-    exact = by_question(vectors.knn_global(texts, questions, 10))
-    near = by_question(vectors.knn_approx(indexed, questions, centres, 6, 10))
-    hits = sum(len(set(exact[i]) & set(near[i])) for i in exact)
-    assert hits / sum(map(len, exact.values())) >= 0.85
-    share = rows(vectors.kept_share(indexed, questions, centres, 6))[0][0]
-    assert 0 < share < 1
-    every = by_question(vectors.knn_approx(indexed, questions, centres, 8, 10))
-    assert every == exact and rows(vectors.kept_share(indexed, questions, centres, 8))[0][0] == pytest.approx(1.0)
+@pytest.mark.parametrize("copies, n_cells", [(100, None), (0, 1), (0, 40)])
+def test_index_gives_exact_results(spark, tmp_path, copies, n_cells):
+    df, data = table(spark, 300, copies)
+    odd = spark.createDataFrame([(1000, "cost", "t", None)], df.schema)
+    questions, q = asked(spark, 20)
+    questions = questions.unionByName(spark.createDataFrame([(99, None)], questions.schema))
+    cells.build_index(df.unionByName(odd), str(tmp_path), n_cells)
+    index = cells.open_index(spark, str(tmp_path))
+    assert index.rows.count() == 300 and index.sizes.sum() == 300
+    want = {i: nearest(data, q[i], 7, np.arange(300)) for i in range(20)}
+    assert by_question(cells.knn_indexed(index, questions, 7, probes=2)) == want
+    assert by_question(cells.knn_indexed(index, questions, 7, probes=1, broadcast_bytes=200)) == want
+    assert by_question(cells.knn_probed(index, questions, len(index.centres), 7)) == want
+    assert by_question(cells.knn_indexed(index, questions, 400, probes=1)) == {i: nearest(data, q[i], 400, np.arange(300)) for i in range(20)}
+
+
+def test_index_passes_over_far_cells(spark, tmp_path):
+    """Groups of vectors far from each other: the second pass opens none of them, a probe reads one folder."""
+    rng = np.random.default_rng(1)
+    data = (np.eye(8)[rng.integers(8, size=400)] * 100 + rng.normal(size=(400, 8))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id long, embedding array<float>")
+    cells.build_index(df, str(tmp_path), 8)
+    index = cells.open_index(spark, str(tmp_path))
+    questions = spark.createDataFrame([(i, data[i].tolist()) for i in range(10)], "question_id long, q array<float>")
+    assert by_question(cells.knn_indexed(index, questions, 5, probes=1)) == {i: nearest(data, data[i], 5, np.arange(400)) for i in range(10)}
+    assert rows(cells.read_share(index, questions, 1))[0][0] < 0.3
+    bounds = questions.withColumn("bound", F.lit(50.0))
+    assert cells._cells_within(index, bounds, 1).count() < 10
+
+
+def test_index_of_an_empty_corpus(spark, tmp_path):
+    df, _ = table(spark, 3)
+    cells.build_index(df.limit(0), str(tmp_path))
+    questions, _ = asked(spark, 2)
+    assert cells.knn_indexed(cells.open_index(spark, str(tmp_path)), questions, 3).count() == 0
+
+
+@pytest.mark.parametrize("bad", [[1.0, float("nan")], [float("inf"), 0.0], [None, 1.0]])
+def test_vectors_that_are_not_finite_are_refused(spark, bad):
+    good = spark.createDataFrame([(1, "cost", [1.0, 2.0])], "id long, domain string, embedding array<float>")
+    odd = spark.createDataFrame([(2, "cost", bad)], good.schema)
+    questions = spark.createDataFrame([(1, [0.0, 1.0])], "question_id long, q array<float>")
+    with pytest.raises(Exception, match="not finite"):
+        vectors.knn_global(good.unionByName(odd), questions, 1).collect()
+    with pytest.raises(Exception, match="not finite"):
+        vectors.knn_global(good, odd.selectExpr("id AS question_id", "embedding AS q"), 1).collect()
 
 
 def test_default_embedding_has_unit_length(spark):
