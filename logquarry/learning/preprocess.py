@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from logquarry.functions.names import split_columns_by_dtype
 from logquarry.operators.ranking import exact_quantiles
 
 EPSILON = sys.float_info.epsilon
-# Categories become model size; far more of them than this would be an identifier, not a category.
+# Categories become model size: a column of more is hashed to so many places.
 MAX_CATEGORIES = 100_000
 
 
@@ -60,33 +60,44 @@ def standard_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> Dat
 
 def fit_modes(train: DataFrame, columns: list[str]) -> dict[str, str]:
     """Most frequent value per column, the smallest on a tie; values are counted before they are compared."""
-    modes = {}
-    for name in columns:
-        counts = train.where(F.col(f"`{name}`").isNotNull()).groupBy(F.col(f"`{name}`").cast("string").alias("v")).count()
-        best = counts.agg(F.min(F.struct((-F.col("count")).alias("n"), "v")).alias("best")).first()["best"]
-        if best is not None:
-            modes[name] = best["v"]
-    return modes
+    if not columns:
+        return {}
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+    rows = train.select(F.explode(F.array(*cells)).alias("cell")).where("cell.value IS NOT NULL")
+    counts = rows.groupBy("cell.feature", "cell.value").count()
+    best = counts.groupBy("feature").agg(F.min(F.struct((-F.col("count")).alias("n"), "value")).alias("best"))
+    found = {r["feature"]: r["best"]["value"] for r in best.collect()}  # one row per column
+    return {c: found[c] for c in columns if c in found}
 
 
 def impute_mode(df: DataFrame, modes: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(m)) for c, m in modes.items()})
 
 
-def one_hot_stages(train: DataFrame, columns: list[str]) -> list:
-    """Fitted indexer and encoder. A category not seen in training is coded as all zeros."""
-    distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    for name in columns:
-        if distinct[name] > MAX_CATEGORIES:
-            raise ValueError(f"{name} has about {distinct[name]} categories")
-    indexer = StringIndexer(
-        inputCols=columns, outputCols=[f"{c}__index" for c in columns], handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    ).fit(train)
-    encoder = OneHotEncoder(
-        inputCols=[f"{c}__index" for c in columns], outputCols=[f"{c}__hot" for c in columns], dropLast=True
-    ).fit(indexer.transform(train))
-    return [indexer, encoder]
+def category_counts(train: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, int]:
+    """Exact number of categories per column, counted up to one more than `most`."""
+    return {c: train.select(F.col(f"`{c}`").cast("string").alias("v")).where("v IS NOT NULL").distinct().limit(most + 1).count() for c in columns}
+
+
+def one_hot_stages(train: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> list:
+    """Fitted stages that code each column as `<column>__hot`.
+
+    A column of at most `most` categories gets one place per category; one not seen in training is coded as all zeros. A
+    column of more is hashed to `most` places, so that it costs no table of categories, however many there are.
+    """
+    counts = category_counts(train, columns, most)
+    listed, hashed = [c for c in columns if counts[c] <= most], [c for c in columns if counts[c] > most]
+    stages = [FeatureHasher(inputCols=[c], outputCol=f"{c}__hot", numFeatures=most, categoricalCols=[c]) for c in hashed]
+    if listed:
+        indexer = StringIndexer(
+            inputCols=listed, outputCols=[f"{c}__index" for c in listed], handleInvalid="keep",
+            stringOrderType="alphabetAsc",
+        ).fit(train)
+        encoder = OneHotEncoder(
+            inputCols=[f"{c}__index" for c in listed], outputCols=[f"{c}__hot" for c in listed], dropLast=True
+        ).fit(indexer.transform(train))
+        stages += [indexer, encoder]
+    return stages
 
 
 def _literal(value: float) -> str:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
-from dataclasses import dataclass
 from math import ceil, floor
 
 from pyspark.ml.feature import Bucketizer
@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from logquarry.fixed_values import CORPUS_TAIL, TEST_SIZE
 
-# `select_ranks` ranks this many rows as they are, and narrows its bracket around more, in at most so many rounds:
-# each round keeps about 0.4 % of the rows, so three of them take a trillion distinct values down to this size.
-SMALL = 200_000
-MAX_ROUNDS = 5
+# `select_ranks` looks at so many of the bits of an order key in one pass.
+KEY_BITS = 64
+RADIX_BITS = 16
 
 
 def sort_by_time(df: DataFrame, column: str = "timestamp", *tie_breakers: str) -> DataFrame:
@@ -33,115 +32,75 @@ def topk_per_group(df: DataFrame, group: list[str], order: list, k: int | Column
     return ranked.where(F.col(rank) <= k)
 
 
-@dataclass(frozen=True)
-class _Bracket:
-    """Values from `low` to `high` (None: all), with the rows below them and the rows inside."""
+def _order_key(value: Column, kind: str) -> Column:
+    """A long that sorts as the value does: whole numbers are themselves, doubles their bits with negative ones turned."""
+    if kind == "bigint":
+        return value.cast("bigint")
+    # Adding 0 makes -0.0 and 0.0 one value; a missing value never gets here.
+    number = F.coalesce(value.cast("double"), F.lit(0.0)) + F.lit(0.0)
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), number).cast("bigint")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
 
-    low: float | None
-    high: float | None
-    below: int
-    inside: int
 
-    def holds(self, value: Column) -> Column:
-        if self.low is None:
-            return value.isNotNull()
-        return (value.cast("double") >= self.low) & (value.cast("double") <= self.high)
+def _value_of(key: int, kind: str) -> float:
+    if kind == "bigint":
+        return key
+    return struct.unpack("<d", struct.pack("<q", key if key >= 0 else key ^ (2**63 - 1)))[0]
 
 
-def select_ranks(
-    df: DataFrame, columns: list[str], ranks_of: Callable[[int], list[int]], relative_error: float = 1e-3
-) -> dict[str, tuple[int, dict[int, float]]]:
+def select_ranks(df: DataFrame, columns: list[str], ranks_of: Callable[[int], list[int]]) -> dict[str, tuple[int, dict[int, float]]]:
     """Exact values at zero-based sorted positions, for several numeric columns at once.
 
-    `ranks_of(n)` names the positions wanted among a column's n non-missing values; the result maps each
-    column to (n, {position: value}). Quantile sketches narrow a bracket around the positions until few rows
-    are left inside; only these, counted per distinct value, are ranked. So no task sorts a column, repeated
-    values cost nothing, and what reaches the driver is a few numbers per column.
+    `ranks_of(n)` names the positions wanted among a column's n non-missing values; the result maps each column to
+    (n, {position: value}); columns without values are absent. Values become 64-bit keys of the same order. A pass
+    counts them by their leading 16 bits, which shows in which bucket a position lies; the next pass counts only those
+    buckets' values by the next 16 bits. Four passes decide any position whatever the values, and a bucket of one value
+    ends earlier. No task sorts or ranks values, repeated ones cost nothing, a window holds at most 65,536 counts, and
+    what reaches the driver is a few numbers per column and pass.
     """
-    values = df.select(
-        *[
-            (F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) if t in ("double", "float") else F.col(f"`{c}`")).alias(c)
-            for c, t in df.select(*[f"`{c}`" for c in columns]).dtypes
-        ]
-    )
-    counted = values.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first()
-    wanted = {c: ranks_of(counted[c]) for c in columns if counted[c]}
-    if not wanted:
-        return {}
-    brackets = {c: _Bracket(None, None, 0, counted[c]) for c in wanted}
-    for _ in range(MAX_ROUNDS):
-        if sum(b.inside for b in brackets.values()) <= SMALL:
-            break
-        narrowed = _narrow(values, wanted, brackets, relative_error)
-        if narrowed == brackets:
+    kinds = {c: "bigint" if t in ("tinyint", "smallint", "int", "bigint") else "double" for c, t in df.select(*[f"`{c}`" for c in columns]).dtypes}
+    floating = {c for c, t in df.dtypes if t in ("double", "float")}
+    known = {c: F.col(f"`{c}`").isNotNull() & (~F.isnan(f"`{c}`") if c in floating else F.lit(True)) for c in columns}
+    keys = df.select(*[F.when(known[c], _order_key(F.col(f"`{c}`"), kinds[c])).alias(c) for c in columns])
+    counted = df.agg(*[F.count(F.when(known[c], 1)).alias(c) for c in columns]).first()
+    # Positions still open: per column and leading bits (all values at first), the position among those values.
+    still: dict[str, dict[int | None, dict[int, int]]] = {c: {None: {r: r for r in ranks_of(counted[c])}} for c in columns if counted[c]}
+    found: dict[str, tuple[int, dict[int, float]]] = {c: (counted[c], {}) for c in still}
+    for shift in range(KEY_BITS - RADIX_BITS, -1, -RADIX_BITS):
+        if not still:
             break
-        brackets = narrowed
-    found = _rank_inside(values, wanted, brackets)
-    return {c: (counted[c], found[c]) for c in wanted}
-
-
-def _narrow(values: DataFrame, wanted, brackets: dict[str, _Bracket], error: float) -> dict[str, _Bracket]:
-    """Smaller brackets from a sketch of the values inside; one that misses its positions is not taken."""
-    names = list(wanted)
-    spans = {}
-    for name in names:
-        bracket = brackets[name]
-        low = (min(wanted[name]) - bracket.below) / bracket.inside - 2 * error
-        high = (max(wanted[name]) + 1 - bracket.below) / bracket.inside + 2 * error
-        spans[name] = (max(low, 0.0), min(high, 1.0))
-    probabilities = sorted({p for span in spans.values() for p in span})
-    inside = values.select(
-        *[F.when(brackets[c].holds(F.col(f"`{c}`")), F.col(f"`{c}`").cast("double")).alias(c) for c in names]
-    )
-    sketches = dict(zip(names, inside.approxQuantile(names, probabilities, error)))
-    bounds = {c: tuple(sketches[c][probabilities.index(p)] for p in spans[c]) for c in names}
-    measured = values.agg(
-        *[
-            F.struct(
-                F.count(F.when(F.col(f"`{c}`").cast("double") < low, 1)).alias("below"),
-                F.count(F.when(F.col(f"`{c}`").cast("double").between(low, high), 1)).alias("inside"),
-            ).alias(c)
-            for c, (low, high) in bounds.items()
-        ]
-    ).first()
-    result = {}
-    for name in names:
-        bracket = _Bracket(*bounds[name], measured[name]["below"], measured[name]["inside"])
-        covers = bracket.below <= min(wanted[name]) and max(wanted[name]) < bracket.below + bracket.inside
-        result[name] = bracket if covers else brackets[name]
-    return result
-
-
-def _rank_inside(values: DataFrame, wanted, brackets: dict[str, _Bracket]) -> dict[str, dict[int, float]]:
-    kind = _widest(values, wanted)
-    cells = []
-    hit = F.lit(False)
-    for name, ranks in wanted.items():
-        value, bracket = F.col(f"`{name}`"), brackets[name]
-        cell = F.struct(F.lit(name).alias("feature"), value.cast(kind).alias("value"))
-        cells.append(F.when(bracket.holds(value), cell))
-        for rank in ranks:
-            local = rank - bracket.below
-            covers = (F.col("through") > local) & (F.col("through") - F.col("count") <= local)
-            hit = hit | ((F.col("feature") == name) & covers)
-    counts = (
-        values.select(F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("cell"))
-        .groupBy("cell.feature", "cell.value")
-        .count()
-    )
-    through = F.sum("count").over(Window.partitionBy("feature").orderBy("value"))
-    result: dict[str, dict[int, float]] = {}
-    for row in counts.withColumn("through", through).where(hit).collect():
-        name = row["feature"]
-        for rank in wanted[name]:
-            if row["through"] - row["count"] <= rank - brackets[name].below < row["through"]:
-                result.setdefault(name, {})[rank] = row["value"]
-    return result
-
-
-def _widest(values: DataFrame, names) -> str:
-    types = {t for c, t in values.dtypes if c in names}
-    return "bigint" if types <= {"tinyint", "smallint", "int", "bigint"} else "double"
+        narrower: dict[str, dict[int | None, dict[int, int]]] = {}
+        for row in _bucket_counts(keys, still, shift).collect():
+            name, below = row["feature"], row["through"] - row["count"]
+            parent = None if shift + RADIX_BITS == KEY_BITS else row["prefix"] >> RADIX_BITS
+            for rank, local in still[name][parent].items():
+                if not below <= local < row["through"]:
+                    continue
+                if row["low"] == row["high"]:
+                    found[name][1][rank] = _value_of(row["low"], kinds[name])
+                else:
+                    narrower.setdefault(name, {}).setdefault(row["prefix"], {})[rank] = local - below
+        still = narrower
+    return found
+
+
+def _bucket_counts(keys: DataFrame, still: dict, shift: int) -> DataFrame:
+    """Of the buckets with the next bits, those that hold an open position: (feature, prefix, count, low, high, through)."""
+    top = shift + RADIX_BITS == KEY_BITS
+    cells, hit = [], F.lit(False)
+    for name, parents in still.items():
+        key = F.col(f"`{name}`")
+        inside = key.isNotNull() if top else F.shiftright(key, shift + RADIX_BITS).isin([*parents])
+        cells.append(F.when(inside, F.struct(F.lit(name).alias("feature"), F.shiftright(key, shift).alias("prefix"), key.alias("key"))))
+        for parent, ranks in parents.items():
+            of = (F.col("feature") == name) & (F.lit(True) if top else F.col("parent") == parent)
+            for local in set(ranks.values()):
+                hit = hit | (of & (F.col("through") > local) & (F.col("through") - F.col("count") <= local))
+    rows = keys.select(F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("cell"))
+    counts = rows.groupBy("cell.feature", "cell.prefix").agg(F.count(F.lit(1)).alias("count"), F.min("cell.key").alias("low"), F.max("cell.key").alias("high"))
+    counts = counts.withColumn("parent", F.lit(0).cast("bigint") if top else F.shiftright("prefix", RADIX_BITS))
+    through = F.sum("count").over(Window.partitionBy("feature", "parent").orderBy("prefix"))
+    return counts.withColumn("through", through).where(hit)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probability: float) -> dict[str, float]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logquarry.fixed_values import (
     COLUMN_DESCRIPTIONS, DATASET_PURPOSES, DATASET_QUESTIONS, DEFAULT_DESCRIPTIONS, NO_QUESTIONS, SERVICES,
 )
-from logquarry.operators import features, labels, marts, metrics, profile, ranking
+from logquarry.operators import features, labels, marts, metrics, profile, ranking, rolling
 from queries.inputs import WIDE, marts_sql, prepared, raw_logs, silver, table, wide_performance, wide_security
 from queries.inputs import marts as all_marts
 from queries.registry import query
@@ -23,6 +23,36 @@ def _(spark, sf):
     return marts.mart_performance(prepared(spark, sf))
 
 
+@query(
+    "rolling_features",
+    f"""WITH {marts_sql()}
+    SELECT *, round(avg(CAST(requests AS DOUBLE)) OVER (ORDER BY "timestamp" ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 8) AS rolling_requests_3,
+      round(coalesce(100.0::DOUBLE * (requests - lag(requests) OVER (ORDER BY "timestamp")) / lag(requests) OVER (ORDER BY "timestamp"), 0), 8)
+        AS requests_growth_pct
+    FROM performance""",
+)
+def _(spark, sf):
+    """The optional columns of the performance mart: mean of three minutes and change against the minute before."""
+    found = rolling.request_trend(all_marts(spark, sf)["performance"])
+    return found.withColumns({c: F.round(c, 8) for c in ("rolling_requests_3", "requests_growth_pct")})
+
+
+@query(
+    "rolling_event_values",
+    """SELECT event_id, round(sum(value) OVER latest, 6) AS last_ten, count(value) OVER latest AS n, lag(event_id, 7) OVER (ORDER BY user_id NULLS FIRST, event_id) AS seventh
+    FROM events WINDOW latest AS (ORDER BY user_id NULLS FIRST, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def _(spark, sf):
+    """Windows over the order of all events, in which many rows share the leading key."""
+
+    def columns(window):
+        latest = window.rowsBetween(-9, 0)
+        return {"last_ten": F.round(F.sum("value").over(latest), 6), "n": F.count("value").over(latest), "seventh": F.lag("event_id", 7).over(window)}
+
+    events = table(spark, sf, "events").select("event_id", "user_id", "value")
+    return rolling.over_ranges(events, ["user_id", "event_id"], 9, columns).select("event_id", "last_ten", "n", "seventh")
+
+
 @query("mart_security", f"WITH {marts_sql()} SELECT * FROM security")
 def _(spark, sf):
     return marts.mart_security(prepared(spark, sf))

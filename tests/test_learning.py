@@ -207,3 +207,16 @@ def test_model_queries_fit_minutes_with_the_defaults(spark, sf_dir, monkeypatch,
     if name != "isolation_forest_score":
         stored = "hist_gradient_boosting" if name == "gradient_boosting" else name
         assert train.count() == int(0.8 * spark.read.parquet(shared_dir(spark, f"queries/{stored}")).count())
+
+
+def test_modes_and_many_categories(spark):
+    """All modes in one job; a column of more categories than allowed is hashed and does not fail the fit."""
+    rows = [(i, f"id{i}", "x" if i % 3 else "y", None, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, many string, few string, empty string, n double")
+    assert preprocess.fit_modes(df, ["many", "few", "empty"]) == {"many": "id0", "few": "x"}
+    assert preprocess.category_counts(df, ["many", "few", "empty"], 20) == {"many": 21, "few": 2, "empty": 0}
+    found = df
+    for stage in preprocess.one_hot_stages(df, ["many", "few"], 20):
+        found = stage.transform(found)
+    for r in found.select("many__hot", "few__hot").collect():
+        assert r["many__hot"].size == 20 and r["many__hot"].numNonzeros() == 1 and r["few__hot"].size == 2

@@ -13,10 +13,8 @@ def doubles(spark, values):
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
 
 
-@pytest.mark.parametrize("small", [10**9, 500, 0])
 @pytest.mark.parametrize("probability", [0.0, 0.1, 0.5, 0.77, 0.99, 1.0])
-def test_exact_quantiles(spark, monkeypatch, small, probability):
-    monkeypatch.setattr(ranking, "SMALL", small)
+def test_exact_quantiles(spark, probability):
     rng = np.random.default_rng(1)
     values = np.concatenate([rng.normal(size=4001), np.full(2000, 0.25), [np.nan]])
     df = doubles(spark, values.tolist()).withColumn("k", F.col("i") % 7).withColumn("empty", F.lit(None).cast("double"))
@@ -26,21 +24,35 @@ def test_exact_quantiles(spark, monkeypatch, small, probability):
     assert found["k"] == np.quantile(np.arange(len(values)) % 7, probability)
 
 
-def test_bracket_narrows_over_several_rounds(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL", 50)
-    rounds = []
-    narrow = ranking._narrow
-    monkeypatch.setattr(ranking, "_narrow", lambda *a: rounds.append(narrow(*a)) or rounds[-1])
-    df = spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x"))
-    assert ranking.exact_quantiles(df, ["x"], 0.25)["x"] == 24999.75
-    inside = [b["x"].inside for b in rounds]
-    assert len(inside) >= 2 and inside == sorted(inside, reverse=True) and inside[-1] <= 50
+def test_ranks_of_clustered_and_extreme_values(spark):
+    """Values that share leading bits, lie at both ends of the doubles, or are the least apart that two can be."""
+    near = [1.0]
+    for _ in range(200):
+        near.append(float(np.nextafter(near[-1], 2.0)))
+    values = near + [-v for v in near] + [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf")] + [10.0**-e for e in range(300)]
+    df = doubles(spark, values).withColumn("n", F.col("i") * F.lit(2**40) - F.lit(2**48)).withColumn("tiny", (F.col("i") % 100).cast("tinyint"))
+    wanted = list(range(0, len(values), 13))
+    found = ranking.select_ranks(df, ["x", "n", "tiny"], lambda n: wanted)
+    whole = sorted(i * 2**40 - 2**48 for i in range(len(values)))
+    assert found["x"] == (len(values), {r: sorted(values)[r] for r in wanted})
+    assert found["n"] == (len(values), {r: whole[r] for r in wanted})
 
 
-def test_quantile_survives_a_useless_bracket(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL", 0)
+def test_ranks_take_few_small_jobs(spark):
+    """Repeated values end the search after one pass; counts, not values, are what a window sees."""
     df = doubles(spark, [1.0] * 500 + [2.0] * 3 + [1.0] * 500)
-    assert ranking.exact_quantiles(df, ["x"], 0.9995)["x"] == np.quantile([1.0] * 1000 + [2.0] * 3, 0.9995)
+    passes = []
+    counts = ranking._bucket_counts
+    ranking._bucket_counts = lambda *a: passes.append(a[2]) or counts(*a)
+    try:
+        assert ranking.exact_quantiles(df, ["x"], 0.9995)["x"] == np.quantile([1.0] * 1000 + [2.0] * 3, 0.9995)
+        assert passes == [48]
+        passes.clear()
+        spread = spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x"))
+        assert ranking.exact_quantiles(spread, ["x"], 0.25)["x"] == 24999.75
+        assert len(passes) <= 4
+    finally:
+        ranking._bucket_counts = counts
 
 
 @pytest.mark.parametrize("n, train", [(2, 1), (5, 4), (10, 8), (101, 80)])
