@@ -229,9 +229,9 @@ MODELING = """, flags AS (SELECT "timestamp", max(CASE WHEN risk_level = 'alto'
 SELECT features.*, coalesce(is_anomaly, 0) AS is_anomaly FROM features LEFT JOIN flags USING ("timestamp")"""
 
 
-@query("modeling_dataset", f"WITH {features_sql('hour')} {MODELING}")
+@query("modeling_dataset", f"WITH {features_sql('minute')} {MODELING}")
 def _(spark, sf):
-    made = all_marts(spark, sf, "hour")
+    made = all_marts(spark, sf)
     return round_features(labels.modeling_dataset(made["cost"], made["performance"], made["security"], SERVICES))
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import SERVICES
 from logquarry.learning import forest, models, preprocess
-from logquarry.learning.experiment import run_experiment
+from logquarry.learning.experiment import RUN_SCHEMA, run_experiment
 from logquarry.operators import labels, ranking
 from logquarry.session import shared_dir
 from queries.aggregates import features_sql
@@ -113,10 +118,10 @@ def _scaled(name: str) -> str:
 
 @query(
     "preprocessor",
-    f"""WITH {features_sql('hour')} SELECT "timestamp", {', '.join(map(_scaled, NUMERIC))} FROM features""",
+    f"""WITH {features_sql('minute')} SELECT "timestamp", {', '.join(map(_scaled, NUMERIC))} FROM features""",
 )
 def _(spark, sf):
-    rows = stored_dataset(spark, sf, "preprocessor", "hour")  # as its SQL
+    rows = stored_dataset(spark, sf, "preprocessor")
     fitted = preprocess.fit_preprocessor(rows, NUMERIC)
     vector = vector_to_array("features")
     scaled = [(F.round(vector[i], 5) + F.lit(0.0)).alias(name) for i, name in enumerate(NUMERIC)]
@@ -151,10 +156,10 @@ def _(spark, sf):
     return models.predict_supervised(model, test)
 
 
-@query("save_load_model", f"""WITH {features_sql('hour')} SELECT "timestamp", true AS same FROM features""")
+@query("save_load_model", f"""WITH {features_sql('minute')} SELECT "timestamp", true AS same FROM features""")
 def _(spark, sf):
     """A saved and loaded model gives the predictions of the fitted one."""
-    rows = stored_dataset(spark, sf, "save_load_model", "hour")  # as its SQL
+    rows = stored_dataset(spark, sf, "save_load_model")
     fitted = preprocess.fit_preprocessor(rows, feature_names(rows))
     model = models.fit_supervised("logistic_regression", fitted, rows, LABEL)
     path = shared_dir(spark, "queries/save_load_model_files")
@@ -202,15 +207,139 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-def _experiment(spark, sf, name):
-    return run_experiment(spark, dataset(spark, sf), shared_dir(spark, f"queries/{name}"))
+_EXPERIMENTS: dict[tuple[str, str], str] = {}
+
+
+def _experiment(spark, sf):
+    """The folder of a whole experiment over one table, run once per application."""
+    name = (spark.sparkContext.applicationId, sf)
+    if name not in _EXPERIMENTS:
+        out = shared_dir(spark, f"queries/experiment-{uuid4().hex}")
+        run_experiment(spark, dataset(spark, sf), out)
+        _EXPERIMENTS[name] = out
+    return _EXPERIMENTS[name]
+
+
+def read_run_summary(spark, out):
+    return spark.read.schema(RUN_SCHEMA).option("header", True).csv(f"{out}/run_summary")
+
+
+MODELS = ("hist_gradient_boosting", "isolation_forest", "logistic_regression", "random_forest")
 
 
 @query("experiment")
 def _(spark, sf):
-    return _experiment(spark, sf, "experiment").summary
+    return read_run_summary(spark, _experiment(spark, sf))
 
 
 @query("run_registry")
 def _(spark, sf):
-    return _experiment(spark, sf, "run_registry").registry
+    return spark.read.parquet(f"{_experiment(spark, sf)}/run_registry")
+
+
+LABELLED = f"""WITH {features_sql('minute')},
+flags AS (SELECT "timestamp", max(CASE WHEN risk_level = 'alto' THEN 1 ELSE 0 END) AS is_anomaly FROM security GROUP BY "timestamp"),
+labelled AS (SELECT "timestamp", coalesce(is_anomaly, 0) AS is_anomaly, row_number() OVER (ORDER BY "timestamp") AS place, count(*) OVER () AS n
+  FROM features LEFT JOIN flags USING ("timestamp")),
+divided AS (SELECT *, place <= greatest(1, least(CAST(floor(n * 0.8::DOUBLE) AS BIGINT), n - 1)) AS is_train FROM labelled),
+models(model) AS (VALUES {', '.join(f"('{m}')" for m in MODELS)})"""
+
+
+@query(
+    "experiment_facts",
+    f"""{LABELLED}, facts AS (
+      SELECT max(n) AS n_rows, count(*) FILTER (is_train) AS train_rows, count(*) FILTER (NOT is_train) AS test_rows,
+             avg(is_anomaly) FILTER (is_train) AS train_rate, avg(is_anomaly) FILTER (NOT is_train) AS test_rate FROM divided)
+    SELECT model, CAST(n_rows AS BIGINT) AS n_rows, CAST(train_rows AS BIGINT) AS train_rows, CAST(test_rows AS BIGINT) AS test_rows, {len(NUMERIC)}::BIGINT AS n_features,
+      round(CASE WHEN model = 'isolation_forest' THEN NULL ELSE train_rate END, 10) AS train_rate,
+      round(CASE WHEN model = 'isolation_forest' THEN NULL ELSE test_rate END, 10) AS test_rate,
+      round(CASE WHEN model = 'isolation_forest' THEN least(greatest(train_rate, {forest.CONTAMINATION_RANGE[0]}), {forest.CONTAMINATION_RANGE[1]}) END, 10) AS contamination
+    FROM models CROSS JOIN facts""",
+)
+def _(spark, sf):
+    """What the registry says about the split, the labels and the forest's contamination."""
+    rows = spark.read.parquet(f"{_experiment(spark, sf)}/run_registry").where("kind = 'param'").groupBy(F.col("run").alias("model"))
+
+    def fact(key, kind):
+        return F.max(F.when(F.col("key") == key, F.col("value").cast(kind)))
+
+    counts = [fact(k, "bigint").alias(k) for k in ("n_rows", "train_rows", "test_rows", "n_features")]
+    rates = {"train_rate": "positive_rate_train", "test_rate": "positive_rate_test", "contamination": "contamination"}
+    return rows.agg(*counts, *[F.round(fact(k, "double"), 10).alias(name) for name, k in rates.items()])
+
+
+@query(
+    "experiment_predictions",
+    f"""{LABELLED} SELECT model, "timestamp", is_anomaly, true AS score_is_share, true AS prediction_follows_score
+    FROM models CROSS JOIN divided WHERE NOT is_train""",
+)
+def _(spark, sf):
+    """Every model scores each newer minute once, and predicts what its score and threshold say."""
+    out, found = _experiment(spark, sf), []
+    for name in MODELS:
+        limit = 0.5
+        if name == "isolation_forest":
+            limit = forest.IsolationForest.load(spark, f"{out}/{name}/forest").threshold
+        rows = spark.read.parquet(f"{out}/{name}/predictions")
+        follows = (F.col("score") > limit).cast("int") == F.col("prediction")
+        share = F.col("score").between(0.0, 1.0)
+        found.append(rows.select(F.lit(name).alias("model"), KEY, F.col(LABEL).cast("int").alias(LABEL), share.alias("score_is_share"), follows.alias("prediction_follows_score")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("experiment_metrics", f"WITH models(model) AS (VALUES {', '.join(f'({m!r})' for m in MODELS)}) SELECT model, true AS same FROM models")
+def _(spark, sf):
+    """The summary's numbers against plain counts over the stored predictions."""
+    out, found = _experiment(spark, sf), []
+    summary = {r["model"]: r for r in read_run_summary(spark, out).collect()}  # one row per model
+    for name in MODELS:
+        rows = spark.read.parquet(f"{out}/{name}/predictions")
+        true, said = F.col(LABEL) == 1, F.col("prediction") == 1
+        cells = {"tp": true & said, "fp": ~true & said, "fn": true & ~said, "tn": ~true & ~said}
+        counts = rows.agg(*[F.count(F.when(c, 1)).alias(k) for k, c in cells.items()])
+        counts = counts.withColumn("p", F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0))
+        counts = counts.withColumn("r", F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0))
+        accuracy = (F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
+        f1 = F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
+        numbers = {"accuracy": accuracy, "precision": F.col("p"), "recall": F.col("r"), "f1": f1}
+        same = [F.abs(value - F.lit(float(summary[name][k]))) < 1e-9 for k, value in numbers.items()]
+        found.append(counts.select(F.lit(name).alias("model"), reduce(lambda a, b: a & b, same).alias("same")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("logistic_regression_optimum", f"SELECT unnest([{', '.join(repr(c) for c in ['intercept', *NUMERIC])}]) AS term, true AS stationary")
+def _(spark, sf):
+    """At the optimum the gradient of the penalised, weighted loss is nothing in every term."""
+    out = _experiment(spark, sf)
+    rows = ranking.temporal_split(spark.read.parquet(f"{out}/dataset"), KEY).where("is_train").drop("is_train")
+    model = PipelineModel.load(f"{out}/logistic_regression/model")
+    weighted, total = models.with_balanced_weight(rows, LABEL)
+    scored = model.transform(weighted)
+    gap = F.col("weight") * (vector_to_array("probability")[1] - F.col(LABEL))
+    names = feature_names(rows)
+    inputs = vector_to_array("features")
+    sums = scored.agg(F.sum(gap).alias("intercept"), *[F.sum(gap * inputs[i]).alias(c) for i, c in enumerate(names)]).first()
+    fitted = model.stages[-1]
+    # The penalty's share of the gradient: the coefficient itself, as its strength is 1 on the summed loss.
+    slopes = {"intercept": sums["intercept"], **{c: sums[c] + float(fitted.coefficients[i]) for i, c in enumerate(names)}}
+    return spark.createDataFrame([(c, abs(v) <= 1e-3 * total) for c, v in slopes.items()], "term string, stationary boolean")
+
+
+@query(
+    "score_dispatch_same",
+    f"{LABELLED} SELECT model, count(*) AS n, true AS same FROM models CROSS JOIN labelled WHERE model IN ('isolation_forest', 'logistic_regression') GROUP BY model",
+)
+def _(spark, sf):
+    """Models found by their metadata give what the same models give directly."""
+    out, found = _experiment(spark, sf), []
+    rows = spark.read.parquet(f"{out}/dataset")
+    for name in ("isolation_forest", "logistic_regression"):
+        if name == "isolation_forest":
+            grown = forest.IsolationForest.load(spark, f"{out}/{name}/forest")
+            direct = models.predict_unsupervised(PipelineModel.load(f"{out}/{name}/preprocessor"), grown, rows)
+        else:
+            direct = models.predict_supervised(PipelineModel.load(f"{out}/{name}/model"), rows)
+        sent = models.score_dispatch(spark, f"{out}/{name}", rows).select(KEY, F.struct("prediction", "score").alias("sent"))
+        both = direct.select(KEY, F.struct("prediction", "score").alias("direct")).join(sent, KEY)
+        found.append(both.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("sent") == F.col("direct")).alias("same")).select(F.lit(name).alias("model"), "n", "same"))
+    return reduce(DataFrame.unionByName, found)

@@ -144,10 +144,26 @@ def _(spark, sf):
     return embedded.select("doc_id", F.size("embedding").alias("dim"), "embedding")
 
 
-@query("embed_texts_length", "SELECT doc_id, 256 AS dim, 1.0::DOUBLE AS length FROM documents")
+def letter_counts(texts: list[str]) -> list[list[float]]:
+    """An embedding that SQL can repeat: the text's length and how often each of three letters occurs in it."""
+    return [[float(len(t or "")), *[float((t or "").count(c)) for c in "aen"]] for t in texts]
+
+
+@query(
+    "embed_texts_hook",
+    f"""SELECT doc_id, 4 AS dim, CAST(length(t) AS DOUBLE) AS length, {', '.join(f"CAST(length(t) - length(replace(t, '{c}', '')) AS DOUBLE) AS {c}" for c in "aen")}
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
+)
+def _(spark, sf):
+    """Vectors of the caller's own function, by value."""
+    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"), embed=letter_counts, dim=4)
+    return embedded.select("doc_id", F.size("embedding").alias("dim"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(("length", *"aen"))])
+
+
+@query("embed_texts_length", "SELECT doc_id, 768 AS dim, 1.0::DOUBLE AS length FROM documents")
 def _(spark, sf):
     """Every default embedding has unit length."""
-    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"), dim=256)
+    embedded = vectors.embed_texts(table(spark, sf, "documents").select("doc_id", "text"))
     squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     return embedded.select("doc_id", F.size("embedding").alias("dim"), F.round(F.sqrt(squares), 5).alias("length"))
 
@@ -237,6 +253,6 @@ def _(spark, sf):
 def _(spark, sf):
     """From raw logs and documents to answers: the corpus is built, embedded by the default and searched."""
     path = shared_dir(spark, "queries/answer_questions")
-    corpus_plan.write_corpus(corpus_plan.build_corpus(marts(spark, sf), layer_documents(spark, sf), "Plataforma", dim=128), path)
-    answered = answering.batch_retrieve(questions(spark, sf), spark.read.parquet(path), ANSWERS, top_k=TOP, dim=128)
+    corpus_plan.write_corpus(corpus_plan.build_corpus(marts(spark, sf), layer_documents(spark, sf), "Plataforma"), path)
+    answered = answering.batch_retrieve(questions(spark, sf), spark.read.parquet(path), ANSWERS, top_k=TOP)
     return answered.select("question_id", "intent", "status", "prompt", "answer", F.size("sources").alias("n_sources"))

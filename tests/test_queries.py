@@ -6,7 +6,7 @@ import __spark_entry__ as entry_module
 from check import compare, duck
 from queries import ORACLES, QUERIES
 
-SLOW = {"experiment", "run_registry", "score_dispatch", "random_forest", "gradient_boosting", "isolation_forest_fit"}
+SLOW = {"score_dispatch", "random_forest", "gradient_boosting", "isolation_forest_fit"}
 
 
 @pytest.fixture(scope="module")
