@@ -26,11 +26,11 @@ from logquarry.llm.common import give_back, thrifty
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Bytes of each memo of a task, about; a full one is emptied, so memory is bounded and results are the same.
-MEMO_BYTES = 16 * 1024 * 1024
+MEMO_BYTES = 24 * 1024 * 1024
 # What an entry takes besides its key's and value's content.
 ENTRY_BYTES = 200
 # Tokens of the rows that leave a task together.
-TOKENS = 500_000
+TOKENS = 200_000
 # Longer runs are encoded anew each time.
 LONGEST_REMEMBERED = 64
 # Texts below this code point are split by a pattern of plain character ranges, which `re` runs faster.

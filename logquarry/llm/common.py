@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from logquarry.session import shared_dir
 
-# Python workers get rows in batches of this size: texts can be long.
+# Python workers get rows in batches of this size: texts can be long, and every batch is held several times over, as
+# bytes on both sides and as Python strings.
 ARROW_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 * 1024 * 1024),
 }
 # A side of a join is broadcast up to this many rows, and this many numbers in their arrays, counted first; beyond it both
 # sides are shuffled.
