@@ -27,8 +27,9 @@ from logquarry.llm.common import give_back, thrifty
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Bytes of each memo of a task, about; a full one is emptied, so memory is bounded and results are the same.
 MEMO_BYTES = 24 * 1024 * 1024
-# What an entry takes besides its key's and value's content.
-ENTRY_BYTES = 200
+# What an entry takes besides the content of texts and packed ids; numbers and booleans need no more objects than one.
+ENTRY_BYTES = 160
+NUMBER_BYTES = 110
 # Tokens of the rows that leave a task together.
 TOKENS = 200_000
 # Longer runs are encoded anew each time.
@@ -67,12 +68,12 @@ class Memo(dict):
 
     def __missing__(self, key):
         found = self.function(key)
-        size = len(key) + len(found) if isinstance(key, str) else 0
+        size = len(key) + len(found) + ENTRY_BYTES if isinstance(key, str) else NUMBER_BYTES
         if size <= 8 * LONGEST_REMEMBERED:
-            self.held += size + ENTRY_BYTES
+            self.held += size
             if self.held > MEMO_BYTES:
                 self.clear()
-                self.held = size + ENTRY_BYTES
+                self.held = size
             self[key] = found
         return found
 
