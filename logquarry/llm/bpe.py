@@ -26,7 +26,7 @@ from logquarry.llm.common import give_back, thrifty
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Bytes of each memo of a task, about; a full one is emptied, so memory is bounded and results are the same.
-MEMO_BYTES = 24 * 1024 * 1024
+MEMO_BYTES = 64 * 1024 * 1024
 # What an entry takes besides the content of texts and packed ids; numbers and booleans need no more objects than one.
 ENTRY_BYTES = 160
 NUMBER_BYTES = 110
@@ -61,9 +61,9 @@ def plain_pattern(pattern: str) -> re.Pattern:
 class Memo(dict):
     """Remembers a function's results; emptied when full, so its size is bounded. Long keys are not kept."""
 
-    def __init__(self, function):
+    def __init__(self, function, limit: int):
         super().__init__()
-        self.function = function
+        self.function, self.limit = function, limit
         self.held = 0
 
     def __missing__(self, key):
@@ -71,7 +71,7 @@ class Memo(dict):
         size = len(key) + len(found) + ENTRY_BYTES if isinstance(key, str) else NUMBER_BYTES
         if size <= 8 * LONGEST_REMEMBERED:
             self.held += size
-            if self.held > MEMO_BYTES:
+            if self.held > self.limit:
                 self.clear()
                 self.held = size
             self[key] = found
@@ -104,10 +104,12 @@ def last_merges(ranks: dict[bytes, int]) -> dict[int, tuple[int, int]]:
 class BytePairEncoder:
     """Encodes and decodes by the ranks of a `.tiktoken` file; ordinary text only, no special tokens.
 
-    `merges` are the ranks' `last_merges`, which take a second to find and can be handed over.
+    `merges` are the ranks' `last_merges`, which take a second to find and can be handed over. Each of three memos holds
+    `memo_bytes` at most (MEMO_BYTES if None); smaller ones cost time only.
     """
 
-    def __init__(self, ranks: bytes, merges: dict[int, tuple[int, int]] | None = None, pattern: str = PATTERN):
+    def __init__(self, ranks: bytes, merges: dict[int, tuple[int, int]] | None = None, pattern: str = PATTERN, memo_bytes: int | None = None):
+        memo_bytes = MEMO_BYTES if memo_bytes is None else memo_bytes
         self.ranks = parse_ranks(ranks)
         self.merges = last_merges(self.ranks) if merges is None else merges
         self.tokens = {rank: token for token, rank in self.ranks.items()}
@@ -127,10 +129,10 @@ class BytePairEncoder:
         self.longest = max(self.length.values())
         self.shorter = {rank: self.prefix_token(token.decode("latin-1"), len(token) - 1) for token, rank in self.ranks.items()}
         # Keyed by both ranks in one number.
-        self.together = Memo(lambda pair: self.stay_apart(pair >> 32, pair & 0xFFFFFFFF))
-        self.pieces = Memo(self.encode_piece)
+        self.together = Memo(lambda pair: self.stay_apart(pair >> 32, pair & 0xFFFFFFFF), memo_bytes)
+        self.pieces = Memo(self.encode_piece, memo_bytes)
         # Keyed without the space in front.
-        self.chunks = Memo(lambda chunk: self.encode_long(" " + chunk))
+        self.chunks = Memo(lambda chunk: self.encode_long(" " + chunk), memo_bytes)
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the two tokens next to each other survive the merges.
@@ -257,18 +259,19 @@ def decoded(ids: Column, docs: DataFrame, ranks: bytes | None = None) -> Column:
     return F.pandas_udf(of, "binary")(ids)
 
 
-def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, ranks: bytes | None = None, keep_ids: bool = False, memo_bytes: int | None = None) -> DataFrame:
     """Per row: doc_id, n_tokens, digest of the ids in decimal joined by one space, digest of the decoded bytes, and
     the ids themselves if asked for.
 
     Encodes every whole text and decodes its ids again in the same task. Null texts are empty; repeated rows and null
-    doc_ids are kept; other columns are ignored; an empty table gives no rows.
+    doc_ids are kept; other columns are ignored; an empty table gives no rows. `memo_bytes` bounds a task's memos, as in
+    BytePairEncoder.
     """
     shared = _shared(docs, ranks)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = BytePairEncoder(*shared.value)
+        encoder = BytePairEncoder(*shared.value, memo_bytes=memo_bytes)
         decimal = {i: str(i) for i in encoder.tokens}.__getitem__
 
         def rows(doc_ids: pa.Array, kept: list[bytes], digests: list[tuple[str, str]]) -> pa.RecordBatch:
