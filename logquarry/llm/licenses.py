@@ -1,14 +1,15 @@
-"""License scan by word differences, measured by conditional compression.
+"""License scan by conditional compression, confirmed by word differences.
 
-Every place of a text where a template's words stand with differences within bounds is found by exact words: whatever the
-bounds allow leaves one of the template's pieces whole, and each whole piece is looked up. Zstandard with the template as a
-raw dictionary tells how much of the template a place holds, and which template a block without a confirmed one is nearest
-to.
+Blocks of license vocabulary and the words around them are cut into windows a little longer than each template, and every
+window is compressed by zstandard with and without the template as a raw dictionary. What that saves, as a share of the
+template's own compressed size, ranks the templates; every one above noise is compared word by word, whatever its rank.
+The exact comparison alone then tells licenses of nearly the same wording apart.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -31,6 +32,12 @@ TELLING = {"affero", "lesser"}
 # Words by which pieces of templates are looked up.
 SEED = 3
 LEVEL = 19
+# Windows are compressed at this level, and begin this often per length of the longest place of a template.
+WINDOW_LEVEL = 3
+STEPS = 4
+# Least share of a template's own compressed size that it must save of a window to be compared word by word. Prose saves up
+# to 0.09, places with as many differing words as the bounds allow 0.3 and more (test_savings_of_places_and_of_prose).
+LEAST_SAVED = 0.15
 
 FOUND = (
     "doc_id long, block int, start int, end int, license string, template int, reduction double, "
@@ -140,15 +147,72 @@ class LicenseScanner:
         dictionaries = [zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for text in texts]
         self.given = [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False) for d in dictionaries]
         self.own = [len(self.alone.compress(text)) for text in texts]
+        # The same over words, prepared once for the many windows; templates of one length share their windows.
+        self.window_alone = zstandard.ZstdCompressor(level=WINDOW_LEVEL, write_content_size=False)
+        self.window_given, self.window_own = [], []
+        self.lengths: dict[int, list[int]] = {}
+        for t, template in enumerate(self.words):
+            known = zstandard.ZstdCompressionDict(self._bytes(template), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=WINDOW_LEVEL)
+            self.window_given.append(zstandard.ZstdCompressor(level=WINDOW_LEVEL, dict_data=known, write_content_size=False))
+            self.window_own.append(len(self.window_alone.compress(self._bytes(template))))
+            self.lengths.setdefault(len(template) + self.allowed[t], []).append(t)
         # Pieces of each template by their first words: one more than the differences allowed, so one of them stays whole.
-        self.seeds: dict[tuple[str, ...], list[tuple[int, int, list[str]]]] = {}
+        self.seeds: list[dict[tuple[str, ...], list[tuple[int, list[str]]]]] = []
         for t, (template, allowed) in enumerate(zip(self.words, self.allowed)):
             pieces = 2 * allowed + 1
+            self.seeds.append({})
             for k in range(pieces):
                 a, b = k * len(template) // pieces, (k + 1) * len(template) // pieces
                 if b - a < SEED:
                     raise ValueError(f"template {t} has fewer than {SEED} words in a piece")
-                self.seeds.setdefault(tuple(template[a : a + SEED]), []).append((t, a, template[a:b]))
+                self.seeds[t].setdefault(tuple(template[a : a + SEED]), []).append((a, template[a:b]))
+
+    @staticmethod
+    def _bytes(found: list[str]) -> bytes:
+        return " ".join(found).encode("utf-8", "surrogatepass")
+
+    def saved(self, t: int, window: bytes, alone: int) -> float:
+        """Share of template t's own size that knowing it saves of a window of `alone` bytes compressed without it."""
+        return (alone - len(self.window_given[t].compress(window))) / self.window_own[t]
+
+    def stretches(self, found: list[str], spans: list[tuple[int, int]]) -> list[tuple[float, int, int, int]]:
+        """Share saved, template, first word and end of every run of windows in which a template saves more than noise,
+        largest share first.
+
+        `spans` are blocks in words. Every wording holds a cue, so a place reaches into a block and lies within its own
+        length of it; a window at every quarter of that length holds the whole place.
+        """
+        result = []
+        for length, templates in self.lengths.items():
+            step = max(1, length // STEPS)
+            merged: list[list[int]] = []
+            for a, b in spans:
+                a, b = max(0, a - length), min(len(found), b + length)
+                if merged and a <= merged[-1][1]:
+                    merged[-1][1] = max(b, merged[-1][1])
+                else:
+                    merged.append([a, b])
+            for low, high in merged:
+                fitting = [t for t in templates if high - low >= len(self.words[t]) - self.allowed[t]]
+                runs: dict[int, list] = {}
+                for a in range(low, max(low + 1, high - length + step), step) if fitting else ():
+                    b = min(a + length + step - 1, high)
+                    window = self._bytes(found[a:b])
+                    alone = len(self.window_alone.compress(window))
+                    for t in fitting:
+                        share = self.saved(t, window, alone)
+                        if share < LEAST_SAVED:
+                            continue
+                        run = runs.get(t)
+                        if run and a <= run[3]:
+                            run[0], run[3] = max(run[0], share), b
+                        else:
+                            if run:
+                                result.append(tuple(run))
+                            runs[t] = [share, t, a, b]
+                result += [tuple(run) for run in runs.values()]
+        return sorted(result, key=lambda r: (-r[0], *r[1:]))
 
     def reduction(self, t: int, text: str) -> float:
         """Bytes that knowing the template saves of the compressed text, as a share of the template's own compressed size."""
@@ -161,40 +225,42 @@ class LicenseScanner:
         t = min(range(len(saved)), key=lambda t: (-saved[t], t))
         return t, saved[t], *differences(self.words[t], words(block))
 
-    def places(self, found: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
-        """Every place of every template within bounds: template, first word, end, missing and added words."""
-        diagonals: dict[int, set[int]] = {}
-        for at, seed in enumerate(zip(*(found[k:] for k in range(SEED)))):
-            for t, offset, piece in self.seeds.get(seed, ()):
+    def places(self, found: list[str], t: int, low: int, high: int) -> list[tuple[int, int, int, list[str], list[str]]]:
+        """Every place of template t within bounds among the words from low to high: template, first word, end, missing and
+        added words. Whatever the bounds allow leaves one of the template's pieces whole, which tells where to align."""
+        template, allowed, seeds = self.words[t], self.allowed[t], self.seeds[t]
+        hits = set()
+        for at in range(low, high - SEED + 1):
+            for offset, piece in seeds.get(tuple(found[at : at + SEED]), ()):
                 if found[at : at + len(piece)] == piece:
-                    diagonals.setdefault(t, set()).add(at - offset)
+                    hits.add(at - offset)
+        clusters: list[list[int]] = []
+        for at in sorted(hits):
+            if clusters and at - clusters[-1][0] <= allowed:
+                clusters[-1][1] = at
+            else:
+                clusters.append([at, at])
         result = []
-        for t, hits in diagonals.items():
-            template, allowed = self.words[t], self.allowed[t]
-            clusters: list[list[int]] = []
-            for at in sorted(hits):
-                if clusters and at - clusters[-1][0] <= allowed:
-                    clusters[-1][1] = at
-                else:
-                    clusters.append([at, at])
-            for low, high in clusters:
-                a, b = max(0, low - allowed), high + allowed
-                window = found[a : b + len(template) + allowed]
-                # At most `allowed` words are missing, in whatever order.
-                if (self.counts[t] - Counter(window)).total() > allowed:
-                    continue
-                place = align(template, window, max(1, b - a + 1), allowed)
-                if place and not TELLING & {*place[2], *place[3]}:
-                    result.append((t, a + place[0], a + place[1], place[2], place[3]))
+        for first, last in clusters:
+            a, b = max(0, first - allowed), last + allowed
+            window = found[a : b + len(template) + allowed]
+            # At most `allowed` words are missing, in whatever order.
+            if (self.counts[t] - Counter(window)).total() > allowed:
+                continue
+            place = align(template, window, max(1, b - a + 1), allowed)
+            if place and not TELLING & {*place[2], *place[3]}:
+                result.append((t, a + place[0], a + place[1], place[2], place[3]))
         return result
 
-    def confirmed(self, found: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
-        """Places that do not overlap, in order of the text. Of overlapping ones that with most equal words less differing
-        ones stays, so a full text goes before a notice that is part of it; then the lower number."""
+    def confirmed(self, found: list[str], spans: list[tuple[int, int]]) -> list[tuple[int, int, int, list[str], list[str]]]:
+        """Places that do not overlap, in order of the text: the exact matches of the templates that compression ranks above
+        noise. Of overlapping ones that with most equal words less differing ones stays, so a full text goes before a notice
+        that is part of it; then the lower number."""
         order = lambda p: (2 * len(p[3]) + len(p[4]) - len(self.words[p[0]]), p[0], p[1])
         taken = bytearray(len(found))
         kept = []
-        for place in sorted(self.places(found), key=order):
+        matches = [place for _, t, low, high in self.stretches(found, spans) for place in self.places(found, t, low, high)]
+        for place in sorted(matches, key=order):
             if not any(taken[place[1] : place[2]]):
                 taken[place[1] : place[2]] = b"\x01" * (place[2] - place[1])
                 kept.append(place)
@@ -206,9 +272,10 @@ class LicenseScanner:
         spans = blocks(text)
         if not spans:
             return []
-        found = [w.lower() for w in _word.findall(text)]
-        places = self.confirmed(found)
-        at = [match.span() for match in _word.finditer(text)] if places else []
+        at = [match.span() for match in _word.finditer(text)]
+        found = [text[a:b].lower() for a, b in at]
+        firsts = [a for a, _ in at]
+        places = self.confirmed(found, [(bisect_left(firsts, a), bisect_left(firsts, b)) for a, b in spans])
         rows, touched = [], set()
         for t, a, b, missing, added in places:
             start, end = at[a][0], at[b - 1][1]

@@ -316,12 +316,75 @@ def test_places_of_templates_against_all_spans(rng):
             row = new
             spans.append((len(template) - row[-1], end - start - row[-1]))
     least = min(map(sum, spans))
-    found = licenses.LicenseScanner([("x", " ".join(template))]).places(text)
+    found = licenses.LicenseScanner([("x", " ".join(template))]).places(text, 0, 0, len(text))
     assert all((len(m), len(a)) in spans and max(len(m), len(a)) <= allowed for _, _, _, m, a in found)
     if all(max(s) <= allowed for s in spans if sum(s) == least):
         assert least == min(len(m) + len(a) for _, _, _, m, a in found)
 
 
+def spaced_edits(template, allowed, fillers):
+    """The template with `allowed` words missing and as many added, all evenly spaced: the most that bounds permit."""
+    words, gap = list(template), len(template) / (2 * allowed + 1)
+    for k in range(2 * allowed, 0, -1):
+        at = int(k * gap)
+        words[at : at + k % 2] = [] if k % 2 else [next(fillers)]
+    return words
+
+
+def test_savings_of_places_and_of_prose(spark, sf_dir):
+    """With as many differences as are allowed, every template still saves clearly more than prose does."""
+    scanner = licenses.LicenseScanner()
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect() if r.text]
+    prose = [w for text in texts for w in licenses.words(text)]
+    rng, compress = random.Random(7), lambda t, w: scanner.saved(t, scanner._bytes(w), len(scanner.window_alone.compress(scanner._bytes(w))))
+    hits, noise = [], []
+    for t, template in enumerate(scanner.words):
+        allowed = scanner.allowed[t]
+        length = len(template) + allowed
+        size = length + max(1, length // licenses.STEPS) - 1
+        for _ in range(20 if len(template) < 300 else 2):
+            at = rng.randrange(len(prose) - 2 * size)
+            words = spaced_edits(template, allowed, iter(prose[at + size :]))
+            spare = size - len(words)
+            before = rng.randint(0, spare)
+            hits.append(compress(t, prose[at : at + before] + words + prose[at + before : at + spare]))
+            noise.append(compress(t, prose[at : at + size]))
+    assert min(hits) > 1.5 * licenses.LEAST_SAVED and max(noise) < licenses.LEAST_SAVED
+
+
+def test_compression_finds_whatever_lookup_finds(spark, sf_dir):
+    """Every place that exact words find anywhere in the documents, or in a changed wording, is ranked above noise."""
+    from logquarry.llm.license_texts import TEMPLATES
+
+    scanner = licenses.LicenseScanner()
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    texts = [t for t in texts if t and licenses.blocks(t)]
+    rng, fillers = random.Random(3), iter(["inserted"] * 10**6)
+    for t, (_, wording) in enumerate(TEMPLATES):
+        changed = " ".join(spaced_edits(scanner.words[t], rng.randint(0, scanner.allowed[t]), fillers))
+        texts += [f"Words before. {wording}\n{changed}", f"{changed}. {SOFTWARE}. {changed}"]
+    confirmed = 0
+    for text in texts:
+        at = [m.span() for m in licenses._word.finditer(text)]
+        found = [text[a:b].lower() for a, b in at]
+        firsts = [a for a, _ in at]
+        spans = [(licenses.bisect_left(firsts, a), licenses.bisect_left(firsts, b)) for a, b in licenses.blocks(text)]
+        through = {p[:3] for _, t, low, high in scanner.stretches(found, spans) for p in scanner.places(found, t, low, high)}
+        looked_up = {p[:3] for t in range(len(TEMPLATES)) for p in scanner.places(found, t, 0, len(found))}
+        assert looked_up <= through
+        confirmed += len(through)
+    assert confirmed > 100
+
+
+def test_nothing_is_confirmed_without_a_saving(monkeypatch):
+    from logquarry.llm.license_texts import MIT_BODY
+
+    text = f"{MIT_BODY} Released under the MIT License."
+    assert [r[-1] for r in licenses.LicenseScanner().rows(text)] == [True, True]
+    monkeypatch.setattr(licenses.LicenseScanner, "saved", lambda *_: 0.0)
+    assert [r[-1] for r in licenses.LicenseScanner().rows(text)] == [False]
+
+
 def test_every_license_of_a_block_is_a_row(spark):
     from logquarry.llm.license_texts import BSD_DISCLAIMER, BSD_THREE, MIT_BODY, whole
 
