@@ -89,11 +89,11 @@ def fit_supervised(
 
 
 def predict_supervised(model: Transformer, features: DataFrame, keep=(KEY,)) -> DataFrame:
-    """(keep, prediction, score): the class and the probability of class 1."""
+    """(keep, prediction, score): the class and the probability of class 1; of a model without probabilities its decision
+    value for class 1, and without that either the class."""
     scored = model.transform(features)
-    score = (
-        vector_to_array("probability")[1] if "probability" in scored.columns else F.col("prediction").cast("double")
-    )
+    known = next((c for c in ("probability", "rawPrediction") if c in scored.columns), None)
+    score = vector_to_array(known)[1] if known else F.col("prediction").cast("double")
     return scored.select(*keep, F.col("prediction").cast("int").alias("prediction"), score.alias("score"))
 
 

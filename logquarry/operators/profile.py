@@ -27,8 +27,11 @@ def dictionary_lookup(profile: DataFrame, dictionary: DataFrame, default: str) -
     )
 
 
-def profile_columns(datasets: dict[str, DataFrame]) -> DataFrame:
-    """(dataset, n_rows, n_columns, position, column, type) for each dataset: one count per dataset."""
+def profile_columns(datasets: dict[str, DataFrame], n_rows: dict[str, int] | None = None) -> DataFrame:
+    """(dataset, n_rows, n_columns, position, column, type) for each dataset: one count per dataset.
+
+    Datasets whose rows were counted when they were written (`n_rows`) are not read again.
+    """
     parts = []
     for name, df in datasets.items():
         columns = F.array(
@@ -39,8 +42,10 @@ def profile_columns(datasets: dict[str, DataFrame]) -> DataFrame:
                 for i, (c, t) in enumerate(df.dtypes, start=1)
             ]
         )
+        known = (n_rows or {}).get(name)
+        counted = df.agg(F.count("*").alias("n_rows")) if known is None else df.sparkSession.range(1).select(F.lit(known).cast("long").alias("n_rows"))
         parts.append(
-            df.agg(F.count("*").alias("n_rows"))
+            counted
             .select(F.lit(name).alias("dataset"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
                     F.explode(columns).alias("c"))
             .select("dataset", "n_rows", "n_columns", "c.position", "c.column", "c.type")
@@ -50,9 +55,9 @@ def profile_columns(datasets: dict[str, DataFrame]) -> DataFrame:
 
 def data_dictionary(
     spark: SparkSession, datasets: dict[str, DataFrame], descriptions=COLUMN_DESCRIPTIONS,
-    default: str = DEFAULT_DESCRIPTIONS["gold"],
+    default: str = DEFAULT_DESCRIPTIONS["gold"], n_rows: dict[str, int] | None = None,
 ) -> DataFrame:
-    return dictionary_lookup(profile_columns(datasets), description_table(spark, descriptions), default)
+    return dictionary_lookup(profile_columns(datasets, n_rows), description_table(spark, descriptions), default)
 
 
 def _per_dataset(texts: dict[str, str], default: str) -> Column:

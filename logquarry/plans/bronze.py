@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from logquarry.operators.profile import data_dictionary, render_documents
 from logquarry.sources.logs import scan_log_csv
-from logquarry.sources.sinks import write_bronze_raw, write_document
+from logquarry.sources.sinks import write_bronze_raw, write_counted, write_document
 from logquarry.sources.snapshots import read_day
 
 
@@ -17,8 +17,8 @@ def csv_to_bronze(
 
     Cells are kept as written; missing-value texts are only read as NULL when the day is cleaned.
     """
-    write_bronze_raw(scan_log_csv(spark, source, null_tokens=(), **csv_options), bronze, dt)
+    n_rows = write_counted(scan_log_csv(spark, source, null_tokens=(), **csv_options), write_bronze_raw, bronze, dt)
     landed = read_day(spark, bronze, dt)
     facts = {"bronze": {"Arquivo de origem": source, "Destino": f"{bronze}/dt={dt}"}}
-    profile = data_dictionary(spark, {"bronze": landed})
+    profile = data_dictionary(spark, {"bronze": landed}, n_rows={"bronze": n_rows})
     write_document(render_documents(profile, generated_at, facts=facts), f"{documents}/dt={dt}")

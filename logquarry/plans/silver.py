@@ -13,7 +13,7 @@ from logquarry.functions.names import canonical_event_resource, drop_null, norma
 from logquarry.operators.marts import dedup_full_row
 from logquarry.operators.profile import data_dictionary, render_documents
 from logquarry.sources.logs import null_tokens_to_null
-from logquarry.sources.sinks import write_document, write_partitioned
+from logquarry.sources.sinks import write_counted, write_document, write_partitioned
 from logquarry.sources.snapshots import read_day
 
 
@@ -54,10 +54,10 @@ def bronze_to_silver(
 ) -> None:
     """Clean day `dt` of the landed table, replace that day of the cleaned table, and describe it."""
     raw = read_day(spark, bronze, dt)
-    write_partitioned(clean_logs(null_tokens_to_null(raw), time_format), silver, dt)
+    n_rows = write_counted(clean_logs(null_tokens_to_null(raw), time_format), write_partitioned, silver, dt)
     stored = read_day(spark, silver, dt)
     facts = {
         "silver": {"Origem": f"{bronze}/dt={dt}", "Destino": f"{silver}/dt={dt}", "Linhas originais": raw.count()}
     }
-    profile = data_dictionary(spark, {"silver": stored}, default=DEFAULT_DESCRIPTIONS["silver"])
+    profile = data_dictionary(spark, {"silver": stored}, n_rows={"silver": n_rows}, default=DEFAULT_DESCRIPTIONS["silver"])
     write_document(render_documents(profile, generated_at, facts=facts), f"{documents}/dt={dt}")

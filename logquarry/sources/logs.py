@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote, urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logquarry.fixed_values import NULL_TOKENS
+from logquarry.sources.records import scan_records
 
 MART_SCHEMAS = {
     "cost": "timestamp TIMESTAMP_NTZ, date DATE, hora_completa STRING, service STRING, requests BIGINT, cost DOUBLE",
@@ -34,46 +32,21 @@ def null_tokens_to_null(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     )
 
 
-def files_with_line_breaks(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """(files with a quoted line break, other files) below `path`.
-
-    A cell that spans lines leaves an odd number of quotes on its first line. The lines are read in splits, so
-    a single huge file is looked through by many tasks.
-    """
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    spanning = lines.where(quotes % 2 == 1).select("_metadata.file_path").distinct().collect()
-    broken = {_plain(row[0]) for row in spanning}
-    files = [_plain(f) for f in lines.inputFiles()]
-    return [f for f in files if f in broken], [f for f in files if f not in broken]
-
-
-def _plain(uri: str) -> str:
-    """A file URI as the path Spark reads it by."""
-    parts = urlparse(uri)
-    return f"{parts.scheme}://{parts.netloc}{unquote(parts.path)}"
-
-
 def scan_log_csv(
     spark: SparkSession, path: str, sep: str = ",", multi_line: bool | None = None, null_tokens=NULL_TOKENS
 ) -> DataFrame:
     """Header CSV to an all-STRING table; nothing is inferred.
 
-    Cells may hold quoted line breaks. Spark cannot split a file for which it has to expect them, so by default
-    the files are looked through first and only those that hold such cells are read by one task each; the
-    others, however large, are split. `multi_line` True or False skips the look.
+    Cells may hold quoted line breaks, and files are split all the same: the lines are looked through for cells that stay
+    open, and where there are any, records are put together from the lines (`sources.records`). `multi_line` True or False
+    leaves the files to Spark's reader, which takes a file with line breaks as one task.
     """
     reader = (
         spark.read.option("header", True).option("quote", '"').option("escape", '"').option("sep", sep)
     )
-    if multi_line is not None:
-        raw = reader.option("multiLine", multi_line).csv(path)
-    else:
-        whole, split = files_with_line_breaks(spark, path)
-        parts = [reader.option("multiLine", bool(kind)).csv(files) for kind, files in ((0, split), (1, whole)) if files]
-        if not parts:
-            raise FileNotFoundError(f"No files at {path}")
-        raw = reduce(DataFrame.unionByName, parts)
+    raw = scan_records(spark, path, sep) if multi_line is None else None
+    if raw is None:
+        raw = reader.option("multiLine", bool(multi_line)).csv(path)
     return null_tokens_to_null(raw, null_tokens)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,16 @@ def write_partitioned(df: DataFrame, path: str, dt: str) -> None:
     )
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame, str, str], None], path: str, dt: str) -> int:
+    """`write(df, path, dt)`, and the rows of that day as the footers of its files tell: no column is read for it.
+
+    An `Observation` of the write is no way to count: once a session has one, models with a training summary, which hold
+    their session, cannot be sent to tasks any more.
+    """
+    write(df, path, dt)
+    return df.sparkSession.read.schema("dt STRING").parquet(path).where(F.col("dt") == dt).count()
+
+
 def export_frame(df: DataFrame) -> DataFrame:
     """Text form of a mart: times as `yyyy-MM-dd HH:mm:ss`, `cost` with eight decimals."""
     columns = []
@@ -35,9 +47,12 @@ def export_frame(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Semicolon-separated UTF-8 with header. No byte-order mark is written."""
-    export_frame(df).write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
+    """Semicolon-separated UTF-8 with header, every file headed by a byte-order mark if asked for."""
+    frame = export_frame(df)
+    if byte_order_mark:
+        frame = frame.withColumnRenamed(frame.columns[0], "\ufeff" + frame.columns[0])
+    frame.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

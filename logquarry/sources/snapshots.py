@@ -16,6 +16,11 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (found or []))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def latest_snapshot_path(spark: SparkSession, base: str, domain: str, name: str) -> str | None:
     """Newest `name.parquet` or `name.csv`: first below `base/domain`, then anywhere below `base`.
 

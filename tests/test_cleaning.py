@@ -9,7 +9,7 @@ from logquarry.functions import columns as c
 from logquarry.functions import names as n
 from logquarry.operators.features import first_valid_timestamp
 from logquarry.plans.silver import clean_logs, with_masked_ip, with_user_hash
-from logquarry.sources.logs import files_with_line_breaks, scan_auto, scan_log_csv, sniff_delimiter
+from logquarry.sources.logs import scan_auto, scan_log_csv, sniff_delimiter
 
 
 def apply(spark, values, expression, kind="string"):
@@ -24,14 +24,12 @@ def test_csv_null_tokens_quotes_and_line_breaks(spark, tmp_path):
     assert found == [("x\ny", 'say "hi"', "1"), (None, None, None), (None, None, None), ("00012", None, "true")]
 
 
-def test_only_files_with_quoted_line_breaks_are_read_whole(spark, tmp_path):
+def test_files_with_and_without_quoted_line_breaks(spark, tmp_path):
     folder = tmp_path / "some logs"
     folder.mkdir()
     (folder / "a.csv").write_text('x,y\n1,"p ""q"""\n2,plain\n')
-    (folder / "b c.csv").write_text('x,y\n3,"two\nlines"\n')
-    whole, split = files_with_line_breaks(spark, str(folder))
-    assert [f.rsplit("/", 1)[1] for f in split] == ["a.csv"] and len(whole) == 1
-    expected = [("1", 'p "q"'), ("2", "plain"), ("3", "two\nlines")]
+    (folder / "b c.csv").write_text('x,y\n3,"two\nlines, and ""more""\n"\n')
+    expected = [("1", 'p "q"'), ("2", "plain"), ("3", 'two\nlines, and "more"\n')]
     assert sorted(rows(scan_log_csv(spark, str(folder)))) == expected
     assert sorted(rows(scan_log_csv(spark, str(folder), multi_line=True))) == expected
 
