@@ -36,7 +36,7 @@ LEVEL = 19
 WINDOW_LEVEL = 3
 STEPS = 4
 # Least share of a template's own compressed size that it must save of a window to be compared word by word. Prose saves up
-# to 0.09, places with as many differing words as the bounds allow 0.3 and more (test_savings_of_places_and_of_prose).
+# to 0.09, places with as many differing words as the bounds allow over 0.22 (test_savings_of_places_and_of_prose).
 LEAST_SAVED = 0.15
 
 FOUND = (
