@@ -1,16 +1,15 @@
 """Embedding hook and vector top-k, exact and approximate.
 
-Exact search is a blocked product. Questions travel to the tasks in shards of measured size; each task multiplies its
-part of the corpus, as it streams by, with the question blocks of the rows' keys (domain or cell) and keeps only the k best
-rows per question. So the corpus is neither shuffled nor joined, crosses into Python once per shard, and the number of
-(question, vector) pairs never becomes a number of rows.
+Exact search is a blocked product. Few questions, by their measured size, travel to all tasks; each task multiplies its part
+of the corpus, as it streams by, with the question blocks of the rows' keys (domain or cell) and keeps only the k best rows
+per question. Of many questions nothing passes through the driver: both sides are packed, dealt over groups of bounded size,
+and every two groups meet in one task. The number of (question, vector) pairs never becomes a number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -20,23 +19,32 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from logquarry.fixed_values import SEED, VECTOR_DIM
-from logquarry.session import shared_dir
 
 ANY = "*"
+# Questions measured at once.
 QUESTION_BLOCK = 256
-# Bytes of question vectors in one shard: larger question sets pass over the corpus once per shard.
+# Bytes of question vectors that travel to every task; larger question sets meet the corpus in groups.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Bytes of vectors in a group of either side.
+GROUP_BYTES = 16 * 1024 * 1024
+# Tasks per core at least, so that none waits long for the last ones.
+TASKS_PER_CORE = 4
+# Corpus vectors measured at once.
+CORPUS_BLOCK = 2048
 # Up to this many asked keys the corpus is filtered to them, which prunes a corpus partitioned by its key.
 MAX_PRUNED_KEYS = 100_000
-# Pairs measured exactly in one step.
-PAIRS_AT_ONCE = 65_536
+# Numbers of pairs measured exactly in one step.
+NUMBERS_AT_ONCE = 4_194_304
+# Squared lengths beyond this are screened in double precision.
+SINGLE_LIMIT = 1e30
 # Up to this many asked domains the corpus is filtered to them before it is packed.
 MAX_PRUNED_DOMAINS = 1000
+MOST_PARTITIONS = 20_000
 
 
 def embed_texts(
@@ -83,29 +91,47 @@ def _without_spare_copies(ids: np.ndarray, vectors: np.ndarray, n: int) -> np.nd
 
 
 class _Nearest:
-    """The n nearest vectors so far of each question of one block: squared distances and ids, sorted, ties by id."""
+    """The n nearest vectors so far of each question: squared distances and ids, sorted, ties by id."""
 
     def __init__(self, question_ids: np.ndarray, questions: np.ndarray, n: int):
         self.question_ids, self.questions, self.n = question_ids, questions, n
-        self.norms = (questions**2).sum(1)[:, None]
+        self.norms = (questions.astype(np.float64) ** 2).sum(1)
         self.distance = np.full((len(questions), n), np.inf)
         self.ids = np.full((len(questions), n), np.iinfo(np.int64).max)
 
-    def see(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray) -> None:
-        """Take in a block of corpus vectors."""
-        rough = self.norms + norms[None, :] - 2.0 * (self.questions @ vectors.T)
-        limit = self.distance[:, -1]
+    def search(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """Take in corpus vectors, for the questions in the given rows only or for all."""
+        rows = np.arange(len(self.questions)) if rows is None else rows
+        if not len(rows):
+            return
+        for start in range(0, len(ids), CORPUS_BLOCK):
+            part = vectors[start : start + CORPUS_BLOCK]
+            norms = (part.astype(np.float64) ** 2).sum(1)
+            single = max(norms.max(), self.norms[rows].max()) < SINGLE_LIMIT
+            screen = np.column_stack([part, norms]).astype(np.float32 if single else np.float64)
+            for at in range(0, len(rows), QUESTION_BLOCK):
+                self._see(rows[at : at + QUESTION_BLOCK], ids[start : start + CORPUS_BLOCK], part, screen, norms.max())
+
+    def _see(self, asked: np.ndarray, ids: np.ndarray, vectors: np.ndarray, screen: np.ndarray, longest: float) -> None:
+        norms, questions = self.norms[asked], self.questions[asked].astype(screen.dtype)
+        lead = np.column_stack([-2 * questions, np.ones(len(asked), screen.dtype)])
+        # Squared distances but for the question's own length.
+        rough = lead @ screen.T
+        # The product errs in the last digits, in single precision more: keep all it cannot tell from the limit, then
+        # measure exactly.
+        error = 1e-9 * (1.0 + norms + longest)
+        error += (screen.shape[1] + 4) * float(np.finfo(screen.dtype).eps) * (np.sqrt(norms) + np.sqrt(longest)) ** 2
+        limit = self.distance[asked, -1] - norms + error
         if len(ids) > self.n and np.isinf(limit).any():
-            limit = np.minimum(limit, np.partition(rough, self.n - 1, axis=1)[:, self.n - 1])
-        # The product form errs in the last digits: keep all it cannot tell from the limit, then measure exactly.
-        slack = 1e-9 * (1.0 + self.norms[:, 0] + norms.max(initial=0.0))
-        rows, columns = np.nonzero(rough <= (limit + slack)[:, None])
-        for start in range(0, len(rows), PAIRS_AT_ONCE):
-            part = slice(start, start + PAIRS_AT_ONCE)
-            self._merge(rows[part], ids[columns[part]], self._exact(rows[part], vectors, columns[part]))
+            limit = np.minimum(limit, np.partition(rough, self.n - 1, axis=1)[:, self.n - 1] + 2 * error)
+        rows, columns = np.nonzero(rough <= np.nextafter(limit.astype(screen.dtype), screen.dtype.type(np.inf))[:, None])
+        step = max(1, NUMBERS_AT_ONCE // max(1, vectors.shape[1]))
+        for start in range(0, len(rows), step):
+            part = slice(start, start + step)
+            self._merge(asked[rows[part]], ids[columns[part]], self._exact(asked[rows[part]], vectors, columns[part]))
 
     def _exact(self, rows, vectors, columns):
-        return ((vectors[columns] - self.questions[rows]) ** 2).sum(axis=1)
+        return ((vectors[columns].astype(np.float64) - self.questions[rows]) ** 2).sum(axis=1)
 
     def _merge(self, rows, ids, distance) -> None:
         touched, group = np.unique(rows, return_inverse=True)
@@ -139,10 +165,10 @@ def _matrix(column: pa.Array | pa.ChunkedArray, what: str) -> np.ndarray:
     return found
 
 
-def _question_blocks(shard: DataFrame, key: str | None, question_vector: str) -> dict:
-    """Per key, blocks (ids, vectors, n) of a shard's questions; the shard's size has been measured."""
+def _question_blocks(asked: DataFrame, key: str | None, question_vector: str) -> dict:
+    """Per key, blocks (ids, vectors, n) of questions whose size has been measured."""
     names = [*([key] if key else []), "question_id", question_vector, "n"]
-    rows = shard.select(*[F.col(f"`{c}`") for c in names]).toArrow()
+    rows = asked.select(*[F.col(f"`{c}`") for c in names]).toArrow()
     vectors = _matrix(rows[question_vector], "Question") if rows.num_rows else np.zeros((0, 1), dtype=np.float32)
     ids, limits = rows["question_id"].to_numpy(), rows["n"].to_numpy()
     keys = rows[key].to_pylist() if key else [None] * rows.num_rows
@@ -151,17 +177,42 @@ def _question_blocks(shard: DataFrame, key: str | None, question_vector: str) ->
         places.setdefault(of, []).append(place)
     blocks: dict = {}
     for (value, n), found in places.items():
-        for at in range(0, len(found), QUESTION_BLOCK):
-            part = found[at : at + QUESTION_BLOCK]
-            blocks.setdefault(value, []).append((ids[part], vectors[part], n))
+        blocks.setdefault(value, []).append((ids[found], vectors[found], n))
     return blocks
 
 
+def _places(column: pa.Array | None, n: int) -> Iterator[tuple[object, np.ndarray]]:
+    """Each key of a column of keys or arrays of keys with the places of its rows; without keys all rows under None."""
+    if column is None:
+        yield None, np.arange(n)
+        return
+    owner = np.arange(n)
+    if pa.types.is_list(column.type):
+        owner, column = np.asarray(pc.list_parent_indices(column)), pc.list_flatten(column)
+    coded = pc.dictionary_encode(column)
+    codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    cuts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+    for value, a, b in zip(coded.dictionary.to_pylist(), cuts, cuts[1:]):
+        yield value, np.unique(owner[order[a:b]])
+
+
+def _hits(nearest: _Nearest, value: object, key_arrow: pa.DataType | None) -> list[pa.Array]:
+    question_ids, found, distance = nearest.found()
+    keys = [] if key_arrow is None else [pa.array([value], key_arrow).take(pa.array(np.zeros(len(found), np.int32)))]
+    return [*keys, pa.array(question_ids, pa.int64()), pa.array(found, pa.int64()), pa.array(distance), pa.array(np.full(len(found), nearest.n), pa.int32())]
+
+
+def _hit_columns(key_type: str, keyed: bool) -> tuple[pa.DataType, str, list[str]]:
+    """Arrow type of the key, Spark schema and names of what a search finds."""
+    schema = f"key {key_type}, " * keyed + "question_id bigint, id bigint, score double, n int"
+    return {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[key_type], schema, ["key"] * keyed + ["question_id", "id", "score", "n"]
+
+
 def _scan(corpus: DataFrame, blocks: dict, key: str | None, ident: str, vector: str, key_type: str) -> DataFrame:
-    """One pass over the corpus: each task's nearest vectors per question of one shard."""
+    """One pass over the corpus: each task's nearest vectors per question."""
     rows = corpus.where(F.col(vector).isNotNull())
-    several = key is not None and dict(corpus.dtypes)[key].startswith("array")
-    if key is not None and not several and len(blocks) <= MAX_PRUNED_KEYS:
+    if key is not None and not dict(corpus.dtypes)[key].startswith("array") and len(blocks) <= MAX_PRUNED_KEYS:
         rows = rows.where(F.col(key).isin([k for k in blocks if k is not None]))
     columns = [F.col(ident).cast("bigint").alias("ident"), F.col(vector).cast("array<float>").alias("vector")]
     rows = rows.select(*([F.col(key).alias("key")] if key else []), *columns)
@@ -169,20 +220,6 @@ def _scan(corpus: DataFrame, blocks: dict, key: str | None, ident: str, vector:
     dim = next((vectors.shape[1] for of in blocks.values() for _, vectors, _ in of), None)
     shared = corpus.sparkSession.sparkContext.broadcast(blocks)
 
-    def members(batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
-        """The keys that are asked for, with the places of their rows."""
-        if key is None:
-            yield None, np.arange(batch.num_rows)
-            return
-        column, owner = batch["key"], np.arange(batch.num_rows)
-        if several:
-            owner, column = np.asarray(pc.list_parent_indices(column)), pc.list_flatten(column)
-        coded = pc.dictionary_encode(column)
-        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        for code, value in enumerate(coded.dictionary.to_pylist()):
-            if value in shared.value:
-                yield value, np.unique(owner[codes == code])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict = {}
         for batch in batches:
@@ -191,29 +228,134 @@ def _scan(corpus: DataFrame, blocks: dict, key: str | None, ident: str, vector:
             vectors, ids = _matrix(batch["vector"], "Corpus"), np.asarray(batch["ident"])
             if vectors.shape[1] != dim:
                 raise ValueError(f"Question vectors have {dim} numbers, corpus vectors {vectors.shape[1]}")
-            for value, places in members(batch):
+            for value, places in _places(batch["key"] if key is not None else None, batch.num_rows):
+                if value not in shared.value:
+                    continue
                 places = places[_without_spare_copies(ids[places], vectors[places], most)]
-                part = vectors[places].astype(np.float64)
-                norms = (part**2).sum(1)
                 if value not in kept:
-                    kept[value] = [_Nearest(q_ids, q.astype(np.float64), n) for q_ids, q, n in shared.value[value]]
+                    kept[value] = [_Nearest(q_ids, q, n) for q_ids, q, n in shared.value[value]]
                 for nearest in kept[value]:
-                    nearest.see(ids[places], part, norms)
+                    nearest.search(ids[places], vectors[places])
         for value, of in kept.items():
             for nearest in of:
-                question_ids, found, distance = nearest.found()
-                columns = [pa.array(question_ids, pa.int64()), pa.array(found, pa.int64()), pa.array(distance), pa.array(np.full(len(found), nearest.n), pa.int32())]
-                names = ["question_id", "id", "score", "n"]
-                if key is not None:
-                    columns, names = [pa.array([value] * len(found), key_arrow), *columns], ["key", *names]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    key_arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[key_type]
-    schema = f"key {key_type}, " * (key is not None) + "question_id bigint, id bigint, score double, n int"
+                yield pa.RecordBatch.from_arrays(_hits(nearest, value, key_arrow if key is not None else None), names=names)
+
+    key_arrow, schema, names = _hit_columns(key_type, key is not None)
     found = rows.mapInArrow(run, schema)
     return found if key is None else found.withColumnRenamed("key", key)
 
 
+def packed(rows: DataFrame, group: str) -> DataFrame:
+    """(group, rows): the rows of one group in a batch as one Arrow table, so that Spark moves bytes and no numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from packed_groups(batch, group)
+
+    return rows.mapInArrow(run, f"`{group}` int, rows binary")
+
+
+def packed_groups(batch: pa.RecordBatch, group: str) -> Iterator[pa.RecordBatch]:
+    codes = batch[group].to_numpy()
+    order = np.argsort(codes, kind="stable")
+    names = [c for c in batch.schema.names if c != group]
+    sorted_rows = batch.select(names).take(pa.array(order))
+    cuts = [0, *(np.flatnonzero(np.diff(codes[order])) + 1).tolist(), len(order)]
+    for a, b in zip(cuts, cuts[1:]):
+        blob = pa.array([table_bytes(sorted_rows.slice(a, b - a))], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([codes[order[a]]], pa.int32()), blob], names=[group, "rows"])
+
+
+def table_bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def group_numbers(session: SparkSession, corpus_bytes: int, question_bytes: int) -> tuple[int, int]:
+    """Groups of corpus and questions: of bounded size, and with enough pairs to keep all cores busy."""
+    corpus, questions = (max(1, -(-size // GROUP_BYTES)) for size in (corpus_bytes, question_bytes))
+    return corpus, max(questions, -(-TASKS_PER_CORE * session.sparkContext.defaultParallelism // corpus))
+
+
+def meet(questions: DataFrame, corpus: DataFrame, pairs: int, key_type: str | None = None, merged: bool = False) -> DataFrame:
+    """Nearest vectors per question of every pair of groups; both sides hold (question_group, corpus_group, rows).
+
+    Packed questions are (question_id, q, n) and with `key_type` a key or an array of keys, packed vectors (ident, vector)
+    and the same. Result: (key, question_id, id, score, n). `merged` questions have one `n` in a group and get their n
+    nearest under all of their keys together, without a key.
+    """
+
+    def unpacked(side: pa.Table) -> pa.Table | None:
+        parts = [pa.ipc.open_stream(blob.as_buffer()).read_all() for blob in side["rows"]]
+        return pa.concat_tables(parts).combine_chunks() if parts else None
+
+    def members(side: pa.Table) -> Iterator[tuple[object, np.ndarray]]:
+        return _places(side["key"].combine_chunks() if key_type else None, side.num_rows)
+
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        asked, stored = unpacked(left), unpacked(right)
+        found = []
+        queries = None if asked is None else _matrix(asked["q"], "Question")
+        vectors = None if stored is None else _matrix(stored["vector"], "Corpus")
+        if queries is not None and vectors is not None:
+            if queries.shape[1] != vectors.shape[1]:
+                raise ValueError(f"Question vectors have {queries.shape[1]} numbers, corpus vectors {vectors.shape[1]}")
+            question_ids, limits, ids = asked["question_id"].to_numpy(), asked["n"].to_numpy(), stored["ident"].to_numpy()
+            wanted = dict(members(asked))
+            every = _Nearest(question_ids, queries, int(limits[0])) if merged else None
+            for value, places in members(stored):
+                if value not in wanted:
+                    continue
+                places = places[_without_spare_copies(ids[places], vectors[places], int(limits[wanted[value]].max()))]
+                if merged:
+                    every.search(ids[places], vectors[places], wanted[value])
+                    continue
+                for n in np.unique(limits[wanted[value]]).tolist():
+                    rows = wanted[value][limits[wanted[value]] == n]
+                    one = _Nearest(question_ids[rows], queries[rows], n)
+                    one.search(ids[places], vectors[places])
+                    found.append(_hits(one, value, key_arrow if keyed else None))
+            if merged:
+                found.append(_hits(every, None, None))
+        return pa.concat_tables([pa.Table.from_arrays(part, names=names) for part in found] or [empty])
+
+    keyed = key_type is not None and not merged
+    key_arrow, schema, names = _hit_columns(key_type or "string", keyed)
+    empty = pa.table({c: pa.array([], t) for c, t in zip(names, [key_arrow] * keyed + [pa.int64(), pa.int64(), pa.float64(), pa.int32()])})
+    # A number of partitions of its own: each pair of groups is long work on few bytes.
+    groups = ["question_group", "corpus_group"]
+    sides = [side.repartition(max(1, min(2 * pairs, MOST_PARTITIONS)), *groups).groupBy(*groups) for side in (questions, corpus)]
+    return sides[0].cogroup(sides[1]).applyInArrow(nearest, schema)
+
+
+def _meet_all(corpus: DataFrame, asked: DataFrame, key: str | None, ident: str, vector: str, question_vector: str, question_bytes: int) -> DataFrame:
+    """Every question group with every group of the corpus."""
+    session, key_type = corpus.sparkSession, dict(asked.dtypes)[key] if key else None
+    rows = corpus.where(F.col(vector).isNotNull())
+    if key is not None and not dict(corpus.dtypes)[key].startswith("array"):
+        keys = [r[0] for r in asked.select(key).distinct().limit(MAX_PRUNED_KEYS + 1).collect()]
+        if len(keys) <= MAX_PRUNED_KEYS:
+            rows = rows.where(F.col(key).isin([k for k in keys if k is not None]))
+    corpus_bytes = rows.agg(vector_bytes(vector)).first()[0] or 0
+    corpus_groups, question_groups = group_numbers(session, corpus_bytes, question_bytes)
+    keys = [F.col(f"`{key}`").alias("key")] if key else []
+
+    def dealt(ident: Column, vector: Column, groups: int) -> Column:
+        return F.pmod(F.xxhash64(ident, vector), F.lit(groups)).cast("int")
+
+    number, numbers = F.col(ident).cast("bigint").alias("ident"), F.col(vector).cast("array<float>").alias("vector")
+    stored = packed(rows.select(*keys, number, numbers, dealt(number, numbers, corpus_groups).alias("corpus_group")), "corpus_group")
+    stored = stored.withColumn("question_group", F.explode(F.sequence(F.lit(0), F.lit(question_groups - 1))))
+    number, numbers = F.col("question_id"), F.col(question_vector).cast("array<float>").alias("q")
+    questions = packed(asked.select(*keys, number, numbers, "n", dealt(number, numbers, question_groups).alias("question_group")), "question_group")
+    questions = questions.withColumn("corpus_group", F.explode(F.sequence(F.lit(0), F.lit(corpus_groups - 1))))
+    found = meet(questions, stored, corpus_groups * question_groups, key_type)
+    return found if key is None else found.withColumnRenamed("key", key)
+
+
 def knn_candidates(
     corpus: DataFrame, questions: DataFrame, key: str | None = None, ident: str = "id", vector: str = "embedding",
     question_vector: str = "q", broadcast_bytes: int = BROADCAST_BYTES, question_bytes: int | None = None,
@@ -222,29 +364,19 @@ def knn_candidates(
 
     `questions` holds (key, question_id, q, n); without `key` every question meets every vector. The corpus's key may be
     an array: the row then has each of its names. Each task gives its n best per question, so the result is a superset
-    that the caller ranks. The questions' size is measured first; beyond `broadcast_bytes` they are dealt over shards,
-    and what a shard finds is stored before the next one starts. Vectors are neither shuffled nor joined. Null vectors are
-    not searched; vectors of another length, or with numbers that are null or not finite, are an error.
+    that the caller ranks. The questions' size is measured first; up to `broadcast_bytes` they travel to all tasks, and
+    the corpus is neither shuffled nor joined. Beyond, groups of both sides meet, so what is shuffled is each side times the
+    other's number of groups. Null vectors are not searched; vectors of another length, or with numbers that are null or not
+    finite, are an error.
     """
     asked = questions.where(F.col(question_vector).isNotNull())
     asked = asked.withColumns({"n": F.col("n").cast("int"), "question_id": F.col("question_id").cast("bigint")})
     if question_bytes is None:
         question_bytes = asked.agg(vector_bytes(question_vector)).first()[0]
-    shards = max(1, -(-(question_bytes or 0) // broadcast_bytes))
+    if (question_bytes or 0) > broadcast_bytes:
+        return _meet_all(corpus, asked, key, ident, vector, question_vector, question_bytes)
     key_type = dict(asked.dtypes)[key] if key else "string"
-    if shards == 1:
-        return _scan(corpus, _question_blocks(asked, key, question_vector), key, ident, vector, key_type)
-    session, found = corpus.sparkSession, None
-    path = shared_dir(session, f"nearest-{uuid4().hex}")
-    for shard in range(shards):
-        part = asked.where(F.pmod(F.xxhash64("question_id"), F.lit(shards)) == shard)
-        blocks = _question_blocks(part, key, question_vector)
-        if blocks:
-            one = _scan(corpus, blocks, key, ident, vector, key_type)
-            one.write.parquet(f"{path}/{shard}")
-            one = session.read.schema(one.schema).parquet(f"{path}/{shard}")
-            found = one if found is None else found.unionByName(one)
-    return _scan(corpus, {}, key, ident, vector, key_type) if found is None else found
+    return _scan(corpus, _question_blocks(asked, key, question_vector), key, ident, vector, key_type)
 
 
 def ranked(candidates: DataFrame, group: list[str], k) -> DataFrame:

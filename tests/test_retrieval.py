@@ -56,6 +56,23 @@ def test_knn_against_brute_force(spark, monkeypatch, broadcast_bytes, copies):
     assert inside == {i: nearest(data, q[i], 7, np.arange(1, 300, 4)) for i in range(20)}
 
 
+def test_many_questions_do_not_pass_through_the_driver(spark, monkeypatch):
+    """Groups of a few vectors on both sides; per key, per array of keys and without."""
+    monkeypatch.setattr(vectors, "_question_blocks", None)
+    monkeypatch.setattr(vectors, "GROUP_BYTES", 1000)
+    monkeypatch.setattr(vectors, "CORPUS_BLOCK", 7)
+    df, data = table(spark, 120, 40)
+    data[:3] *= 1e18
+    df = spark.createDataFrame([(r["id"], r["domain"], r["text"], data[r["id"]].tolist()) for r in df.collect()], df.schema)
+    questions, q = asked(spark, 40)
+    found = by_question(vectors.knn_global(df, questions, 7, broadcast_bytes=200))
+    assert found == {i: nearest(data, q[i], 7, np.arange(120)) for i in range(40)}
+    half = F.col("question_id") % 2 == 0
+    routes = questions.withColumns({"domain": F.when(half, "*").otherwise("cost"), "n": F.when(half, 4).otherwise(50)})
+    found = by_question(vectors.knn_routed(df, routes, broadcast_bytes=200))
+    assert found == {i: nearest(data, q[i], *((4, np.arange(120)) if i % 2 == 0 else (50, np.arange(0, 120, 4)))) for i in range(40)}
+
+
 def test_scores_are_squared_distances(spark):
     df = spark.createDataFrame([(1, "d", [0.0, 3.0]), (2, "d", None)], "id long, domain string, embedding array<float>")
     questions = spark.createDataFrame([(9, [4.0, 0.0])], "question_id long, q array<float>")
