@@ -9,7 +9,7 @@ nearer, and only the remaining cells are read in a second pass.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import isqrt
 from uuid import uuid4
@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logquarry.operators.vectors import _matrix, fit_cells, knn_candidates, ranked
+from logquarry.operators import vectors as search
+from logquarry.operators.vectors import _matrix, fit_cells, knn_candidates, ranked, vector_bytes
 from logquarry.session import shared_dir
 
 # The table of centres is held in memory by driver and tasks, so cells are bounded; beyond it cells hold more vectors.
@@ -129,35 +130,129 @@ def _cells_within(index: CellIndex, bounded: DataFrame, probes: int) -> DataFram
     def open_cells(vectors: pd.Series, bound: pd.Series) -> pd.Series:
         found, limits = [], np.sqrt(bound.fillna(np.inf).to_numpy(dtype=np.float64))
         for at, distance in _distances(np.array([*vectors], dtype=np.float64).reshape(len(vectors), -1), centres[held]) if len(vectors) else ():
-            order = np.argsort(distance, axis=1, kind="stable")
-            slack = 1e-6 + SLACK * distance
-            inside = distance - radii[held][None, :] - slack <= limits[at : at + len(distance), None]
-            np.put_along_axis(inside, order[:, :probes], False, axis=1)
+            inside = _inside(distance, radii[held], limits[at : at + len(distance)], probes)
             found.extend(held[row].tolist() for row in inside)
         return pd.Series(found, dtype=object)
 
     return bounded.withColumn("cell", F.explode(open_cells("q", "bound"))).drop("bound")
 
 
-def knn_probed(index: CellIndex, questions: DataFrame, probes: int, k: int = 5, **options) -> DataFrame:
+def _first(distance: np.ndarray, probes: int) -> np.ndarray:
+    """Which cells are a question's `probes` nearest, by rows of distances to the centres."""
+    inside = np.zeros(distance.shape, dtype=bool)
+    np.put_along_axis(inside, np.argsort(distance, axis=1, kind="stable")[:, :probes], True, axis=1)
+    return inside
+
+
+def _inside(distance: np.ndarray, radii: np.ndarray, limits: np.ndarray, probes: int) -> np.ndarray:
+    """Which further cells may hold a vector within the limit."""
+    slack = 1e-6 + SLACK * distance
+    return (distance - radii[None, :] - slack <= limits[:, None]) & ~_first(distance, probes)
+
+
+def cell_groups(index: CellIndex, dim: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Per cell its first group and its number of groups, and the number of all: cells one after another up to
+    GROUP_BYTES of vectors together, larger ones over several groups."""
+    size = index.sizes * dim * 4
+    pieces = np.maximum(1, -(-size // search.GROUP_BYTES))
+    first, at, filled = np.zeros(len(size), dtype=np.int32), 0, 0
+    for cell in range(len(size)):
+        if filled and filled + size[cell] > search.GROUP_BYTES:
+            at, filled = at + 1, 0
+        first[cell] = at
+        filled += size[cell]
+        if pieces[cell] > 1:
+            at, filled = at + int(pieces[cell]), 0
+    return first, pieces.astype(np.int32), int((first + pieces).max(initial=1))
+
+
+def _meet_cells(index: CellIndex, asked: DataFrame, size: int, k: int, opened: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """(question_id, id, score, n): the k nearest vectors of each question in the cells that are open to it.
+
+    For question sets that do not travel whole. `asked` holds (question_id, q, bound), `opened` tells from distances to the
+    centres of the cells that hold vectors, and bounds, which are open. A question is sent once to a group of cells, with
+    the numbers of those open to it, however many these are.
+    """
+    session, centres, held = asked.sparkSession, index.centres, np.flatnonzero(index.sizes > 0)
+    first, pieces, corpus_groups = cell_groups(index, centres.shape[1])
+    _, question_groups = search.group_numbers(session, corpus_groups * search.GROUP_BYTES, size)
+    last = first + pieces - 1
+    inside = [np.flatnonzero((first[held] <= g) & (g <= last[held])) for g in range(corpus_groups)]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = _matrix(batch["q"], "Question")
+            if vectors.shape[1] != centres.shape[1]:
+                raise ValueError(f"Question vectors have {vectors.shape[1]} numbers, corpus vectors {centres.shape[1]}")
+            bounds = batch["bound"].fill_null(np.inf).to_numpy(zero_copy_only=False)
+            for at, distance in _distances(vectors, centres[held]):
+                is_open = opened(distance, bounds[at : at + len(distance)])
+                part = batch.slice(at, len(distance)).select(["question_id", "q", "n", "question_group"])
+                for group, cells in enumerate(inside):
+                    rows = np.flatnonzero(is_open[:, cells].any(axis=1))
+                    if not len(rows):
+                        continue
+                    of, place = np.nonzero(is_open[np.ix_(rows, cells)])
+                    offsets = np.searchsorted(of, np.arange(len(rows) + 1)).astype(np.int32)
+                    keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(held[cells][place], pa.int32()))
+                    sent = part.take(pa.array(rows))
+                    sent = pa.RecordBatch.from_arrays([*sent.columns, keys], names=[*sent.schema.names, "key"])
+                    for blob in search.packed_groups(sent, "question_group"):
+                        yield pa.RecordBatch.from_arrays([*blob.columns, pa.array([group], pa.int32())], names=["question_group", "rows", "corpus_group"])
+
+    number = F.col("question_id").cast("bigint").alias("question_id")
+    numbers = F.col("q").cast("array<float>").alias("q")
+    dealt = F.pmod(F.xxhash64(number, numbers), F.lit(question_groups)).cast("int").alias("question_group")
+    questions = asked.select(number, numbers, F.lit(k).alias("n"), F.col("bound").cast("double"), dealt)
+    questions = questions.mapInArrow(deal, "question_group int, rows binary, corpus_group int")
+    # As many rows as there are cells.
+    placed = session.createDataFrame([(c, int(first[c]), int(pieces[c])) for c in held.tolist()], "cell int, first int, pieces int")
+    rows = index.rows.select(F.col("cell").alias("key"), F.col("id").cast("bigint").alias("ident"), F.col("embedding").cast("array<float>").alias("vector"))
+    rows = rows.join(F.broadcast(placed.withColumnRenamed("cell", "key")), "key")
+    piece = F.col("first") + F.pmod(F.xxhash64("ident", "vector"), "pieces").cast("int")
+    stored = search.packed(rows.select("key", "ident", "vector", piece.alias("corpus_group")), "corpus_group")
+    stored = stored.withColumn("question_group", F.explode(F.sequence(F.lit(0), F.lit(question_groups - 1))))
+    return search.meet(questions, stored, corpus_groups * question_groups, "int", merged=True)
+
+
+def knn_probed(
+    index: CellIndex, questions: DataFrame, probes: int, k: int = 5, broadcast_bytes: int = search.BROADCAST_BYTES, **options
+) -> DataFrame:
     """(question_id, rank, id, score): the k nearest vectors within the `probes` nearest cells of each question.
 
     Scores are exact squared distances, so every hit is a true distance; nearer vectors in other cells may be missed.
     Questions without a vector get no hits.
     """
-    asked = probed_cells(index, questions.where(F.col("q").isNotNull()), probes).withColumn("n", F.lit(k))
-    return ranked(knn_candidates(index.rows, asked, "cell", **options), ["question_id"], k).select("question_id", "rank", "id", "score")
-
-
-def knn_indexed(index: CellIndex, questions: DataFrame, k: int = 5, probes: int = 2, **options) -> DataFrame:
+    asked = questions.where(F.col("q").isNotNull())
+    size = asked.agg(vector_bytes("q")).first()[0] or 0
+    if size * min(probes, len(index.centres)) > broadcast_bytes:
+        open_to_all = asked.withColumn("bound", F.lit(None).cast("double"))
+        found = _meet_cells(index, open_to_all, size, k, lambda distance, bounds: _first(distance, probes))
+    else:
+        found = knn_candidates(index.rows, probed_cells(index, asked, probes).withColumn("n", F.lit(k)), "cell", broadcast_bytes=broadcast_bytes, **options)
+    return ranked(found, ["question_id"], k).select("question_id", "rank", "id", "score")
+
+
+def knn_indexed(
+    index: CellIndex, questions: DataFrame, k: int = 5, probes: int = 2, broadcast_bytes: int = search.BROADCAST_BYTES, **options
+) -> DataFrame:
     """(question_id, rank, id, score): the k nearest vectors, exact, reading only cells that can hold one of them."""
     asked = questions.where(F.col("q").isNotNull()).select("question_id", "q")
     path = shared_dir(asked.sparkSession, f"probed-{uuid4().hex}")
-    knn_probed(index, asked, probes, k, **options).write.parquet(path)
+    knn_probed(index, asked, probes, k, broadcast_bytes, **options).write.parquet(path)
     first = asked.sparkSession.read.parquet(path)
     bounds = first.where(F.col("rank") == k).select("question_id", F.col("score").alias("bound"))
-    more = _cells_within(index, asked.join(bounds, "question_id", "left"), probes).withColumn("n", F.lit(k))
-    rest = knn_candidates(index.rows, more, "cell", **options).select("question_id", "id", "score")
+    bounded = asked.join(bounds, "question_id", "left")
+    size = bounded.agg(vector_bytes("q")).first()[0] or 0
+    if size * len(index.centres) > broadcast_bytes:
+        radii = index.radii[index.sizes > 0]
+        rest = _meet_cells(index, bounded, size, k, lambda distance, squares: _inside(distance, radii, np.sqrt(squares), probes))
+    else:
+        more = _cells_within(index, bounded, probes).withColumn("n", F.lit(k))
+        rest = knn_candidates(index.rows, more, "cell", broadcast_bytes=broadcast_bytes, **options)
+    rest = rest.select("question_id", "id", "score")
     return ranked(first.select("question_id", "id", "score").unionByName(rest), ["question_id"], k).select("question_id", "rank", "id", "score")
 
 

@@ -124,6 +124,24 @@ def test_index_gives_exact_results(spark, tmp_path, copies, n_cells):
     assert by_question(cells.knn_indexed(index, questions, 400, probes=1)) == {i: nearest(data, q[i], 400, np.arange(300)) for i in range(20)}
 
 
+@pytest.mark.parametrize("group_bytes", [300, 1 << 20])
+def test_many_questions_meet_the_index_in_groups(spark, tmp_path, monkeypatch, group_bytes):
+    """No question is repeated per cell it probes; a cell may be larger than a group."""
+    monkeypatch.setattr(vectors, "_question_blocks", None)
+    monkeypatch.setattr(vectors, "GROUP_BYTES", group_bytes)
+    df, data = table(spark, 200, 50)
+    questions, q = asked(spark, 30)
+    cells.build_index(df, str(tmp_path), 6)
+    index = cells.open_index(spark, str(tmp_path))
+    want = {i: nearest(data, q[i], 7, np.arange(200)) for i in range(30)}
+    assert by_question(cells.knn_indexed(index, questions, 7, probes=2, broadcast_bytes=200)) == want
+    assert by_question(cells.knn_probed(index, questions, 6, 7, broadcast_bytes=200)) == want
+    cell = {r["id"]: r["cell"] for r in index.rows.select("id", "cell").collect()}
+    near = np.argsort(((q[:, None].astype(float) - index.centres[None]) ** 2).sum(2), axis=1)[:, :2]
+    held = {i: np.array([j for j in range(200) if cell[j] in near[i]]) for i in range(30)}
+    assert by_question(cells.knn_probed(index, questions, 2, 7, broadcast_bytes=200)) == {i: nearest(data, q[i], 7, held[i]) for i in range(30)}
+
+
 def test_index_passes_over_far_cells(spark, tmp_path):
     """Groups of vectors far from each other: the second pass opens none of them, a probe reads one folder."""
     rng = np.random.default_rng(1)
