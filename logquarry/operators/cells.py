@@ -2,8 +2,8 @@
 
 Cells are the neighbourhoods of centres fitted on a bounded sample, about as many as the square root of the vectors. Every
 vector is written to the folder of its cell, with its distance to the centre; a small table holds each cell's centre, its
-radius and its number of vectors. A search reads the folders of the cells its questions probe and no others. For an exact
-answer the k-th distance found there is a bound: a cell whose centre is farther than that plus its radius can hold nothing
+radius and its number of vectors. A search reads the folders of the cells its questions probe and no others, unless there
+are too many questions to travel whole: then it reads all and searches the probed ones. For an exact answer the k-th distance found there is a bound: a cell whose centre is farther than that plus its radius can hold nothing
 nearer, and only the remaining cells are read in a second pass.
 """
 
@@ -238,7 +238,8 @@ def knn_probed(
 def knn_indexed(
     index: CellIndex, questions: DataFrame, k: int = 5, probes: int = 2, broadcast_bytes: int = search.BROADCAST_BYTES, **options
 ) -> DataFrame:
-    """(question_id, rank, id, score): the k nearest vectors, exact, reading only cells that can hold one of them."""
+    """(question_id, rank, id, score): the k nearest vectors, exact, searching only cells that can hold one of them; small
+    question sets read no others, large ones read the whole index."""
     asked = questions.where(F.col("q").isNotNull()).select("question_id", "q")
     path = shared_dir(asked.sparkSession, f"probed-{uuid4().hex}")
     knn_probed(index, asked, probes, k, broadcast_bytes, **options).write.parquet(path)
