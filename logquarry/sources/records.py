@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 KEEPS, CLOSES, OPENS, FLIPS = range(4)
 # A record of more characters than this is no record but an opening quote without its end.
 MAX_RECORD = 1024 * 1024
+# Records of more cells than this are looked at one by one.
+MAX_WIDTH = 500
 # Pieces of records at the ends of a split: what a cell from before leaves here, what goes on behind, and both.
 WHOLE, HEAD, TAIL, MIDDLE = range(4)
 
@@ -43,22 +46,46 @@ def record_pattern(sep: str, width: int) -> str:
     return f"{cell}(?:{s}{cell}){{{width - 1}}}"
 
 
-def line_effect(value: Column, sep: str) -> Column:
-    """KEEPS, CLOSES, OPENS or FLIPS. A quote opens at the start of a cell and closes at its end only; doubled quotes
-    and quotes amid a cell are text."""
-    s = re.escape(sep)
-    padded = F.concat(F.lit(sep), F.replace(value, F.lit('""'), F.lit("")), F.lit(sep))
+def line_effects(lines: pa.Array, sep: str) -> np.ndarray:
+    """KEEPS, CLOSES, OPENS or FLIPS per line. A quote opens at the start of a cell and closes at its end only; doubled
+    quotes and quotes amid a cell are text."""
+    effects = np.full(len(lines), KEEPS, np.int32)
+    if not len(lines) or lines.buffers()[2] is None:
+        return effects
+    ends = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1].astype(np.int64)
+    data = np.frombuffer(lines.buffers()[2], np.uint8)[: ends[-1]]
+    quotes = ends[0] + np.flatnonzero(data[ends[0] :] == ord('"'))
+    if not len(quotes):
+        return effects
+    owner = np.searchsorted(ends, quotes, side="right") - 1
+    # Of quotes in a row each two are text, so an odd run is one quote between what stands before and behind the run.
+    starts = np.flatnonzero(np.concatenate(([True], (np.diff(quotes) > 1) | (np.diff(owner) > 0))))
+    lengths = np.diff(np.append(starts, len(quotes)))
+    odd = lengths % 2 == 1
+    line, begin = owner[starts[odd]], quotes[starts[odd]]
+    end = begin + lengths[odd]
+    left, right = begin == ends[line], end == ends[line + 1]
+    mark = np.frombuffer(sep.encode(), np.uint8)
+    for beside, at, fits in ((left, begin - len(mark), begin - len(mark) >= ends[line]), (right, end, end + len(mark) <= ends[line + 1])):
+        beside |= fits & np.all([data[np.where(fits, at + i, 0)] == mark[i] for i in range(len(mark))], axis=0)
     # The last quote that can only open or only close decides; behind it come quotes that can do both.
-    last = f'(?s)^.*(?:((?<={s})")(?!{s})|(?<!{s})(")(?={s}))(.*)$'
-    opens, closes = (F.regexp_extract(padded, last, i) != "" for i in (1, 2))
-    rest = F.when(opens | closes, F.regexp_extract(padded, last, 3)).otherwise(padded)
-    flips = F.regexp_count(rest, F.lit(f'(?<={s})"(?={s})')) % 2 == 1
-    effect = (
-        F.when(opens, F.when(flips, CLOSES).otherwise(OPENS))
-        .when(closes, F.when(flips, OPENS).otherwise(CLOSES))
-        .otherwise(F.when(flips, FLIPS).otherwise(KEEPS))
-    )
-    return F.when(F.contains(value, F.lit('"')), effect).otherwise(KEEPS).cast("int")
+    last = np.full(len(lines), -1)
+    decides = np.flatnonzero(left != right)
+    np.maximum.at(last, line[decides], decides)
+    both = left & right & (np.arange(len(line)) > last[line])
+    flips = np.bincount(line[both], minlength=len(lines)) % 2
+    inside = np.append(left, False)[last] ^ (flips == 1)
+    return np.where(last >= 0, np.where(inside, OPENS, CLOSES), np.where(flips == 1, FLIPS, KEEPS)).astype(np.int32)
+
+
+def line_effect(value: Column, sep: str) -> Column:
+    """`line_effects` as a column."""
+
+    @F.pandas_udf("int")
+    def of(lines: pd.Series) -> pd.Series:
+        return pd.Series(line_effects(pa.array(lines, pa.string()), sep))
+
+    return of(value)
 
 
 class RecordLines:
@@ -99,32 +126,85 @@ class RecordLines:
 
 
 def read_lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """(path, block, split, value, effect) per line; rows keep the order of the file within a task."""
-    text = F.regexp_replace("value", "^\ufeff", "")
+    """(path, block, split, value) per line; rows keep the order of the file within a task."""
+    mark = F.lit("\ufeff")
+    text = F.when(F.startswith("value", mark), F.expr("substring(value, 2)")).otherwise(F.col("value"))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), text.alias("value")
     )
-    return lines.withColumns({"split": F.xxhash64("path", "block"), "effect": line_effect(F.col("value"), sep)})
-
-
-def split_states(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("split", F.xxhash64("path", "block"))
+
+
+def within(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in the runs from `first` to `last`, which do not touch."""
+    change = np.zeros(n + 1, np.int64)
+    change[first] += 1
+    change[last + 1] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
+def whole_records(values: pa.Array, before: np.ndarray, after: np.ndarray, sep: str, width: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Records of several of the given lines, put together at once: their texts, first and last lines. Those that are too
+    long or not of the header's width, or are cut by either end of the lines, are not among them."""
+    first, last = np.flatnonzero((before == 0) & (after == 1)), np.flatnonzero((before == 1) & (after == 0))
+    last = last[np.searchsorted(last, first[0]) :] if len(first) else last[:0]
+    first = first[: len(last)]
+    if not len(first) or width > MAX_WIDTH:
+        return values.slice(0, 0), first[:0], last[:0]
+    taken = values.take(pa.array(np.flatnonzero(within(first, last, len(values)))))
+    offsets = np.concatenate(([0], np.cumsum(last - first + 1))).astype(np.int32)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), taken), "\n")
+    # The same pattern; without possessive repeats, as this reader of patterns never goes back.
+    pattern = record_pattern(sep, width).replace("*+", "*")
+    fits = pc.match_substring_regex(pc.replace_substring(texts, '""', ""), rf"\A(?:{pattern})\z")
+    fits = pc.and_(fits, pc.less(pc.utf8_length(texts), MAX_RECORD))
+    kept = fits.to_numpy(zero_copy_only=False)
+    return texts.filter(fits), first[kept], last[kept]
+
+
+def split_runs(splits: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First place and the one behind the last of every run of equal numbers."""
+    cuts = [0, *(np.flatnonzero(np.diff(splits)) + 1).tolist(), len(splits)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
+def split_states(lines: DataFrame, sep: str) -> DataFrame:
     """One row per split: path, block, split, whether any line opens a cell, and the states it begins and ends in.
 
-    The last line that decides the state and the changes behind it are aggregated, so a split needs no order of its rows;
-    the states run over the splits of a file, of which there are few.
+    A split's lines come one after another in one task, which gives the last that decides the state and the changes behind
+    it; the states run over the splits of a file, of which there are few.
     """
-    marked = lines.withColumn("line", F.monotonically_increasing_id())
-    effect = F.col("effect")
-    splits = marked.groupBy("path", "block", "split").agg(
-        F.max(F.when(effect.isin(CLOSES, OPENS), F.col("line") * 2 + (effect == OPENS).cast("long"))).alias("decided"),
-        F.collect_list(F.when(effect == FLIPS, F.col("line"))).alias("flips"),
-        F.bool_or(effect >= OPENS).alias("opening"),
-    )
-    behind = F.filter("flips", lambda line: F.col("decided").isNull() | (line * 2 > F.col("decided")))
-    change = F.size(behind) % 2
-    fixed = F.when(F.col("decided").isNotNull(), (F.col("decided") + change) % 2).cast("int")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: list | None = None
+        names = ["path", "block", "split", "opening", "fixed", "change"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(current, types)], names=names)
+
+        for batch in batches:
+            splits = batch.column("split").to_numpy()
+            effects = line_effects(batch.column("value").cast(pa.string()), sep)
+            for a, b in split_runs(splits):
+                if current is None or current[2] != int(splits[a]):
+                    if current is not None:
+                        yield row()
+                    current = [batch.column("path")[a].as_py(), batch.column("block")[a].as_py(), int(splits[a]), False, None, 0]
+                part = effects[a:b]
+                decided = np.flatnonzero((part == CLOSES) | (part == OPENS))
+                if len(decided):
+                    current[4], current[5] = int(part[decided[-1]] == OPENS), 0
+                    part = part[decided[-1] :]
+                place = 5 if current[4] is None else 4
+                current[place] = (current[place] + int((part == FLIPS).sum())) % 2
+                current[3] |= bool((effects[a:b] >= OPENS).any())
+        if current is not None:
+            yield row()
+
+    schema = "path string, block long, split long, opening boolean, fixed int, change int"
+    splits = lines.select("path", "block", "split", "value").mapInArrow(of, schema)
     order = Window.partitionBy("path").orderBy("block")
-    splits = splits.select("path", "block", "split", "opening", fixed.alias("fixed"), F.when(fixed.isNull(), change).otherwise(0).alias("change"))
     splits = splits.withColumn("changes", F.sum("change").over(order))
     based = F.last((F.col("fixed") + F.col("changes")) % 2, ignorenulls=True).over(order)
     splits = splits.withColumn("ends", (F.coalesce(based, F.lit(0)) + F.col("changes")) % 2)
@@ -163,10 +243,10 @@ def joined_records(lines: DataFrame, inside: set[int], sep: str, width: int, pie
             kept, size = [], 0
 
         def made(values: pa.Array, at: np.ndarray, split: int) -> pa.RecordBatch:
-            """Lines that are records, at their places, and what is in `out`, in the order of the file."""
+            """Texts that are records, at their places, and what is in `out`, in the order of the file."""
             rows = [r for r in out if (r[2] != WHOLE) == pieces]
             out.clear()
-            text = pa.concat_arrays([values.cast(pa.string()), pa.array([r[0] for r in rows], pa.string())])
+            text = pa.concat_arrays([values, pa.array([r[0] for r in rows], pa.string())])
             owner = np.concatenate([np.full(len(at), split, np.int64), np.array([r[1] for r in rows], np.int64)])
             kind = np.concatenate([np.full(len(at), WHOLE, np.int32), np.array([r[2] for r in rows], np.int32)])
             order = np.argsort(np.concatenate([at, np.array([r[3] for r in rows], np.int64)]), kind="stable")
@@ -176,12 +256,9 @@ def joined_records(lines: DataFrame, inside: set[int], sep: str, width: int, pie
 
         none = pa.array([], pa.string()), np.array([], np.int64), 0
         for batch in batches:
-            splits, effects = batch.column("split").to_numpy(), batch.column("effect").to_numpy()
-            values = batch.column("value")
-            cuts = [0, *(np.flatnonzero(np.diff(splits)) + 1).tolist(), len(splits)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
+            splits, values = batch.column("split").to_numpy(), batch.column("value").cast(pa.string())
+            effects = line_effects(values, sep)
+            for a, b in split_runs(splits):
                 split = int(splits[a])
                 if split != current:
                     if current is not None:
@@ -190,7 +267,9 @@ def joined_records(lines: DataFrame, inside: set[int], sep: str, width: int, pie
                 before, state = states_before(effects[a:b], state)
                 after = np.append(before[1:], state)
                 alone = (before == 0) & (after == 0)
-                for i in np.flatnonzero(~alone).tolist():
+                part = values.slice(a, b - a)
+                texts, first, last = whole_records(part, before, after, sep, width)
+                for i in np.flatnonzero(~alone & ~within(first, last, b - a)).tolist():
                     line = values[a + i].as_py()
                     if before[i] == 0:
                         kept, started, size = [], True, 0
@@ -203,13 +282,16 @@ def joined_records(lines: DataFrame, inside: set[int], sep: str, width: int, pie
                     if after[i] == 0:
                         finish(split, True, i)
                         started = False
-                at = np.flatnonzero(alone & (not pieces))
-                yield made(values.slice(a, b - a).take(pa.array(at)), at, split)
+                at = np.flatnonzero(alone)
+                if pieces:
+                    yield made(*none[:2], split)
+                else:
+                    yield made(pa.concat_arrays([part.take(pa.array(at)), texts]), np.concatenate([at, last]), split)
         if current is not None:
             finish(current, False, -1)
         yield made(*none)
 
-    return lines.select("value", "split", "effect").mapInArrow(of, "value string, split long, piece int")
+    return lines.select("value", "split").mapInArrow(of, "value string, split long, piece int")
 
 
 def stitched(pieces: DataFrame, splits: DataFrame, sep: str, width: int) -> DataFrame:
@@ -241,8 +323,7 @@ def scan_records(spark: SparkSession, path: str, sep: str) -> DataFrame | None:
     if len(cells) < 2:
         return None
     lines = read_lines(spark, path, sep)
-    splits = split_states(lines)
-    states = splits.where("opening OR begins = 1").select("split", "begins", "ends").collect()
+    states = split_states(lines, sep).where("opening OR begins = 1").collect()
     if not states:
         return None
     inside = {r["split"] for r in states if r["begins"]}
@@ -250,6 +331,8 @@ def scan_records(spark: SparkSession, path: str, sep: str) -> DataFrame | None:
     cut = [r["split"] for r in states if r["begins"] or r["ends"]]
     if cut:
         at_ends = joined_records(lines.where(F.col("split").isin(cut)), inside, sep, len(cells), True)
+        places = [(r["split"], r["path"], r["block"]) for r in states if r["begins"] or r["ends"]]
+        splits = spark.createDataFrame(places, "split long, path string, block long")
         records = records.unionByName(stitched(at_ends, splits, sep, len(cells)))
     names = column_names(cells)
     schema = ", ".join(f"c{i} STRING" for i in range(len(names)))

@@ -4,6 +4,8 @@ import csv
 import io
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import rows
@@ -85,3 +87,32 @@ def test_effects_of_lines_agree(spark):
     for text, effect in effects.items():
         ends = {records.KEEPS: (0, 1), records.CLOSES: (0, 0), records.OPENS: (1, 1), records.FLIPS: (1, 0)}[effect]
         assert (rule.ends(text, False), rule.ends(text, True)) == ends, text
+
+
+@pytest.mark.parametrize("sep", [",", "\t", "x", "§"])
+def test_effects_of_lines_are_those_of_their_quotes(sep):
+    """All lines of a batch against the rule on single ones: quotes that share a separator, runs of quotes, empty lines."""
+    rng = random.Random(len(sep) + ord(sep))
+    pieces = ['"', '"', '""', sep, sep, "a", "y", "é", "\x01", "\x02", "\x03", " "]
+    lines = [f'{sep}"{sep}"{sep}', "", *["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(3000)]]
+    rule = records.RecordLines(sep, 2)
+    ends = {(False, False): records.CLOSES, (True, True): records.OPENS, (True, False): records.FLIPS, (False, True): records.KEEPS}
+    want = [ends[rule.ends(x, False), rule.ends(x, True)] for x in lines]
+    assert records.line_effects(pa.array(lines), sep).tolist() == want
+    assert records.line_effects(pa.array(lines).slice(7, 900), sep).tolist() == want[7:907]
+
+
+@pytest.mark.parametrize("cells", [['"a', 'b",c'], ['"a', '"",b",c', "d,e"], ["d,e", '"a', 'b"', 'c,"d', 'e"'], ['a","b', "c,d", 'e,"f', 'g"', 'h,"i']])
+def test_records_put_together_at_once_are_those_found_line_by_line(cells):
+    """What stands between two ends of a cell and has the header's width; the rest is left to be read line by line."""
+    rule, state = records.RecordLines(",", 2), cells[0].startswith('a"')
+    before, after = [], []
+    for line in cells:
+        before.append(int(state))
+        state = rule.ends(line, state)
+        after.append(int(state))
+    texts, first, last = records.whole_records(pa.array(cells), np.array(before), np.array(after), ",", 2)
+    want = [(a, b) for a in range(len(cells)) for b in range(a + 1, len(cells)) if not before[a] and after[a] and not after[b] and all(after[a:b])]
+    want = [(a, b) for a, b in want if rule.resolved(cells[a : b + 1]) == ["\n".join(cells[a : b + 1])] and rule.fits("\n".join(cells[a : b + 1]))]
+    assert list(zip(first.tolist(), last.tolist())) == want
+    assert texts.to_pylist() == ["\n".join(cells[a : b + 1]) for a, b in want]
