@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,41 @@ def test_many_questions_do_not_pass_through_the_driver(spark, monkeypatch):
     assert found == {i: nearest(data, q[i], *((4, np.arange(120)) if i % 2 == 0 else (50, np.arange(0, 120, 4)))) for i in range(40)}
 
 
+def test_sparse_vectors_travel_without_their_zeros(spark, monkeypatch):
+    """Groups of vectors that are mostly zeros next to full ones, copies and vectors of zeros alone give what brute force gives."""
+    monkeypatch.setattr(vectors, "GROUP_BYTES", 2000)
+    monkeypatch.setattr(vectors, "CORPUS_BLOCK", 7)
+    data, q = ((RNG.random((n, 60)) < 0.05) * RNG.integers(1, 4, (n, 60)).astype(np.float32) for n in (200, 40))
+    data[150:] = data[150]
+    data[100], data[7] = RNG.normal(size=60), 0
+    corpus_rows = [(i, DOMAINS[i % 4], v.tolist()) for i, v in enumerate(data)]
+    df = spark.createDataFrame(corpus_rows, "id long, domain string, embedding array<float>").repartition(5)
+    questions = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "question_id long, q array<float>").repartition(3)
+    found = by_question(vectors.knn_global(df, questions, 7, broadcast_bytes=200))
+    assert found == {i: nearest(data, q[i], 7, np.arange(200)) for i in range(40)}
+    routes = questions.withColumns({"domain": F.lit("cost"), "n": F.lit(60)})
+    found = by_question(vectors.knn_routed(df, routes, broadcast_bytes=200))
+    assert found == {i: nearest(data, q[i], 60, np.arange(0, 200, 4)) for i in range(40)}
+    assert vectors.packed_share(df, "embedding")[1] < 0.5
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(2000)), pa.array([[0.0] * 767 + [1.0]] * 2000, pa.list_(pa.float32())), pa.array(np.zeros(2000, np.int32))], names=["ident", "vector", "g"]
+    )
+    blobs = [group["rows"][0].as_py() for group in vectors.packed_groups(batch, "g")]
+    assert sum(map(len, blobs)) < 2000 * 768 * 4 / 50
+    assert (vectors.unpacked(pa.chunked_array([pa.array(blobs, pa.binary())]), "vector", "Corpus")[1][:] == batch["vector"].to_pylist()).all()
+
+
+def test_spare_copies_are_found_by_hashes(monkeypatch):
+    """Of equal vectors the lowest ids stay; different ones that share a hash all do."""
+    data = RNG.integers(0, 2, (300, 6)).astype(np.float32)
+    ids = RNG.permutation(300)
+    expected = sorted(i for i in range(300) if sum((data[i] == data[j]).all() and ids[j] < ids[i] for j in range(300)) < 3)
+    for form in (data, vectors.SparseRows.of(data)):
+        assert vectors._without_spare_copies(ids, form, 3).tolist() == expected
+    monkeypatch.setattr(vectors, "_row_hashes", lambda rows: np.zeros(len(rows), dtype=np.uint64))
+    assert vectors._without_spare_copies(ids, data, 3).tolist() == list(range(300))
+
+
 def test_scores_are_squared_distances(spark):
     df = spark.createDataFrame([(1, "d", [0.0, 3.0]), (2, "d", None)], "id long, domain string, embedding array<float>")
     questions = spark.createDataFrame([(9, [4.0, 0.0])], "question_id long, q array<float>")
