@@ -266,6 +266,27 @@ def test_batch_retrieve(spark):
     assert found[4]["sources"][2].asDict() == {"id": 5, "domain": "documentation_gold_cost", "score": 0.25, "text": "gold"}
 
 
+def test_hits_are_ranked_before_texts_are_joined(spark):
+    """Rows of one id count each, and what has no place among the top k is left before its text is fetched."""
+    texts = spark.createDataFrame([(i, "cost", t, [0.0]) for i, t in ((1, "a"), (1, "b"), (2, "c"), (3, "d"))], "id long, domain string, text string, embedding array<float>")
+    hits = spark.createDataFrame([(7, i, float(i), 3) for i in (1, 2, 3)], "question_id long, id long, score double, top_k int")
+    placed = answering.placed_hits(hits, texts)
+    assert "text" not in placed.columns and sorted((r["id"], r["before"]) for r in placed.collect()) == [(1, 0), (2, 2)]
+    asked = spark.createDataFrame([(7, "cost", [0.0], 5)], "question_id long, intent string, q array<float>, top_k int")
+    found = answering.retrieve(asked, texts).orderBy("rank").select("rank", "id").collect()
+    assert [r["rank"] for r in found] == [1, 2, 3, 4, 5] and {r["id"] for r in found} == {1, 2}
+
+
+def test_groups_are_numbered_for_the_least_shuffle(spark):
+    session_tasks = vectors.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    for corpus_bytes, question_bytes in ((31 << 20, 57 << 20), (900 << 20, 10 << 20), (1, 1), (0, 500 << 20)):
+        a, b = vectors.balanced_groups(spark, corpus_bytes, question_bytes)
+        c, d = vectors.group_numbers(spark, corpus_bytes, question_bytes)
+        assert a * b >= session_tasks and a * vectors.GROUP_BYTES >= corpus_bytes and b * vectors.GROUP_BYTES >= question_bytes
+        assert a * question_bytes + b * corpus_bytes <= c * question_bytes + d * corpus_bytes
+    assert vectors.balanced_groups(spark, 31 << 20, 57 << 20)[0] > 1
+
+
 def test_questions_are_embedded_like_the_corpus(spark):
     texts = spark.createDataFrame(
         [(1, "cost", "custo do servico ec2"), (2, "cost", "outra coisa"), (3, "cost", "custo total do mes")],
