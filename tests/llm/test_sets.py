@@ -178,6 +178,15 @@ def test_lines_against_brute_force(spark, monkeypatch):
     assert lines.line_groups(table(spark, [])).count() == 0
 
 
+def test_few_lines_link_like_many():
+    random = np.random.default_rng(2)
+    for n in (2, 3, 9, 16):
+        whole = [random.choice(12, random.integers(1, 12)).astype(np.uint64) for _ in range(n)]
+        every = np.arange(n)
+        expected = lines.block_links([np.unique(x) for x in whole], every, every, 0.5)
+        assert [list(side) for side in lines.few_links(whole, 0.5)] == [side.tolist() for side in expected]
+
+
 def test_signature_estimates_jaccard():
     rng = random.Random(5)
     for _ in range(30):
