@@ -39,7 +39,8 @@ def tree_samples(
 
     Each row decides by hash which trees it may join, at a rate that overshoots the sample by six standard
     deviations; the lowest hashes of each tree are kept. One pass, one small shuffle, and the same rows
-    whatever the partitioning. `key` must tell rows apart.
+    whatever the partitioning. `key` must tell rows apart. Every row meets every tree, so the hashes are compared in a
+    plain filter behind the explode, which Spark compiles; a lambda over the trees would be interpreted.
     """
     size = min(sample, n)
     rate = min(1.0, (size + 6.0 * sqrt(size) + 10.0) / n)
@@ -48,10 +49,9 @@ def tree_samples(
     def draw(tree: Column) -> Column:
         return F.xxhash64(F.lit(seed), tree, F.col("_row"))
 
-    joined = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) <= bound)
-    drawn = df.select(F.xxhash64(*key).alias("_row"), features.alias("features"), *key).select(
-        F.explode(joined).alias("tree"), "_row", "features", *key
-    )
+    rows = df.select(F.xxhash64(*key).alias("_row"), features.alias("features"), *key)
+    met = rows.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "_row", "features", *key)
+    drawn = met.where(draw(F.col("tree")) <= bound)
     order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), *key)
     return (
         drawn.withColumn("place", F.row_number().over(order))
@@ -84,6 +84,21 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator, limit: int) -> list[
     return [tuple(n) for n in nodes]
 
 
+def walkable(feature: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(feature, children, steps) of a tree whose rows can all be moved down together.
+
+    A node's children stand side by side; a leaf is its own child on both sides, so that a row that has arrived stays
+    there. After `steps` moves every row has.
+    """
+    leaf, node = feature < 0, np.arange(len(feature))
+    children = np.stack([np.where(leaf, node, left), np.where(leaf, node, right)], axis=1).astype(np.intp)
+    steps, reached = 0, np.flatnonzero(~leaf[:1])
+    while len(reached):
+        below = children[reached].ravel()
+        reached, steps = below[~leaf[below]], steps + 1
+    return np.maximum(feature, 0).astype(np.intp), children.ravel(), steps
+
+
 @dataclass
 class IsolationForest:
     """Node table (at most trees x 2 x sample rows, whatever the data size) and the decision threshold."""
@@ -97,13 +112,8 @@ class IsolationForest:
         """Anomaly score 2^(-mean path / c(sample)); higher is more anomalous."""
         trees = []
         for _, part in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
-            trees.append(
-                (
-                    part["feature"].to_numpy(np.int32), part["threshold"].to_numpy(),
-                    part["left_child"].to_numpy(np.int32), part["right_child"].to_numpy(np.int32),
-                    part["path"].to_numpy(),
-                )
-            )
+            feature, left, right = (part[c].to_numpy() for c in ("feature", "left_child", "right_child"))
+            trees.append((*walkable(feature, left, right), part["threshold"].to_numpy(), part["path"].to_numpy()))
         shared = features_context(trees)
         scale = average_path(self.sample_size) or 1.0
 
@@ -112,18 +122,14 @@ class IsolationForest:
             if not len(vectors):
                 return pd.Series([], dtype="float64")
             points = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-            rows = np.arange(len(points))
+            values, first = points.ravel(), np.arange(len(points)) * points.shape[1]
             total = np.zeros(len(points))
-            for feature, threshold, left, right, path in shared.value:
-                at = np.zeros(len(points), dtype=np.int32)
-                while True:
-                    split = feature[at]
-                    inner = split >= 0
-                    if not inner.any():
-                        break
-                    step = np.where(points[rows, np.maximum(split, 0)] <= threshold[at], left[at], right[at])
-                    at = np.where(inner, step, at)
-                total += path[at]
+            for feature, children, steps, threshold, path in shared.value:
+                at = np.zeros(len(points), dtype=np.intp)
+                for _ in range(steps):
+                    goes_left = values.take(first + feature.take(at)) <= threshold.take(at)
+                    at = children.take(2 * at + ~goes_left)
+                total += path.take(at)
             return pd.Series(2.0 ** (-(total / len(shared.value)) / scale))
 
         return score(features)

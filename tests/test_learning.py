@@ -121,6 +121,45 @@ def test_score_of_one_tree_by_hand(spark):
     assert scores == pytest.approx([2 ** (-3 / forest.average_path(256)), 2 ** (-1 / forest.average_path(256))])
 
 
+def plain_path(tree, point):
+    node = tree[0]
+    while node[1] >= 0:
+        node = tree[node[3] if point[node[1]] <= node[2] else node[4]]
+    return node[5]
+
+
+def test_rows_walk_down_together_as_alone(spark):
+    """Uneven trees, one of a single leaf, and values that are missing or lie on a threshold."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    points = np.round(rng.normal(size=(300, 3)), 1)
+    points[:40, 1] = np.nan
+    samples = [points[40 + 20 * t : 60 + 20 * t] for t in range(6)] + [np.ones((20, 3))]
+    trees = [forest.grow_tree(sample, np.random.default_rng(t), 7) for t, sample in enumerate(samples)]
+    nodes = pd.DataFrame([(t, *node) for t, tree in enumerate(trees) for node in tree], columns=forest.NODE_COLUMNS)
+    grown = forest.IsolationForest(nodes, 20)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id int, p array<double>")
+    got = dict(rows(df.select("id", grown.score_column(F.col("p")))))
+    paths = [sum(plain_path(tree, p) for tree in trees) / len(trees) for p in points]
+    assert got == {i: pytest.approx(2.0 ** (-path / forest.average_path(20)), abs=1e-15) for i, path in enumerate(paths)}
+
+
+def test_a_leaf_is_its_own_child():
+    feature, left, right = np.array([2, -1, 0, -1, -1]), np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1])
+    found, children, steps = forest.walkable(feature, left, right)
+    assert found.tolist() == [2, 0, 0, 0, 0] and steps == 2
+    assert children.tolist() == [1, 2, 1, 1, 3, 4, 3, 3, 4, 4]
+    assert forest.walkable(np.array([-1]), np.array([-1]), np.array([-1]))[2] == 0
+
+
+def test_sampling_hashes_are_compiled(spark):
+    """Every row meets every tree: a lambda would be interpreted for each."""
+    df = spark.range(500).select("id", F.array(F.col("id").cast("double")).alias("features"))
+    plan = forest.tree_samples(df, ["id"], F.col("features"), 500)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "Generate explode" in plan
+
+
 def test_contamination_is_clipped(spark):
     df = spark.createDataFrame([(i < 9,) for i in range(10)], "is_anomaly boolean").selectExpr("int(is_anomaly) AS is_anomaly")
     assert forest.clipped_contamination(df) == 0.3
