@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,9 @@ def run_experiment(
 
     `out` must be a folder all executors share: the modelling table is stored there once, because every fit
     reads it many times and a lost executor must not rebuild it from the raw marts.
+
+    The models do not depend on each other and are fitted side by side: boosting is a chain of over a thousand short
+    jobs, between which the cores are free for the others.
     """
     options = options or {}
     dataset.write.mode("overwrite").parquet(f"{out}/dataset")
@@ -91,24 +96,29 @@ def run_experiment(
         write_json(confusion[name], f"{out}/{name}/confusion_matrix")
         predicted.append(stored_predictions.withColumn("model", F.lit(name)))
 
-    for name in supervised:
-        model = models.fit_supervised(name, preprocessor, train, LABEL, **options.get(name, {}))
-        models.save_supervised(spark, f"{out}/{name}", name, model, features)
-        record(
-            name, models.predict_supervised(model, test, keep),
-            {**tags, "problem_type": SUPERVISED_PROBLEM, "label_strategy": "weak_supervision_from_gold_rules"},
-            {
-                "model_name": name, **params,
-                "positive_rate_train": facts[True]["rate"] if True in facts else None,
-                "positive_rate_test": facts[False]["rate"] if False in facts else None,
-            },
+    with ThreadPoolExecutor(max(1, len(supervised))) as pool:
+        # `inheritable_thread_target` gives the threads the caller's job group and other local properties.
+        fit = inheritable_thread_target(spark)(models.fit_supervised)
+        fits = {name: pool.submit(fit, name, preprocessor, train, LABEL, **options.get(name, {})) for name in supervised}
+        contamination = clipped_contamination(train, LABEL)
+        forest = fit_isolation_forest(
+            preprocessor.transform(train), [KEY], vector_to_array("features"), contamination,
+            **options.get("isolation_forest", {}),
         )
 
-    contamination = clipped_contamination(train, LABEL)
-    forest = fit_isolation_forest(
-        preprocessor.transform(train), [KEY], vector_to_array("features"), contamination,
-        **options.get("isolation_forest", {}),
-    )
+        for name, fitted in fits.items():
+            model = fitted.result()
+            models.save_supervised(spark, f"{out}/{name}", name, model, features)
+            record(
+                name, models.predict_supervised(model, test, keep),
+                {**tags, "problem_type": SUPERVISED_PROBLEM, "label_strategy": "weak_supervision_from_gold_rules"},
+                {
+                    "model_name": name, **params,
+                    "positive_rate_train": facts[True]["rate"] if True in facts else None,
+                    "positive_rate_test": facts[False]["rate"] if False in facts else None,
+                },
+            )
+
     models.save_unsupervised(spark, f"{out}/isolation_forest", preprocessor, forest, features)
     record(
         "isolation_forest", models.predict_unsupervised(preprocessor, forest, test, keep),

@@ -211,6 +211,22 @@ def test_experiment_and_saved_models(spark, tmp_path):
         assert all(math.isfinite(r[2]) for r in rows(loaded))
 
 
+def test_experiment_fits_models_side_by_side(spark, tmp_path, monkeypatch):
+    """All three supervised fits are under way before one ends; what they give is kept in the old order."""
+    from threading import Barrier
+
+    together, fit = Barrier(3), models.fit_supervised
+
+    def waiting(*given, **options):
+        together.wait(timeout=60)
+        return fit(*given, **options)
+
+    monkeypatch.setattr(models, "fit_supervised", waiting)
+    done = run_experiment(spark, feature_rows(spark, 500), str(tmp_path / "out"), options=OPTIONS)
+    runs = [r["run"] for r in done.registry.where("kind = 'param' AND key = 'n_rows'").collect()]
+    assert runs == ["logistic_regression", "random_forest", "hist_gradient_boosting", "isolation_forest"]
+
+
 def test_boosting_holds_rows_out_only_when_asked(spark):
     train = feature_rows(spark, 400)
     prepared = preprocess.fit_preprocessor(train, ["x", "y"])
