@@ -1,12 +1,13 @@
 """Mixing, line and document near-duplicates, vectors, language and the pipeline against brute force and edge tables."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
-from logquarry.llm import language, lines, mixing, simhash, vectors
+from logquarry.llm import common, language, lines, mixing, simhash, vectors
 from logquarry.llm.common import connected_components
 from logquarry.llm.links import forest
 from logquarry.llm.queries import ORACLES, QUERIES
@@ -178,6 +179,66 @@ def test_lines_against_brute_force(spark, monkeypatch):
     assert lines.line_groups(table(spark, [])).count() == 0
 
 
+def test_lines_beyond_every_limit(spark, monkeypatch):
+    """Many groups, no broadcast of candidates, sizes or removed lines: the same result."""
+    docs = table(spark, [(i, t, "s") for i, t in near_lines(4, 20)])
+    want = sorted(map(str, lines.line_groups(docs).collect()))
+    kept = sorted(map(str, lines.without_repeated_lines(docs).collect()))
+    monkeypatch.setattr(lines, "GROUP_BYTES", 4096)
+    monkeypatch.setattr(lines, "HELD_ROWS", 160)
+    monkeypatch.setattr(lines, "SAMPLE", 2)
+    monkeypatch.setattr(lines, "HOT", 16)
+    monkeypatch.setattr(lines, "BROADCAST_LINES", 0)
+    monkeypatch.setattr(lines, "small_side", lambda df, *args, **options: df)
+    assert sorted(map(str, lines.line_groups(docs).collect())) == want
+    assert sorted(map(str, lines.without_repeated_lines(docs).collect())) == kept
+
+
+def test_texts_of_other_lines_stay_where_they_are(spark, monkeypatch):
+    """Beyond the limit of the broadcast too."""
+    monkeypatch.setattr(lines, "BROADCAST_LINES", 10)
+    texts = [f"line number {i} of them\nanother line {i * i}, longer" for i in range(3000)]
+    docs = table(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    wanted = {lines.line_id(x): x for t in texts[::20] for x in t.split("\n")}
+    found = {r.node: r.line for r in lines.candidate_texts(docs, spark.createDataFrame([(x,) for x in wanted], "node long")).collect()}
+    assert wanted.items() <= found.items() and len(found) < 2 * len(wanted)
+
+
+def test_packed_rows_come_back():
+    random = np.random.default_rng(3)
+    keys, nodes, sketch = random.integers(-(2**63), 2**63 - 1, (3, 5000))
+    keys[:2000], nodes[0] = keys[0], -1
+    hot = lines.HotKeys(keys[:1], np.array([3], dtype=np.int32))
+    batch = lines.packed_rows(keys, nodes, sketch, 7, hot)
+    back, at = set(), {}
+    for group, blob in zip(batch["group"].to_pylist(), batch["rows"]):
+        inside, own, bits = lines.unpacked_rows([blob.as_buffer()])
+        part, parts = hot.of(inside, own)
+        assert 0 <= group < 7 and set(parts[inside == hot.keys[0]].tolist()) <= {3}
+        for row in zip(inside.tolist(), own.tolist(), bits.tolist(), part.tolist()):
+            back.add(row[:3])
+            assert at.setdefault((row[0], row[3]), group) == group
+    assert back == set(zip((keys & (2**40 - 1)).tolist(), nodes.tolist(), sketch.tolist()))
+
+
+def test_shuffles_of_finished_steps_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(common, "LARGE_INPUT", 0)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle")}
+
+    docs, before = spark.range(20_000), shuffled()
+    common.stored(docs.repartition(5, "id"), "freed")
+    assert shuffled() - before
+    common.free_shuffles(docs)
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
 def test_few_lines_link_like_many():
     random = np.random.default_rng(2)
     for n in (2, 3, 9, 16):
